@@ -29,13 +29,12 @@ def can_write(stamps: Column, path: str, source: str) -> Column:
 def put_stamps(stamps: Column, changes: dict[str, Column]) -> Column:
     """Set stamps where the new value is not null; a null map without changes stays null."""
     paths = list(changes)
-    new = F.map_filter(
-        F.create_map(*[part for path in paths for part in (F.lit(path), changes[path])]),
-        lambda _, source: source.isNotNull(),
-    )
     old = F.coalesce(stamps, F.create_map().cast(schema.STAMPS))
-    merged = F.map_concat(F.map_filter(old, lambda path, _: ~F.map_contains_key(new, path)), new)
-    return F.when(stamps.isNull() & (F.size(new) == 0), stamps).otherwise(merged)
+    entries = [part for path in paths for part in (F.lit(path), F.coalesce(changes[path], stamp_of(stamps, path)))]
+    named = F.map_filter(F.create_map(*entries), lambda _, source: source.isNotNull())
+    others = F.map_filter(old, lambda path, _: ~path.isin(paths))
+    merged = F.map_concat(others, named)
+    return F.when(stamps.isNull() & (F.size(merged) == 0), stamps).otherwise(merged)
 
 
 def stamp_all(stamps: Column, paths: list[str], source: str) -> Column:

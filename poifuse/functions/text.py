@@ -160,4 +160,4 @@ def postcode(value: Column) -> Column:
 
 
 def has_text(value: Column) -> Column:
-    return F.coalesce(value != "", F.lit(False))
+    return F.coalesce(value.cast("string") != "", F.lit(False))

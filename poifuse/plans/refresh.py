@@ -12,7 +12,7 @@ from poifuse.functions import hours as hrs
 from poifuse.functions import provenance as prov
 from poifuse.functions import rules
 from poifuse.operators import dedup, linking, merge, quality, spatial, stats
-from poifuse.session import cut
+from poifuse.session import configure, cut
 
 ID = ["region", "id"]
 
@@ -41,8 +41,8 @@ def element_ref(kind: Column, number: Column) -> Column:
 
 
 def feature_columns(prefix: Column, as_of: str) -> dict[str, Column]:
-    """Feature columns of an element row (type, id, version, lng, lat, tags, region, ord)."""
-    tags = F.col("tags")
+    """Feature columns of an element row (type, number, version, lng, lat, element_tags, region, ord)."""
+    tags = F.col("element_tags")
     address = rules.address_from_tags(tags)
     hours = hrs.clean_opening_hours(rules.tag(tags, "opening_hours"))
     payment = rules.map_payment(tags)
@@ -50,14 +50,14 @@ def feature_columns(prefix: Column, as_of: str) -> dict[str, Column]:
     stamps = {"name": F.lit("osm"), "hours": F.when(hours.isNotNull(), "osm")}
     stamps |= {f"address.{key}": F.when(value.isNotNull(), "osm") for key, value in address.items()}
     stamps |= {f"payment.{key}": F.when(payment.isNotNull(), "osm") for key in schema.PAYMENT_KEYS}
-    element = prov.source_entry("osm", element_ref(F.col("type"), F.col("id")), F.col("version"))
+    element = prov.source_entry("osm", element_ref(F.col("type"), F.col("number")), F.col("version"))
     none = F.lit(None)
     return {
         "region": F.col("region"),
         "ord": F.col("ord"),
         "lng": F.col("lng"),
         "lat": F.col("lat"),
-        "id": F.concat(F.lit("tk_"), prefix, F.lit("_osm_"), F.substring("type", 1, 1), F.col("id").cast("string")),
+        "id": F.concat(F.lit("tk_"), prefix, F.lit("_osm_"), F.substring("type", 1, 1), F.col("number").cast("string")),
         "name": rules.tag(tags, "name"),
         "description": none.cast("string"),
         "address": F.struct(*[value.alias(key) for key, value in address.items()]),
@@ -78,8 +78,10 @@ def feature_columns(prefix: Column, as_of: str) -> dict[str, Column]:
 
 def elements_to_features(elements: DataFrame, regions: DataFrame, as_of: str) -> DataFrame:
     """Wanted elements as feature rows. Elements carry the region that asked for them, and ord."""
+    configure(elements.sparkSession)
     codes = regions.select(F.col("slug").alias("region"), "prefix", "iso3166_2")
     wanted = located(elements).join(codes, "region").filter(rules.is_wanted(F.col("tags"), F.col("iso3166_2")))
+    wanted = wanted.withColumnsRenamed({"tags": "element_tags", "id": "number"})
     return wanted.select(*[value.alias(name) for name, value in feature_columns(F.col("prefix"), as_of).items()])
 
 

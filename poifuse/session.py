@@ -11,6 +11,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Feature rows repeat the same literals in many columns; deriving constraints
+    # from them grows without bound. Join keys that can be null are filtered by hand.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
