@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from poifuse import schema
 from poifuse.catalog import standins as st
 from poifuse.catalog.registry import query
-from poifuse.functions import rules, text
+from poifuse.functions import hours, rules, text
 from poifuse.plans import refresh
 
 EL = st.cte("el", st.ELEMENT)
@@ -204,8 +204,6 @@ def element_features(spark, sf):
     f"WITH {EL} SELECT k, {HOURS_SQL} AS hours FROM el",
 )
 def cleaned_hours(spark, sf):
-    from poifuse.functions import hours
-
     return st.elements(spark, sf).select("k", hours.clean_opening_hours(rules.tag(F.col("tags"), "opening_hours")).alias("hours"))
 
 

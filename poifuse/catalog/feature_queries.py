@@ -7,16 +7,17 @@ from pyspark.sql import functions as F
 from poifuse import schema
 from poifuse.catalog import standins as st
 from poifuse.catalog.element_queries import (
-    CREDIT, DEBIT, DISTRICT_SQL, EL_STAMPS, ELEMENT_REF, HOURS_SQL, KIND_SQL, LOCATED, PAY_SQL, PLZ_SQL, TAG_SQL,
-    BLOCK_SQL, clean_hours_sql, market_sql, tri,
+    DISTRICT_SQL, HOURS_SQL, KIND_SQL, LOCATED, PAY_SQL, PLZ_SQL, TAG_SQL,
+    BLOCK_SQL, WALLET, clean_hours_sql, market_sql, tri,
 )
 from poifuse.catalog.registry import query
 from poifuse.functions import hours as hrs
 from poifuse.functions import payment as pay
 from poifuse.functions import provenance as prov
-from poifuse.functions import rules, text
-from poifuse.operators import merge, stats
+from poifuse.functions import rules
+from poifuse.operators import dedup, merge, stats
 from poifuse.plans import backfill, enrich, refresh, seed
+from poifuse.sources import readers
 
 FT = st.cte("ft", st.FEATURE)
 EL = st.cte("el", st.ELEMENT)
@@ -168,8 +169,6 @@ def seed_hours_text(spark, sf):
     f"WITH {LAST_SLOT}, {islands_sql('s', 'slot')} SELECT l_orderkey, slot, a AS first_day, b AS last_day FROM runs",
 )
 def day_run_rows(spark, sf):
-    from poifuse.operators import dedup
-
     q = F.col("l_quantity").cast("int")
     slot = F.format_string("%02d:00-%02d:30", q % 4 + 6, q % 3 + 18)
     days = st.table(spark, sf, "lineitem").groupBy("l_orderkey", (F.col("l_linenumber") % 7).alias("day"))
@@ -241,8 +240,6 @@ RESULT = [
 
 
 def _results(spark, sf):
-    from poifuse.sources import readers
-
     return readers.parse_result_cells(st.table(spark, sf, "part").selectExpr(*RESULT))
 
 
@@ -416,6 +413,11 @@ def _backfill_sql() -> str:
         )
         columns[key] = f"CASE WHEN {write} THEN e_{key} ELSE {key} END"
         stamps[f"payment.{key}"] = f"CASE WHEN {write} THEN 'osm' ELSE {stamp or 'NULL'} END"
+    # The wallet writes contactless once more, after the plain tag.
+    plain = "(coalesce(e_plain, 'unknown') <> 'unknown' AND (coalesce(contactless, 'unknown') = 'unknown' OR contactless <> e_plain))"
+    wallet = f"(e_wallet AND coalesce(CASE WHEN {plain} THEN e_plain ELSE contactless END, 'unknown') <> 'yes')"
+    columns["contactless"] = f"CASE WHEN {wallet} THEN 'yes' WHEN {plain} THEN e_plain ELSE contactless END"
+    stamps["payment.contactless"] = f"CASE WHEN {wallet} OR {plain} THEN 'osm' END"
     for key in schema.ADDRESS_KEYS:
         stamp = FT_STAMPS.get(f"address.{key}")
         write = f"(coalesce(f_{key}, '') <> '' AND (coalesce({key}, '') = '' OR ({key} <> f_{key} AND {_can(stamp)})))"
@@ -425,6 +427,7 @@ def _backfill_sql() -> str:
     counts["address_written"] = " + ".join(writes)
     counts["tags_written"] = "len(list_filter(f_tags, lambda x: x IS NOT NULL AND x <> coalesce(tag_a, '') AND x <> coalesce(tag_b, '')))"
     extra = ", ".join(f"({offer}) AS e_{key}" for key, offer in offers.items())
+    extra += f", ({tri('pay_contactless')}) AS e_plain, {WALLET} AS e_wallet"
     pair = PAIR.replace(", el.shop FROM", f", el.shop, {extra} FROM")
     select = ", ".join(f"{v} AS {n}" for n, v in {**columns, **counts}.items())
     ref = "CASE WHEN type = 'node' THEN 'node/' ELSE 'way/' END || k"
@@ -479,8 +482,10 @@ def merged_results(spark, sf):
         F.col("ord").alias("k"), pay.about_to_payment(F.col("about")).alias("g"), hrs.day_map_hours(F.col("open_hours")).alias("g_hours")
     )
     joined = st.features(spark, sf).join(facts, "k")
-    block, stamps, writes = pay.merge_payment(F.col("payment"), F.col("g"), F.col("sources_by_field"), "google")
-    hours, stamps, changed = pay.merge_hours(F.col("hours"), F.col("g_hours"), stamps, "google")
+    own = F.col("sources_by_field")
+    block, payment_stamps, writes = pay.merge_payment(F.col("payment"), F.col("g"), own, "google")
+    hours, hours_stamps, changed = pay.merge_hours(F.col("hours"), F.col("g_hours"), own, "google")
+    stamps = prov.put_stamps(own, payment_stamps | hours_stamps)
     out = joined.select(
         "k", block.alias("payment"), hours.alias("hours"), stamps.alias("sources_by_field"), writes.alias("writes"), changed.cast("int").alias("hours_written")
     )

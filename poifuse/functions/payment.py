@@ -97,12 +97,12 @@ def page_weekly_hours(html: Column) -> Column:
 
 def write_payment(
     payment: Column, stamps: Column, offers: dict[str, list[Column]], source: str
-) -> tuple[Column, Column, Column]:
+) -> tuple[Column, dict[str, Column], Column]:
     """Offer values per key to a payment block.
 
     Blanks and "unknown" are filled by any concrete value; a differing settled
     value is replaced only if the source ranks at least as high as its stamp.
-    Returns the new block, the new stamps and the number of writes.
+    Returns the new block, the stamp changes and the number of writes.
     """
     values, changes, writes = {}, {}, F.lit(0)
     for key in schema.PAYMENT_KEYS:
@@ -120,19 +120,22 @@ def write_payment(
         values[key] = current
         changes[path] = F.when(changed, F.lit(source))
     block = F.when(payment.isNotNull() | (writes > 0), payment_struct(values))
-    return block, prov.put_stamps(stamps, changes), writes
+    return block, changes, writes
 
 
-def merge_payment(payment: Column, incoming: Column, stamps: Column, source: str) -> tuple[Column, Column, Column]:
+def merge_payment(payment: Column, incoming: Column, stamps: Column, source: str) -> tuple[Column, dict[str, Column], Column]:
     return write_payment(payment, stamps, {key: [incoming[key]] for key in schema.PAYMENT_KEYS}, source)
 
 
-def merge_hours(hours: Column, incoming: Column, stamps: Column, source: str) -> tuple[Column, Column, Column]:
-    """Write hours if the rank allows; an equal value only renews the stamp."""
+def merge_hours(hours: Column, incoming: Column, stamps: Column, source: str) -> tuple[Column, dict[str, Column], Column]:
+    """Write hours if the rank allows; an equal value only renews the stamp.
+
+    Returns the new hours, the stamp change and whether the value changed.
+    """
     allowed = incoming.isNotNull() & prov.can_write(stamps, "hours", source)
     changed = allowed & F.coalesce(hours["raw"] != incoming, F.lit(True))
     value = F.when(changed, F.struct(incoming.alias("raw"))).otherwise(hours)
-    return value, prov.put_stamps(stamps, {"hours": F.when(allowed, F.lit(source))}), changed
+    return value, {"hours": F.when(allowed, F.lit(source))}, changed
 
 
 def payment_missing(payment: Column) -> Column:

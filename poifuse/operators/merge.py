@@ -78,7 +78,7 @@ def _write_address(address: Column, stamps: Column, offers: dict[str, Column], s
         values[key] = F.when(write, offer).otherwise(current)
         changes[f"address.{key}"] = F.when(write, F.lit(source))
         writes = writes + write.cast("int")
-    return _struct(values), prov.put_stamps(stamps, changes), writes
+    return _struct(values), changes, writes
 
 
 def backfill(tags: Column, kind: Column, number: Column, version: Column, as_of: str) -> tuple[dict[str, Column], dict[str, Column]]:
@@ -87,9 +87,11 @@ def backfill(tags: Column, kind: Column, number: Column, version: Column, as_of:
     Returns the changed columns and the counts of what was written.
     """
     stamps = F.col("sources_by_field")
-    hours, stamps, new_hours = pay.merge_hours(F.col("hours"), hrs.clean_opening_hours(rules.tag(tags, "opening_hours")), stamps, "osm")
-    payment, stamps, new_payment = pay.write_payment(F.col("payment"), stamps, rules.payment_offers(tags), "osm")
-    address, stamps, new_address = _write_address(F.col("address"), stamps, rules.address_from_tags(tags), "osm", overwrite=True)
+    opening = hrs.clean_opening_hours(rules.tag(tags, "opening_hours"))
+    hours, hours_stamps, new_hours = pay.merge_hours(F.col("hours"), opening, stamps, "osm")
+    payment, payment_stamps, new_payment = pay.write_payment(F.col("payment"), stamps, rules.payment_offers(tags), "osm")
+    offers = rules.address_from_tags(tags)
+    address, address_stamps, new_address = _write_address(F.col("address"), stamps, offers, "osm", overwrite=True)
     added = rules.map_tags(tags)
     empty = F.array().cast("array<string>")
     element = F.concat(F.when(kind == "node", "node/").otherwise("way/"), number.cast("string"))
@@ -100,7 +102,7 @@ def backfill(tags: Column, kind: Column, number: Column, version: Column, as_of:
         "tags": F.coalesce(prov.union_tags(F.col("tags"), added), F.col("tags")),
         "sources": prov.append_source(F.col("sources"), prov.source_entry("osm", element, version)),
         "updated": F.lit(as_of),
-        "sources_by_field": stamps,
+        "sources_by_field": prov.put_stamps(stamps, hours_stamps | payment_stamps | address_stamps),
     }
     counts = {
         "hours_written": new_hours.cast("int"),
@@ -117,7 +119,8 @@ def fill_address(hit: Column, as_of: str) -> dict[str, Column]:
         "street": hit["street"], "number": hit["housenumber"], "postalcode": hit["postcode"],
         "city": hit["city"], "district": hit["district"],
     }
-    address, stamps, writes = _write_address(F.col("address"), F.col("sources_by_field"), offers, "photon", overwrite=False)
+    address, changes, writes = _write_address(F.col("address"), F.col("sources_by_field"), offers, "photon", overwrite=False)
+    stamps = prov.put_stamps(F.col("sources_by_field"), changes)
     changed = hit.isNotNull() & (writes > 0)
     return {
         "address": F.when(changed, address).otherwise(F.col("address")),
@@ -200,6 +203,12 @@ def apply_absorptions(features: DataFrame, pairs: DataFrame, as_of: str) -> Data
     return without_claimed(untouched.unionByName(current), gone_ids, "gone_id").select(schema.FEATURE_COLUMNS)
 
 
+def removal_flag(all_ids_gone: Column) -> Column:
+    """osm_removed of a row the snapshot lacks: map-only rows whose every id is confirmed gone."""
+    newly = prov.is_osm_only(F.col("sources")) & all_ids_gone & ~F.coalesce("osm_removed", F.lit(False))
+    return F.when(newly, F.lit(True)).otherwise(F.col("osm_removed"))
+
+
 def link_sources(osm_ids: Column, new_tags: Column, updated: Column) -> dict[str, Column]:
     """Attach linked element ids (without version) and their tags to an existing feature."""
     entries = F.transform(osm_ids, lambda i: prov.source_entry("osm", i))

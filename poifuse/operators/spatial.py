@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from poifuse.functions import geo
+from poifuse.functions import geo, rules
 from poifuse.operators.skew import HOT_ROWS, MAX_HOT_KEYS, salts
 
 CELL = ["cell_row", "cell_col"]
@@ -177,6 +177,28 @@ def assign_region(points: DataFrame, regions: DataFrame, step: float = 0.25, nam
     return joined.withColumn(name, _owner(F.col("boxes"), F.col("lng"), F.col("lat"))).drop("tile_x", "tile_y", "boxes")
 
 
+def members_of_areas(points: DataFrame, regions: DataFrame) -> DataFrame:
+    """Points that each region's query selects.
+
+    points: lng, lat, codes (area codes it lies in). regions: one struct column
+    "region". Catch-all regions meet points on the area code, city regions on
+    coarse tiles of their box; both are equality joins.
+    """
+    step = 0.25
+    rest = regions.filter(F.col("region.role") == "rest").withColumn("code", F.col("region.iso3166_2"))
+    coded = points.withColumn("code", F.explode(F.array_distinct("codes"))).join(rest, "code").drop("code")
+    city = regions.filter(F.coalesce(F.col("region.role"), F.lit("city")) != "rest")
+
+    def span(low: str, high: str) -> Column:
+        return F.sequence(F.floor(F.col(f"region.{low}") / step), F.floor(F.col(f"region.{high}") / step))
+
+    tiled = city.withColumn("tx", F.explode(span("w", "e"))).withColumn("ty", F.explode(span("s", "n")))
+    placed = points.withColumn("tx", F.floor(F.col("lng") / step)).withColumn("ty", F.floor(F.col("lat") / step))
+    boxed = placed.join(tiled, ["tx", "ty"]).drop("tx", "ty")
+    inside = rules.in_region_area(F.col("lng"), F.col("lat"), F.col("codes"), F.col("region"))
+    return coded.unionByName(boxed).filter(inside)
+
+
 def nearest_anchor(points: DataFrame, anchors: list[dict], radius_km: float = 60.0) -> DataFrame:
     """Nearest anchor by great-circle distance, with the reason why a point is dropped.
 

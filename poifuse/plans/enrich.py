@@ -69,15 +69,16 @@ def resolve_place_ids(features: DataFrame, places: DataFrame, asked: DataFrame,
 
 def _merged(test: Column, payment: Column, hours_text: Column, source: str, as_of: str, extra: dict[str, Column]) -> dict[str, Column]:
     """Payment, hours, stamps and dates after one source has spoken, where `test` holds."""
-    block, stamps, writes = pay.merge_payment(F.col("payment"), payment, F.col("sources_by_field"), source)
-    hours, stamps, new_hours = pay.merge_hours(F.col("hours"), hours_text, stamps, source)
+    stamps = F.col("sources_by_field")
+    block, payment_stamps, writes = pay.merge_payment(F.col("payment"), payment, stamps, source)
+    hours, hours_stamps, new_hours = pay.merge_hours(F.col("hours"), hours_text, stamps, source)
     touched = (writes > 0) | new_hours
     return _when(
         test,
         {
             "payment": block,
             "hours": hours,
-            "sources_by_field": stamps,
+            "sources_by_field": prov.put_stamps(stamps, payment_stamps | hours_stamps),
             "updated": F.when(touched, F.lit(as_of)).otherwise(F.col("updated")),
             **extra,
         },

@@ -127,9 +127,15 @@ def _record(ddl: str) -> str:
 
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
     """Seed records of a JSON array with their 1-based position, skipped records included."""
-    docs = spark.read.text(path, wholetext=True)
+    return parse_seed(spark.read.text(path, wholetext=True))
+
+
+def parse_seed(docs: DataFrame) -> DataFrame:
+    """Seed records from a text column "value" holding one JSON array."""
+    kept = [c for c in docs.columns if c != "value"]
     records = F.from_json("value", f"ARRAY<{_record(schema.SEED_DDL)}>")
-    return docs.select(F.posexplode(records).alias("pos", "k")).select((F.col("pos") + 1).cast("bigint").alias("ord"), "k.*")
+    spread = docs.select(*kept, F.posexplode(records).alias("pos", "k"))
+    return spread.select(*kept, (F.col("pos") + 1).cast("bigint").alias("ord"), "k.*")
 
 
 def parse_result_cells(rows: DataFrame) -> DataFrame:
@@ -160,13 +166,20 @@ def read_search_results(spark: SparkSession, path: str) -> DataFrame:
     return parse_result_cells(rows.withColumn("ord", F.monotonically_increasing_id()))
 
 
+REVIEW_DDL = (
+    "region STRING, feature_id STRING, feature_name STRING, osm_ref STRING, osm_name STRING, "
+    "score DOUBLE, distance_m DOUBLE, name_sim DOUBLE"
+)
+
+
+def parse_review_lines(lines: DataFrame) -> DataFrame:
+    """Review rows from a text column "value" of quoted CSV lines."""
+    return lines.select(F.from_csv("value", REVIEW_DDL, {"quote": '"', "escape": '"'}).alias("r")).select("r.*")
+
+
 def read_review(spark: SparkSession, path: str) -> DataFrame:
     """Review CSV with quoted cells and doubled quotes."""
-    ddl = (
-        "region STRING, feature_id STRING, feature_name STRING, osm_ref STRING, osm_name STRING, "
-        "score DOUBLE, distance_m DOUBLE, name_sim DOUBLE"
-    )
-    return spark.read.schema(ddl).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return spark.read.schema(REVIEW_DDL).option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def read_dedup_review(spark: SparkSession, path: str) -> DataFrame:
@@ -180,9 +193,10 @@ def read_dedup_review(spark: SparkSession, path: str) -> DataFrame:
 def parse_vocabulary(raw: DataFrame) -> DataFrame:
     """Vocabulary rows from a text column "value" holding one JSON object: slug, de, group, ord."""
     entries = F.from_json("value", "MAP<STRING, STRING>")
-    spread = raw.select(F.posexplode(entries).alias("ord", "slug", "body")).filter(~F.col("slug").startswith("$"))
+    kept = [c for c in raw.columns if c != "value"]
+    spread = raw.select(*kept, F.posexplode(entries).alias("ord", "slug", "body")).filter(~F.col("slug").startswith("$"))
     body = F.from_json("body", "STRUCT<de: STRING, `group`: STRING>")
-    return spread.select("slug", body["de"].alias("de"), body["group"].alias("group"), "ord")
+    return spread.select(*kept, "slug", body["de"].alias("de"), body["group"].alias("group"), "ord")
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
