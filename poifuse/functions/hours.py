@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from poifuse.functions.text import let
 from poifuse.schema import WEEK
 
 _RANGE = r"\d{1,2}:\d{2}\s*-\s*\d{1,2}:\d{2}"
@@ -75,20 +76,20 @@ def seed_hours(times: Column, days: dict[str, str] | None = None) -> Column:
     """One slot per day, the last entry of a day wins, equal consecutive days are joined."""
     names = _lookup(days or UPPER_DAYS | ENGLISH_DAYS)
 
-    def slot_of(day: Column) -> Column:
-        entries = F.filter(
-            times,
-            lambda t: F.coalesce(
-                (F.try_element_at(names, t["day"]) == day) & t["openTime"].isNotNull() & t["closeTime"].isNotNull(),
-                F.lit(False),
-            ),
-        )
-        last = F.try_element_at(entries, F.lit(-1))
-        return hour_slot(last["openTime"], last["closeTime"])
+    def entry(t: Column) -> Column:
+        slot = hour_slot(t["openTime"], t["closeTime"])
+        return F.struct(F.try_element_at(names, t["day"]).alias("day"), slot.alias("slot"))
+
+    def by_day(entries: Column) -> Column:
+        def last_slot(day: Column) -> Column:
+            found = F.filter(entries, lambda e: F.coalesce((e["day"] == day) & e["slot"].isNotNull(), F.lit(False)))
+            return F.try_element_at(found, F.lit(-1))["slot"]
+
+        return F.transform(_week(), last_slot)
 
-    runs = day_runs(F.transform(_week(), slot_of))
-    text = F.array_join(F.transform(runs, lambda run: F.concat(run_label(run), F.lit(" "), run["slot"])), "; ")
-    return F.when(F.size(runs) > 0, text)
+    runs = day_runs(let(F.transform(times, entry), by_day))
+    labels = F.transform(runs, lambda run: F.concat(run_label(run), F.lit(" "), run["slot"]))
+    return F.nullif(F.array_join(labels, "; "), F.lit(""))
 
 
 def condense_days(days: Column) -> Column:
