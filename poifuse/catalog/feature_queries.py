@@ -142,16 +142,14 @@ LAST_SLOT = (
 )
 
 
-def _lines(spark, sf):
-    """Per order its lines in a fixed order: day number, opening and closing time."""
+def _schedules(spark, sf):
+    """Per order its schedule entries, reduced to the last line of a day before they are gathered."""
     q = F.col("l_quantity").cast("int")
-    line = F.struct(
-        *LINE_ORDER.split(", "),
-        (F.col("l_linenumber") % 7).alias("day"),
-        F.array(q % 4 + 6, F.lit(0)).alias("openTime"),
-        F.array(q % 3 + 18, F.lit(30)).alias("closeTime"),
-    )
-    return st.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    day = F.get(F.array(*[F.lit(d) for d in hrs.UPPER_DAYS]), F.col("l_linenumber") % 7)
+    times = F.struct(F.array(q % 4 + 6, F.lit(0)).alias("openTime"), F.array(q % 3 + 18, F.lit(30)).alias("closeTime"))
+    last = F.max_by(times, F.struct(*LINE_ORDER.split(", "))).alias("t")
+    days = st.table(spark, sf, "lineitem").groupBy("l_orderkey", day.alias("day")).agg(last)
+    return days.groupBy("l_orderkey").agg(F.collect_list(F.struct("day", "t.openTime", "t.closeTime")).alias("times"))
 
 
 @query(
@@ -159,9 +157,7 @@ def _lines(spark, sf):
     f"WITH {LAST_SLOT}, {islands_sql('s', 'slot')} SELECT l_orderkey, string_agg({LABEL} || ' ' || slot, '; ' ORDER BY a) AS hours FROM runs GROUP BY l_orderkey",
 )
 def seed_hours_text(spark, sf):
-    days = F.array(*[F.lit(d) for d in hrs.UPPER_DAYS])
-    times = F.transform("lines", lambda t: F.struct(F.get(days, t["day"]).alias("day"), t["openTime"].alias("openTime"), t["closeTime"].alias("closeTime")))
-    return _lines(spark, sf).select("l_orderkey", hrs.seed_hours(times).alias("hours"))
+    return _schedules(spark, sf).select("l_orderkey", hrs.seed_hours(F.col("times")).alias("hours"))
 
 
 @query(

@@ -23,8 +23,8 @@ FT_STAMPS = dict(st.STAMP_COLUMNS)
     f"WITH {FT} SELECT region, id, name, round(lng, 7) AS lng, has_payment, {SOURCES} AS sources, {st.joined_sql(FT_STAMPS)} AS stamps, hours, cash FROM ft",
 )
 def collection_round_trip(spark, sf):
-    """Features to collection documents and back."""
-    docs = writers.collections(st.features(spark, sf))
+    """Features to collection documents (several per large region) and back."""
+    docs = writers.collections(st.features(spark, sf), per_document=200)
     parsed = docs.select(F.col("region").alias("path"), F.from_json("value", schema.GEOJSON_DDL)["features"].alias("features"))
     rows = readers.parse_collections(parsed)
     flat = st.flat(rows.withColumn("has_payment", F.col("payment").isNotNull()), "region", "id", "name", "lng", "has_payment", "sources", "stamps", "hours", "payment")
@@ -41,11 +41,11 @@ def stable_positions(spark, sf):
 
 @query(
     "SRC4",
-    "SELECT p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS ord, 'h' || p_partkey AS kioskId, p_name AS name FROM part",
+    "SELECT p_brand, row_number() OVER (PARTITION BY p_brand, floor(p_partkey / 1000) ORDER BY p_partkey) AS ord, 'h' || p_partkey AS kioskId, p_name AS name FROM part",
 )
 def seed_ordinals(spark, sf):
     record = F.struct(F.col("p_partkey").alias("o"), F.concat(F.lit("h"), F.col("p_partkey").cast("string")).alias("kioskId"), F.col("p_name").alias("name"))
-    grouped = st.table(spark, sf, "part").groupBy("p_brand").agg(F.sort_array(F.collect_list(record)).alias("r"))
+    grouped = st.table(spark, sf, "part").groupBy("p_brand", F.floor(F.col("p_partkey") / 1000).alias("file")).agg(F.sort_array(F.collect_list(record)).alias("r"))
     return readers.parse_seed(grouped.select("p_brand", F.to_json("r").alias("value"))).select("p_brand", "ord", "kioskId", "name")
 
 
@@ -226,14 +226,14 @@ def expected_live_ids(spark, sf):
 
 
 def _fresh_ids(f):
-    """Stand-in snapshot ids: those of the features whose key is no multiple of seven."""
+    """Stand-in snapshot ids: those of the features whose key is no multiple of thirteen."""
     ref = F.concat(F.when(F.col("k") % 3 == 0, "node/").otherwise("way/"), F.col("k").cast("string"))
-    return f.filter("k % 7 <> 0").select("region", ref.alias("osm_id"), "k")
+    return f.filter("k % 13 <> 0").select("region", ref.alias("osm_id"), "k")
 
 
 @query(
     "JN3",
-    f"WITH {FT}, x AS (SELECT region, {REF} AS osm_id, id, ord FROM ft WHERE s_osm), y AS (SELECT region, {REF} AS osm_id, k FROM ft WHERE k % 7 <> 0) "
+    f"WITH {FT}, x AS (SELECT region, {REF} AS osm_id, id, ord FROM ft WHERE s_osm), y AS (SELECT region, {REF} AS osm_id, k FROM ft WHERE k % 13 <> 0) "
     "SELECT region, osm_id, id, k FROM x FULL JOIN y USING (region, osm_id)",
 )
 def id_matches(spark, sf):
@@ -243,7 +243,7 @@ def id_matches(spark, sf):
 
 @query(
     "JN9 SET4",
-    f"WITH {FT} SELECT region, {REF} AS osm_id FROM ft WHERE {OSM_ONLY} AND NOT osm_removed AND k % 7 = 0 AND k % 5 <> 2 AND NOT (region = 'em' AND coalesce(kind, '') = 'bar')",
+    f"WITH {FT} SELECT region, {REF} AS osm_id FROM ft WHERE {OSM_ONLY} AND NOT osm_removed AND k % 13 = 0 AND k % 5 <> 2 AND NOT (region = 'em' AND coalesce(kind, '') = 'bar')",
 )
 def confirmed_removals(spark, sf):
     f = st.features(spark, sf)
@@ -281,7 +281,7 @@ def _refreshed(spark, sf):
         "CAST(8.0 + n_nationkey * 0.003 - 0.01 AS DOUBLE) AS w", "49.99D AS s", "CAST(8.0 + n_nationkey * 0.003 + 0.013 AS DOUBLE) AS e", "51.0D AS n",
         "CASE WHEN n_nationkey = 3 THEN 'rest' ELSE 'city' END AS role", "false AS bbox_clip",
     )
-    elements = st.elements(spark, sf).filter("k % 7 <> 0").drop("iso", "prefix", "region")
+    elements = st.elements(spark, sf).filter("k % 13 <> 0").drop("iso", "prefix", "region")
     slugs = F.array(*[F.lit(s) for s in st.SLUGS])
     elements = elements.withColumn("region", F.element_at(slugs, (F.col("k") % 4).cast("int") + 1)).drop("k")
     fresh = refresh.elements_to_features(elements, regions, st.AS_OF)
@@ -304,11 +304,11 @@ def refresh_counters(spark, sf):
 
 @query(
     "MRG8",
-    f"WITH {FT} SELECT k, CASE WHEN {OSM_ONLY} AND NOT osm_removed AND k % 7 = 0 THEN true WHEN osm_removed THEN true END AS osm_removed FROM ft",
+    f"WITH {FT} SELECT k, CASE WHEN {OSM_ONLY} AND NOT osm_removed AND k % 13 = 0 THEN true WHEN osm_removed THEN true END AS osm_removed FROM ft",
 )
 def removal_flags(spark, sf):
     f = st.features(spark, sf)
-    gone = f.filter("k % 7 = 0").select("k", F.lit(True).alias("gone"))
+    gone = f.filter("k % 13 = 0").select("k", F.lit(True).alias("gone"))
     flag = merge.removal_flag(F.coalesce("gone", F.lit(False)))
     return f.join(gone, "k", "left").select("k", flag.alias("osm_removed"))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from poifuse import schema
 from poifuse.functions import geo, provenance, text
 from poifuse.operators import spatial
-from poifuse.operators.skew import HOT_ROWS, numbered
+from poifuse.operators.skew import HOT_ROWS, numbered, salted_join
 from poifuse.session import cut
 
 NEAR_M, WIDE_M, TOUCHING_M = 30.0, 60.0, 8.0
@@ -179,11 +179,11 @@ def twin_copy_pairs(seeds: DataFrame, gone_already: DataFrame) -> DataFrame:
     rows = _twin_rows(seeds)
     piles = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
     piles = piles.filter((F.col("n") > 1) & (F.col("low") == F.col("high"))).select(*keys)
-    ranked = numbered(rows.join(piles, keys, "left_semi"), keys, ["ord"], "nth")
+    ranked = numbered(salted_join(rows, piles, keys), keys, ["ord"], "nth")
     open_rows = ranked.join(gone_already.select("region", F.col("gone_id").alias("id")), ["region", "id"], "left_anti")
     open_ranked = numbered(open_rows, keys, ["ord"], "open_nth")
     head = open_ranked.groupBy(*keys).agg(F.bool_or(F.col("nth") == 1).alias("first_open"))
-    gone = open_ranked.join(head, keys).select(
+    gone = salted_join(open_ranked, head, keys).select(
         *keys,
         F.col("id").alias("gone_id"),
         F.col("ord").alias("gone_ord"),
@@ -201,14 +201,13 @@ def copy_pairs(seeds: DataFrame, maps: DataFrame) -> DataFrame:
     size is settled by one equality join instead of all its pairs.
     """
     def ranked(df: DataFrame, side: str) -> DataFrame:
-        base = _profile(df, side).withColumn("grams", F.array_sort(f"{side}_grams")).drop(f"{side}_grams", f"{side}_address")
-        return base
+        return _profile(df, side).withColumn("grams", F.array_sort(f"{side}_grams")).drop(f"{side}_grams", f"{side}_address")
 
     keys = ["region", "lng", "lat", "grams"]
     left, right = ranked(seeds, "left"), ranked(maps, "right")
     shared = left.select(*keys).distinct().join(right.select(*keys).distinct(), keys)
-    left = numbered(left.join(shared, keys, "left_semi"), keys, ["left_ord"], "nth")
-    right = numbered(right.join(shared, keys, "left_semi"), keys, ["right_ord"], "nth")
+    left = numbered(salted_join(left, shared, keys), keys, ["left_ord"], "nth")
+    right = numbered(salted_join(right, shared, keys), keys, ["right_ord"], "nth")
     exact = (F.length("left_name") >= 4) & (F.col("left_name") == F.col("right_name"))
     return left.join(right, [*keys, "nth"]).select(
         "region",
@@ -284,7 +283,7 @@ def first_row_per_id(rows: DataFrame, ident: str = "id", order: str = "ord", key
     kept: list[DataFrame] = []
     while not open_rows.isEmpty():
         first = open_rows.groupBy("region", key).agg(F.min(order).alias("first_ord"))
-        ranked = open_rows.join(first, ["region", key])
+        ranked = salted_join(open_rows, first, ["region", key])
         winners = (
             ranked.groupBy("region", ident)
             .agg(F.bool_and(F.col(order) == F.col("first_ord")).alias("wins"))
@@ -293,7 +292,7 @@ def first_row_per_id(rows: DataFrame, ident: str = "id", order: str = "ord", key
         )
         won = cut(open_rows.join(winners, ["region", ident], "left_semi"))
         kept.append(won)
-        losers = open_rows.join(won.select("region", key).distinct(), ["region", key], "left_semi").select("region", ident).distinct()
+        losers = salted_join(open_rows, won.select("region", key).distinct(), ["region", key]).select("region", ident).distinct()
         open_rows = cut(open_rows.join(losers, ["region", ident], "left_anti"))
     result = rows.limit(0)
     for part in kept:

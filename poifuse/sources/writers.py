@@ -46,18 +46,17 @@ def write_feature_lines(features: DataFrame, path: str) -> None:
     _ordered(features).select("region", feature_json().alias("value")).write.mode("errorifexists").partitionBy("region").text(path)
 
 
-def collections(features: DataFrame) -> DataFrame:
-    """One FeatureCollection document per region: region, value.
+def collections(features: DataFrame, per_document: int = 50_000) -> DataFrame:
+    """FeatureCollection documents in stable order: region, part, value.
 
-    A document is one value by definition of the format, so this suits regions
-    whose document fits a task; write_feature_lines has no such bound.
+    A region of ordinary size is one document; a larger one continues in
+    further parts, so no task ever gathers a whole region.
     """
-    entry = F.struct(
-        prov.is_osm_only(F.col("sources")).alias("map_only"), F.collate("id", "UNICODE").alias("id_key"), feature_json().alias("text")
-    )
-    grouped = features.groupBy("region").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    placed = stable_order(features).withColumn("part", F.floor((F.col("position") - 1) / per_document))
+    entry = F.struct("position", feature_json().alias("text"))
+    grouped = placed.groupBy("region", "part").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     body = F.array_join(F.transform("entries", lambda e: e["text"]), ",")
-    return grouped.select("region", F.concat(F.lit('{"type":"FeatureCollection","features":['), body, F.lit("]}")).alias("value"))
+    return grouped.select("region", "part", F.concat(F.lit('{"type":"FeatureCollection","features":['), body, F.lit("]}")).alias("value"))
 
 
 def fixed(value: Column, digits: int) -> Column:
