@@ -272,6 +272,37 @@ def distinct_candidates(spark, sf):
     return dedup.distinct_candidates(rows).select("type", "id", "ord")
 
 
+@query(
+    "SET3 SET4",
+    f"WITH {FT}, x AS (SELECT region, {REF} AS ref, id FROM ft), y AS (SELECT region, {REF} AS ref FROM ft WHERE k % 13 <> 0) "
+    f"SELECT id AS row_id, 'refreshed' AS part FROM x WHERE id IN (SELECT id FROM ft WHERE s_osm AND k % 13 <> 0) UNION ALL "
+    "SELECT id, 'kept' FROM ft WHERE NOT (s_osm AND k % 13 <> 0) UNION ALL "
+    f"SELECT {REF}, 'added' FROM ft WHERE k % 13 <> 0 AND NOT s_osm",
+)
+def merged_row_set(spark, sf):
+    """Rows of a new snapshot by origin: refreshed, kept and added."""
+    f = st.features(spark, sf)
+    matches = linking.match_by_osm_id(f, _fresh_ids(f).drop("k").withColumn("in_fresh", F.lit(True)))
+    refreshed = matches.filter(F.col("in_fresh") & F.col("id").isNotNull()).select(F.col("id").alias("row_id"), F.lit("refreshed").alias("part"))
+    added = matches.filter(F.col("id").isNull()).select(F.col("osm_id").alias("row_id"), F.lit("added").alias("part"))
+    kept = f.select(F.col("id").alias("row_id")).join(refreshed, "row_id", "left_anti").withColumn("part", F.lit("kept"))
+    return refreshed.unionByName(kept).unionByName(added)
+
+
+ACTION = "CASE user_id % 4 WHEN 0 THEN 'added' WHEN 1 THEN CASE event_type WHEN 'view' THEN 'updated' WHEN 'click' THEN 'removed' ELSE 'kept_non_osm' END WHEN 2 THEN 'linked_non_osm' ELSE 'dropped_market' END"
+
+
+@query(
+    "AGG7",
+    f"WITH a AS (SELECT user_id % 9 AS region, {ACTION} AS action FROM events) SELECT region, "
+    + ", ".join(f"count_if(action = '{name}') AS {name}" for name in stats.REFRESH_ACTIONS)
+    + " FROM a GROUP BY region",
+)
+def action_counters(spark, sf):
+    actions = st.table(spark, sf, "events").selectExpr("user_id % 9 AS region", f"{ACTION} AS action")
+    return stats.refresh_counters(actions)
+
+
 def _refreshed(spark, sf):
     """Whole refresh: features against a snapshot of the same places, four overlapping regions."""
     f = st.features(spark, sf)

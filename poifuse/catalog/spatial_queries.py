@@ -274,7 +274,28 @@ def seed_twins(spark, sf):
     return dedup.twin_pairs(seeds, seeds).select("region", "gone_id", "kept_id", F.round("meters", 4).alias("meters"))
 
 
-@query("WIN1 JN7 JN8")
+TWIN_SQL = (
+    "s AS (SELECT *, (cash IS NOT NULL)::INT + (hours IS NOT NULL)::INT + (street <> '')::INT + (coalesce(number, '') <> '')::INT + (description IS NOT NULL)::INT AS score "
+    "FROM n WHERE side = 0 AND length(nm) >= 4), t AS (SELECT a.region, a.id AS a_id, b.id AS b_id, a.score >= b.score AS first_stays, "
+    f"{st.haversine_sql('a.lat', 'a.lng', 'b.lat', 'b.lng')} AS meters FROM s a JOIN s b ON a.region = b.region AND a.nm = b.nm AND a.ord < b.ord AND {st.near_sql('a', 'b')})"
+)
+BOTH = (
+    "p AS (SELECT region, gone_id, kept_id, meters, sim, reason, CASE WHEN reason = 'B:dice' THEN 1 ELSE 0 END AS tier, 0 AS kind, gone_id AS o1, kept_id AS o2 FROM r WHERE reason IS NOT NULL "
+    "UNION ALL SELECT region, CASE WHEN first_stays THEN b_id ELSE a_id END, CASE WHEN first_stays THEN a_id ELSE b_id END, meters, 1.0, 'twin', 0, 1, a_id, b_id FROM t WHERE meters <= 60)"
+)
+# A pair that is best for both its rows is taken; the rest goes into the next round.
+BEST = ", ".join(
+    f"row_number() OVER (PARTITION BY region, {side} ORDER BY tier, sim DESC, meters, kind, o1, o2) AS {name}" for side, name in (("gone_id", "g"), ("kept_id", "h"))
+)
+GREEDY_SQL = (
+    f"{PAIR_SQL.replace('WITH ', 'WITH RECURSIVE ', 1)}, {TWIN_SQL}, {BOTH}, z AS (SELECT *, {BEST} FROM p UNION ALL "
+    f"SELECT region, gone_id, kept_id, meters, sim, reason, tier, kind, o1, o2, {BEST} FROM z WHERE NOT (g = 1 AND h = 1) "
+    "AND gone_id NOT IN (SELECT gone_id FROM z WHERE g = 1 AND h = 1) AND kept_id NOT IN (SELECT kept_id FROM z WHERE g = 1 AND h = 1)) "
+    "SELECT region, gone_id, kept_id, round(meters, 4) AS meters, round(sim, 6) AS sim, reason, tier FROM z WHERE g = 1 AND h = 1"
+)
+
+
+@query("WIN1 JN7 JN8", GREEDY_SQL)
 def one_to_one_pairs(spark, sf):
     rows = _pairing(spark, sf)
     kind = F.when(F.col("id") % 2 == 0, "hopfenstop").otherwise("osm")
