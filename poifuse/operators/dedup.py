@@ -233,19 +233,19 @@ def assign_one_to_one(pairs: DataFrame) -> DataFrame:
     to the checkpoint folder.
     """
     open_pairs = cut(pairs.withColumn("neg_sim", -F.col("sim")))
+    columns = open_pairs.columns
     taken: list[DataFrame] = []
     rank = F.struct(*ORDER, "gone_id", "kept_id")
     while not open_pairs.isEmpty():
         gone = open_pairs.groupBy("region", "gone_id").agg(F.min(rank).alias("best"))
-        kept = open_pairs.groupBy("region", F.col("kept_id")).agg(F.min(rank).alias("best"))
+        kept = open_pairs.groupBy("region", "kept_id").agg(F.min(rank).alias("best"))
         mutual = gone.select("region", "best").join(kept.select("region", "best"), ["region", "best"])
-        won = cut(mutual.select("region", F.col("best.gone_id").alias("gone_id"), F.col("best.kept_id").alias("kept_id")))
-        taken.append(open_pairs.join(won, ["region", "gone_id", "kept_id"], "left_semi"))
-        open_pairs = cut(
-            open_pairs.join(won.select("region", "gone_id"), ["region", "gone_id"], "left_anti").join(
-                won.select("region", "kept_id"), ["region", "kept_id"], "left_anti"
-            )
-        )
+        won = mutual.select("region", F.col("best.gone_id").alias("gone_id"), F.col("best.kept_id").alias("kept_id"))
+        by_gone = won.withColumnRenamed("kept_id", "kept_by_gone")
+        by_kept = won.withColumnRenamed("gone_id", "gone_by_kept")
+        marked = cut(open_pairs.join(by_gone, ["region", "gone_id"], "left").join(by_kept, ["region", "kept_id"], "left"))
+        taken.append(marked.filter(F.col("kept_by_gone") == F.col("kept_id")))
+        open_pairs = marked.filter(F.col("kept_by_gone").isNull() & F.col("gone_by_kept").isNull()).select(columns)
     result = pairs.limit(0)
     for part in taken:
         result = result.unionByName(part.select(result.columns))
