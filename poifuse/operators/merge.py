@@ -257,7 +257,9 @@ def attribute_seed(features: DataFrame, seed: DataFrame) -> DataFrame:
     ided = features.withColumn(
         "seed_id", F.get(F.filter("sources", lambda s: s["type"] == "hopfenstop"), F.lit(0))["id"]
     )
-    joined = ided.join(upstream, "seed_id", "left")
+    # Rows without a seed id stay out of the join, or they would all meet in one task.
+    linked = ided.filter(F.col("seed_id").isNotNull()).join(upstream, "seed_id", "left")
+    joined = linked.unionByName(ided.filter(F.col("seed_id").isNull()), allowMissingColumns=True)
     tests = attribution(F.col("upstream"))
     paths = F.array_compact(F.array(*[F.when(test, F.lit(path)) for path, test in tests.items()]))
     stamped = joined.withColumn("stamped_paths", paths)
