@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poifuse.llm import common, packing, token_files
+from poifuse.llm import common, packing, partenum, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,3 +37,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.stage_path(spark, "tokens")
     token_files.write_token_files(_read(spark, sf_dir, "documents"), _tokenizer(), path)
     return token_files.token_digest(spark, path)
+
+
+@_query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_groups(_read(spark, sf_dir, "documents"))
