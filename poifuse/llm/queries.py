@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poifuse.llm import common, packing, partenum, substring, token_files
+from poifuse.llm import common, cube, packing, partenum, substring, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,3 +48,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_groups(_read(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cube.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
