@@ -8,8 +8,9 @@ constraints (words and documents of the source) until one of three active
 documents is decided, then the next document takes its place. A source is cut
 into blocks by doc_id, so that a source with a third of all rows is many groups;
 each block leaves at most two undecided documents, which later rounds balance over
-many blocks, until two per source are left. For these landings the choice nearest
-to the source's words is taken.
+many blocks, until two per source are left. They land on the choice nearest to the
+source's words; a few documents of the last round may then change sides, which
+keeps small sources near their target.
 
 Large documents come first, so that what stays undecided is small. All choices
 depend on the rows alone (order by size and doc_id, random numbers by block), so reruns agree, whatever the partitions. Nulls and ties: a null text has size 0 and
@@ -90,8 +91,11 @@ def flight(size: np.ndarray, p: np.ndarray, draws: np.ndarray) -> np.ndarray:
     return out
 
 
-def landing(size: np.ndarray, p: np.ndarray, draw: float) -> np.ndarray:
-    """Decide at most two documents: the choice whose words are nearest to the expected ones; the draw breaks ties."""
+def landing(size: np.ndarray, entry: np.ndarray, p: np.ndarray, draw: float, flips: int = 6) -> np.ndarray:
+    """Decide at most two documents, by the choice whose words are nearest to the expected ones; the draw breaks ties.
+
+    In a small source one document may still weigh much, so up to `flips` documents
+    that were open at entry change sides, each the one that helps the words most."""
     open_ = np.flatnonzero((p > _EPS) & (p < 1 - _EPS))
     out = p.copy()
     want = float((size[open_] * p[open_]).sum())
@@ -99,6 +103,14 @@ def landing(size: np.ndarray, p: np.ndarray, draw: float) -> np.ndarray:
     off = [abs(float((size[open_] * np.array(c)).sum()) - want) if len(open_) else 0.0 for c in choices]
     best = [c for c, o in zip(choices, off) if o == min(off)]
     out[open_] = best[int(draw * len(best))]
+    movable = np.flatnonzero((entry > _EPS) & (entry < 1 - _EPS))
+    for _ in range(flips if len(movable) else 0):
+        error = float((size * (out - entry)).sum())
+        change = size[movable] * (1 - 2 * out[movable])
+        k = int(np.argmin(np.abs(error + change)))
+        if abs(error + change[k]) >= abs(error):
+            break
+        out[movable[k]] = 1 - out[movable[k]]
     return out
 
 
@@ -111,9 +123,9 @@ def _round(last: bool, seed: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["size", "doc_id", "row"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
         draws = _draws(frame, seed)
-        frame["p"] = flight(frame["size"].to_numpy(), frame["p"].to_numpy(), draws)
-        if last:
-            frame["p"] = landing(frame["size"].to_numpy(), frame["p"].to_numpy(), float(draws[-1]))
+        size, entry = frame["size"].to_numpy(), frame["p"].to_numpy()
+        moved = flight(size, entry, draws)
+        frame["p"] = landing(size, entry, moved, float(draws[-1])) if last else moved
         return frame
 
     return run
