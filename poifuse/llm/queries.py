@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poifuse.llm import common, cube, packing, partenum, substring, token_files
+from poifuse.llm import common, cube, line_quality, packing, partenum, substring, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.report(_read(spark, sf_dir, "documents"))
+
+
+SQL["op2_line_quality"] = line_quality.ORACLE_SQL
+
+
 @_query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
