@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poifuse.llm import common, cube, line_quality, packing, partenum, substring, token_files
+from poifuse.llm import common, cube, line_quality, packing, partenum, projection_forest, substring, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,6 +53,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, path)
 
 
+@_query
+def op6_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_groups(_read(spark, sf_dir, "documents"))
