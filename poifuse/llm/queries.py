@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poifuse.llm import common, cube, line_quality, packing, partenum, projection_forest, substring, token_files
+from poifuse.llm import common, cube, line_quality, packing, partenum, projection_forest, substring, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,6 +53,15 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(spark, path)
 
 
+@_query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(url_filter.RULES), "host string, path string, verdict string")
+    return url_filter.judge(_read(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL["op5_url_filter"] = url_filter.ORACLE_SQL
+
+
 @_query
 def op6_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_forest.near_vectors(_read(spark, sf_dir, "embeddings"))
