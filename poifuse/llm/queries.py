@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poifuse.llm import common, cube, line_quality, packing, partenum, projection_forest, substring, token_files, url_filter
+from poifuse.llm import common, cube, line_quality, packing, page_template, partenum, projection_forest, substring, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_page_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_template.extract(_read(spark, sf_dir, "pages"))
+
+
 @_query
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.report(_read(spark, sf_dir, "documents"))
