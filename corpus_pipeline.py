@@ -1,10 +1,76 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again.
+
+Every stage works on all rows that its predecessor kept. Cases: null and empty
+texts fail the quality rules; repeated rows and rows that share a doc_id are one
+document from the second stage on (the one with the smallest text stays); rows
+with a null doc_id have no identity, they pass the second stage and are taken once
+by the mix. Columns besides doc_id, text, source and n_chars are carried along.
+An empty table gives an empty result."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from poifuse.llm import common, cube, line_quality, packing, partenum, substring
+
+#: Neither stage can be said in SQL as a whole; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def _recounted(docs: DataFrame) -> DataFrame:
+    """n_chars of texts as they are now."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Failing lines go; documents that break a base limit or lose too many words go."""
+    return _recounted(line_quality.clean(docs))
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicate documents the one with the smallest doc_id stays."""
+    groups = partenum.jaccard_groups(docs)
+    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
+    # the join has brought rows of one doc_id together
+    one = kept.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
+    rows = one.select(*[F.col("doc_id") if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns])
+    return rows.union(docs.where("doc_id is null"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that a document with a smaller doc_id has are cut out of texts."""
+    return _recounted(substring.remove_repeats(docs))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or twice. Rows that share a doc_id are taken equally often."""
+    times = cube.mix(docs).where("doc_id is not null").groupBy("doc_id").agg(F.round(F.avg("times")).cast("int").alias("_times"))
+    taken = docs.join(times.where("_times > 0"), "doc_id").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy"))
+    return taken.select(*docs.columns).union(docs.where("doc_id is null"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents packed into sequences."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("jaccard_join", jaccard_join),
+    ("substring_dedup", substring_dedup),
+    ("source_mix", source_mix),
+    ("best_fit_packing", best_fit_packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, function in STAGES:
+        docs = common.stage(function(spark, docs, sf_dir), name)
+    return docs

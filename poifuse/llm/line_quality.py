@@ -92,7 +92,10 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     failed = (F.col("q_words") < MIN_WORDS) | (100 * F.col("q_repeat_words") > 50 * F.col("q_words"))
     step = step.withColumn("q_base_failed", failed)
-    return step.withColumn("q_kept", ~failed & (F.col("q_lost_words") <= LOSS * F.col("q_words")))
+    step = step.withColumn("q_kept", ~failed & (F.col("q_lost_words") <= LOSS * F.col("q_words")))
+    # one row in, one row out: a filter on the verdict isn't pushed below and doesn't repeat the work
+    marks = [c for c in step.columns if c.startswith("q_")]
+    return step.select(*names, F.explode(F.array(F.struct(*marks))).alias("q_all")).select(*names, *[F.col("q_all")[c].alias(c) for c in marks])
 
 
 def report(docs: DataFrame) -> DataFrame:

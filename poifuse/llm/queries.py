@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poifuse.llm import common, cube, line_quality, packing, page_template, partenum, projection_forest, substring, token_files, url_filter
+from poifuse.llm import common, cube, licence_classifier, line_quality, packing, page_template, partenum, projection_forest, substring, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -72,6 +72,11 @@ def op6_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_forest.near_vectors(_read(spark, sf_dir, "embeddings"))
 
 
+@_query
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_classifier.report(_read(spark, sf_dir, "documents"))
+
+
 @_query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_groups(_read(spark, sf_dir, "documents"))
