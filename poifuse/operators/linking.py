@@ -86,9 +86,10 @@ def first_similar(
 
 
 def without_near_duplicates(fresh: DataFrame, existing: DataFrame) -> DataFrame:
-    """Fresh rows that no existing row shadows by place and name."""
-    shadowed = first_similar(fresh, existing).select(F.col("fresh_id").alias("id"))
-    return fresh.join(shadowed, "id", "left_anti")
+    """Fresh rows that no existing row of the same region shadows by place and name (no region column: one region)."""
+    keys = ["region"] if "region" in fresh.columns and "region" in existing.columns else []
+    shadowed = first_similar(fresh, existing, keys=keys).select(*keys, F.col("fresh_id").alias("id"))
+    return fresh.join(shadowed, [*keys, "id"], "left_anti")
 
 
 def match_score(similarity: Column, meters: Column) -> Column:
@@ -136,40 +137,43 @@ def best_match(
 
 # Matching against landed answers. The answers carry the id of the asking
 # feature; join and aggregation share that key, so there is one shuffle, and
-# the minimum is taken before it where Spark can.
+# the minimum is taken before it where Spark can. Ids may repeat within and across
+# regions: `keys` names further columns of the asking row (region, ord), which come
+# back as f_region, f_ord, and every row then has an answer of its own.
 
 
-def _answers(features: DataFrame, answers: DataFrame) -> DataFrame:
-    place = features.select(F.col("id").alias("feature_id"), F.col("lng").alias("f_lng"), F.col("lat").alias("f_lat"))
+def _answers(features: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:
+    place = features.select(F.col("id").alias("feature_id"), *[F.col(k).alias(f"f_{k}") for k in keys], F.col("lng").alias("f_lng"), F.col("lat").alias("f_lat"))
     meters = geo.haversine_m(F.col("f_lat"), F.col("f_lng"), F.col("lat"), F.col("lng"))
     return answers.join(place, "feature_id").withColumn("meters", meters).drop("f_lng", "f_lat")
 
 
-def _pick(near: DataFrame, order: list) -> DataFrame:
-    rest = [c for c in near.columns if c != "feature_id"]
-    return near.groupBy("feature_id").agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("best")).select("feature_id", "best.*")
+def _pick(near: DataFrame, order: list, keys: list[str]) -> DataFrame:
+    names = ["feature_id", *[f"f_{k}" for k in keys]]
+    rest = [c for c in near.columns if c not in names]
+    return near.groupBy(*names).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("best")).select(*names, "best.*")
 
 
-def best_geocode_hit(features: DataFrame, hits: DataFrame) -> DataFrame:
+def best_geocode_hit(features: DataFrame, hits: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Hit within 50 m with a street or number: street and number first, then distance."""
     street, number = text.has_text(F.col("street")), text.has_text(F.col("housenumber"))
     usable = hits.filter((F.col("country").isNull() | (F.col("country") == "") | F.col("country").isin(COUNTRIES)) & (street | number))
-    near = _answers(features, usable).filter(F.col("meters") <= GEOCODE_RADIUS_M)
+    near = _answers(features, usable, list(keys)).filter(F.col("meters") <= GEOCODE_RADIUS_M)
     near = near.withColumn("score", F.when(street, 2).otherwise(0) + F.when(number, 1).otherwise(0))
-    return _pick(near, [-F.col("score"), F.col("meters"), F.col("ord")])
+    return _pick(near, [-F.col("score"), F.col("meters"), F.col("ord")], list(keys))
 
 
-def nearest_place(features: DataFrame, places: DataFrame) -> DataFrame:
+def nearest_place(features: DataFrame, places: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Nearest place with an id within 150 m."""
     usable = places.filter(text.has_text(F.col("place_id")) & F.col("lat").isNotNull() & F.col("lng").isNotNull())
-    near = _answers(features, usable).filter(F.col("meters") <= PLACE_RADIUS_M)
-    return _pick(near, [F.col("meters"), F.col("ord")])
+    near = _answers(features, usable, list(keys)).filter(F.col("meters") <= PLACE_RADIUS_M)
+    return _pick(near, [F.col("meters"), F.col("ord")], list(keys))
 
 
-def first_result(features: DataFrame, results: DataFrame) -> DataFrame:
+def first_result(features: DataFrame, results: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """First search result, in result order, within 50 m."""
-    near = _answers(features, results.filter(text.has_text(F.col("feature_id"))))
-    return _pick(near.filter(F.col("meters") <= RESULT_RADIUS_M), [F.col("ord")])
+    near = _answers(features, results.filter(text.has_text(F.col("feature_id"))), list(keys))
+    return _pick(near.filter(F.col("meters") <= RESULT_RADIUS_M), [F.col("ord")], list(keys))
 
 
 def match_by_osm_id(existing: DataFrame, fresh: DataFrame) -> DataFrame:
@@ -182,12 +186,16 @@ def match_by_osm_id(existing: DataFrame, fresh: DataFrame) -> DataFrame:
     return ids.join(fresh, ["region", "osm_id"], "full_outer")
 
 
-def confirm_review(review: DataFrame, features: DataFrame, results: DataFrame) -> DataFrame:
+def confirm_review(review: DataFrame, features: DataFrame, results: DataFrame, failed: DataFrame | None = None) -> DataFrame:
     """Outcome of every review row: confirmed, no-match, skipped or error, with the reason.
 
     A row is confirmed when any search result lies within 50 m of its feature.
+    Of rows that share region and id the first (by ord, if there is one) counts.
+    failed: (region, feature_id) of searches that gave no answer; their rows are errors.
     """
-    place = features.select("region", F.col("id").alias("feature_id"), F.col("lng").alias("f_lng"), F.col("lat").alias("f_lat"))
+    first = F.struct("ord", "lng", "lat") if "ord" in features.columns else F.struct("lng", "lat")
+    place = features.groupBy("region", F.col("id").alias("feature_id")).agg(F.min_by(F.struct("lng", "lat"), first).alias("at"))
+    place = place.select("region", "feature_id", F.col("at.lng").alias("f_lng"), F.col("at.lat").alias("f_lat"))
     known = features.select("region").distinct().withColumn("region_known", F.lit(True))
     rows = review.join(known, "region", "left").join(place, ["region", "feature_id"], "left")
     near = geo.haversine_m(F.col("f_lat"), F.col("f_lng"), F.col("lat"), F.col("lng")) <= RESULT_RADIUS_M
@@ -208,5 +216,10 @@ def confirm_review(review: DataFrame, features: DataFrame, results: DataFrame) -
         .when(F.coalesce("near", F.lit(False)), "confirmed")
         .otherwise("no-match")
     )
-    judged = rows.join(hits, ["region", "feature_id"], "left").withColumn("detail", detail).withColumn("outcome", outcome)
+    rows = rows.join(hits, ["region", "feature_id"], "left")
+    if failed is not None:
+        lost = failed.select("region", "feature_id").distinct().withColumn("lost", F.lit(True))
+        rows = rows.join(lost, ["region", "feature_id"], "left")
+        detail = F.coalesce(detail, F.when(F.col("lost"), "search failed"))
+    judged = rows.withColumn("detail", detail).withColumn("outcome", outcome)
     return judged.select(*review.columns, "outcome", "detail")

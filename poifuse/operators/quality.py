@@ -130,12 +130,18 @@ def accept_answers(shares: DataFrame) -> DataFrame:
     """
     good = F.when(F.col("share") <= MAX_MISSING_SHARE, F.col("mirror"))
     chosen = shares.groupBy("region", "query_group").agg(F.min(good).alias("mirror"))
-    status = (
-        F.when(F.col("mirror").isNotNull(), "accepted")
-        .when(F.col("query_group") == "kiosk", "region failed")
-        .otherwise("group frozen")
-    )
-    return chosen.withColumn("status", status)
+    return chosen.withColumn("status", _group_status())
+
+
+def _group_status() -> Column:
+    return F.when(F.col("mirror").isNotNull(), "accepted").when(F.col("query_group") == "kiosk", "region failed").otherwise("group frozen")
+
+
+def judged_groups(asked: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Status of every asked or answered (region, query_group); one that nobody answered fails like a refused one."""
+    keys = ["region", "query_group"]
+    every = asked.select(keys).union(accepted.select(keys)).distinct()
+    return every.join(accepted.select(*keys, "mirror"), keys, "left").withColumn("status", _group_status())
 
 
 def valid_points(points: DataFrame) -> DataFrame:

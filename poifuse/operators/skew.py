@@ -9,10 +9,6 @@ from poifuse.session import cut
 
 # A key with more rows than this on a side is split; tune to executor memory.
 HOT_ROWS = 20_000
-# Most keys that are ever treated as hot; bounds the broadcast list of hot keys.
-# A key above one per mille of all rows is always among them. The rest join as
-# usual, so the bound changes how work is spread and never the result.
-MAX_HOT_KEYS = 1_000
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -35,8 +31,9 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("left_n")).filter(F.col("left_n") > hot_rows)
-    hot = F.broadcast(counts.orderBy(F.desc("left_n")).limit(MAX_HOT_KEYS))
+    # Every hot key is listed. The list has at most one row per hot_rows input rows; Spark
+    # broadcasts it while it is small, and splits skewed partitions of this join otherwise.
+    hot = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("left_n")).filter(F.col("left_n") > hot_rows)
     n = F.coalesce(F.ceil(F.col("left_n") / hot_rows).cast("int"), F.lit(1))
     a = left.join(hot, keys, "left").withColumn("salt", F.pmod(row_hash(left), n).cast("int")).drop("left_n")
     b = right.join(hot, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("left_n")

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poifuse.functions import geo, rules
-from poifuse.operators.skew import HOT_ROWS, MAX_HOT_KEYS, salts
+from poifuse.operators.skew import HOT_ROWS, salts
+from poifuse.session import cut
 
 CELL = ["cell_row", "cell_col"]
 NO_TOKEN = -1
@@ -32,11 +33,11 @@ def _spread(df: DataFrame, step: float) -> DataFrame:
     )
 
 
-def crowded_cells(left: DataFrame, right: DataFrame, radius_m: float, hot_rows: int = HOT_ROWS) -> list[Row]:
-    """Measure before planning: the fullest cells by number of pairs, at most MAX_HOT_KEYS of them.
+def crowded_cells(left: DataFrame, right: DataFrame, radius_m: float, hot_rows: int = HOT_ROWS) -> DataFrame | bool:
+    """Measure before planning: every cell with too many pairs, as a table; False if there is none.
 
-    One light pass over the coordinates. Usually the list is empty and the join
-    that follows is a plain equality join on the cell.
+    One light pass over the coordinates. Without crowded cells the join that
+    follows is a plain equality join on the cell.
     """
     step = geo.grid_step(radius_m)
     count = F.count(F.lit(1))
@@ -44,18 +45,14 @@ def crowded_cells(left: DataFrame, right: DataFrame, radius_m: float, hot_rows:
     right_counts = _gridded(right.select("lng", "lat"), step).groupBy(*CELL).agg(count.alias("right_n"))
     pairs = F.col("left_n").cast("double") * F.col("right_n")
     hot = left_counts.join(right_counts, CELL).filter(pairs > float(hot_rows) * hot_rows)
-    return hot.orderBy(pairs.desc()).limit(MAX_HOT_KEYS).collect()
+    hot = cut(hot)
+    return False if hot.isEmpty() else hot
 
 
-def _hot_table(df: DataFrame, hot: list[Row]) -> DataFrame:
-    ddl = "cell_row BIGINT, cell_col BIGINT, left_n BIGINT, right_n BIGINT"
-    return F.broadcast(df.sparkSession.createDataFrame([tuple(row) for row in hot], ddl))
-
-
-def _blocks(df: DataFrame, hot: list[Row], side: str, tokens: Column | None, hot_rows: int) -> DataFrame:
+def _blocks(df: DataFrame, hot: DataFrame, side: str, tokens: Column | None, hot_rows: int) -> DataFrame:
     left_salts = F.ceil(F.col("left_n") / hot_rows).cast("int")
     right_salts = F.ceil(F.col("right_n") / hot_rows).cast("int")
-    blocked = df.join(_hot_table(df, hot), CELL, "left")
+    blocked = df.join(hot, CELL, "left")
     if tokens is not None:
         none = F.array(F.lit(NO_TOKEN).cast("bigint"))
         blocked = blocked.withColumn("token", F.explode(F.when(F.col("left_n").isNull(), none).otherwise(tokens)))
@@ -71,7 +68,7 @@ def pairs_within(
     tokens: Callable[[str], Column] | None = None,
     condition: Callable[[Column], Column] | None = None,
     hot_rows: int = HOT_ROWS,
-    hot: list[Row] | None = None,
+    hot: DataFrame | bool | None = None,
     keys: list[str] | None = None,
 ) -> DataFrame:
     """Pairs of points at most radius_m apart, with their distance as "meters".
@@ -103,10 +100,10 @@ def pairs_within(
     return near.drop(*CELL, "left_salt", "right_salt")
 
 
-def in_crowded_cells(points: DataFrame, hot: list[Row], radius_m: float) -> DataFrame:
+def in_crowded_cells(points: DataFrame, hot: DataFrame, radius_m: float) -> DataFrame:
     """Distinct positions whose surroundings touch a crowded cell."""
     spread = _spread(points.select("lng", "lat").distinct(), geo.grid_step(radius_m))
-    return spread.join(_hot_table(points, hot).select(*CELL), CELL, "left_semi").select("lng", "lat").distinct()
+    return spread.join(hot.select(*CELL), CELL, "left_semi").select("lng", "lat").distinct()
 
 
 def nearest_within(

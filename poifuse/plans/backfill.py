@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from poifuse import schema
 from poifuse.functions import geo, text
 from poifuse.functions import provenance as prov
-from poifuse.operators import linking, merge, stats
+from poifuse.operators import dedup, linking, merge, stats
 from poifuse.session import cut
 
 TILE, TILE_PAD = 0.5, 0.01
@@ -24,6 +24,8 @@ class Backfilled:
     review: DataFrame
     counters: DataFrame
 
+ROW = ["region", "ord", "id"]  # ids repeat within and across regions
+
 
 def is_fresh_since(since: str | None) -> Column:
     """Touched on or after the date; rows without any date count as stale."""
@@ -62,16 +64,18 @@ def backfill_from_map(
 ) -> Backfilled:
     """elements: type, id, version, lng, lat, tags of candidate elements; hits: landed geocoder answers."""
     scope = in_scope(features, since)
+    # overlapping tiles list an element more than once; the first counts
+    elements = dedup.distinct_candidates(elements if "ord" in elements.columns else elements.withColumn("ord", F.lit(0)))
     sites = elements.select(
         F.struct("type", "id").alias("ord"), F.struct("type", "id").alias("id"), F.coalesce(F.col("tags")["name"], F.lit("")).alias("name"), "lng", "lat"
     )
     matches = linking.best_match(
-        unlinked(features).select("region", "id", "name", "lng", "lat"), visible_candidates(scope, sites), keys=["region"]
+        unlinked(features).select("region", F.struct("ord", "id").alias("id"), "name", "lng", "lat"), visible_candidates(scope, sites), keys=["region"]
     )
-    matches = cut(matches.withColumnRenamed("feature_id", "id"))
-    chosen = matches.filter(F.col("verdict") == "accepted").select("region", "id", "candidate_id")
+    matches = cut(matches.select("region", "feature_id.ord", "feature_id.id", *[c for c in matches.columns if c not in ("region", "feature_id")]))
+    chosen = matches.filter(F.col("verdict") == "accepted").select(*ROW, "candidate_id")
     detail = elements.select(F.struct("type", "id").alias("candidate_id"), "version", F.col("tags").alias("c_tags"))
-    joined = features.join(chosen.join(detail, "candidate_id"), ["region", "id"], "left")
+    joined = features.join(chosen.join(detail, "candidate_id"), ROW, "left")
     hit = F.col("candidate_id").isNotNull()
     changes, counts = merge.backfill(F.col("c_tags"), F.col("candidate_id.type"), F.col("candidate_id.id"), F.col("version"), as_of)
     counted = joined.select(
@@ -81,12 +85,12 @@ def backfill_from_map(
     )
     measures = ["matched", *counts]
     totals = counted.agg(*[F.sum(m).alias(m) for m in measures])
-    filled = fill_addresses(counted.select(schema.FEATURE_COLUMNS), scope.select("region", "id"), hits, as_of)
+    filled = fill_addresses(counted.select(schema.FEATURE_COLUMNS), scope.select(ROW), hits, as_of)
 
     review = matches.filter(F.col("verdict") == "uncertain").join(
         elements.select(F.struct("type", "id").alias("candidate_id"), F.col("tags")["name"].alias("osm_name")), "candidate_id"
     )
-    named = review.join(features.select("region", "id", F.col("name").alias("feature_name")), ["region", "id"])
+    named = review.join(features.select(*ROW, F.col("name").alias("feature_name")), ROW)
     rows = named.select(
         "region",
         F.col("id").alias("feature_id"),
@@ -105,19 +109,22 @@ def fill_addresses(features: DataFrame, scope: DataFrame, hits: DataFrame, as_of
 
     A budget limits how many rows are asked, in id order.
     """
-    asking = features.join(scope, ["region", "id"], "left_semi").filter(needs_address())
+    asking = features.join(scope, ROW, "left_semi").filter(needs_address())
     if budget is not None:
-        asking = asking.orderBy("region", "id").limit(budget)
-    best = linking.best_geocode_hit(asking.select("id", "lng", "lat"), hits)
+        asking = asking.orderBy("region", "id", "ord").limit(budget)
+    answer = _hits(asking, hits)
+    return merge.rewrite(features.join(answer, ROW, "left"), merge.fill_address(F.col("hit"), as_of))
+
+
+def _hits(asking: DataFrame, hits: DataFrame) -> DataFrame:
+    best = linking.best_geocode_hit(asking.select(*ROW, "lng", "lat"), hits.drop("region"), ("region", "ord"))
     fields = ["street", "housenumber", "postcode", "city", "district"]
-    answer = best.select(F.col("feature_id").alias("id"), F.struct(*fields).alias("hit"))
-    return merge.rewrite(features.join(answer, "id", "left"), merge.fill_address(F.col("hit"), as_of))
+    return best.select(F.col("f_region").alias("region"), F.col("f_ord").alias("ord"), F.col("feature_id").alias("id"), F.struct(*fields).alias("hit"))
 
 
 def geocode_counters(features: DataFrame, hits: DataFrame) -> DataFrame:
     """How many rows lack an address and how many of those a hit can help."""
     asking = features.filter(needs_address())
-    best = linking.best_geocode_hit(asking.select("id", "lng", "lat"), hits).select(F.col("feature_id").alias("id"), F.lit(True).alias("hit"))
-    joined = asking.join(best, "id", "left")
-    matched = F.coalesce("hit", F.lit(False))
+    joined = asking.join(_hits(asking, hits), ROW, "left")
+    matched = F.col("hit").isNotNull()
     return stats.count_flags(joined, {"considered": F.lit(True), "matched": matched, "no_match": ~matched})

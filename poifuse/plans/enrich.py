@@ -40,6 +40,20 @@ def worklist_counters(features: DataFrame) -> DataFrame:
     return stats.count_flags(worklist(features), flags)
 
 
+# A row is told apart by all three: ids repeat within and across regions.
+ROW = ["region", "ord", "id"]
+
+
+def _answered(best: DataFrame) -> DataFrame:
+    return best.withColumnsRenamed({"feature_id": "id", "f_region": "region", "f_ord": "ord"})
+
+
+def _asked(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """Rows whose id was asked about; in the row's region only, if the list names regions."""
+    keys = ["region", "id"] if "region" in asked.columns else ["id"]
+    return rows.join(asked.withColumnRenamed("feature_id", "id").select(keys), keys, "left_semi").select(*ROW, "lng", "lat")
+
+
 def _when(test: Column, changes: dict[str, Column]) -> dict[str, Column]:
     return {name: F.when(test, value).otherwise(F.col(name)) for name, value in changes.items()}
 
@@ -51,18 +65,16 @@ def resolve_place_ids(features: DataFrame, places: DataFrame, asked: DataFrame,
     a resolved one loses it.
     """
     want = worklist(features).filter(prov.apple_id(F.col("sources")).isNull() & due(F.col("apple_id_attempted"), as_of))
-    tried = want.join(asked.select(F.col("feature_id").alias("id")), "id", "left_semi").select("id", "lng", "lat")
-    best = linking.nearest_place(tried, places).select(F.col("feature_id").alias("id"), F.col("place_id").alias("new_place"))
-    outcome = tried.select("id", F.lit(True).alias("tried")).join(best, "id", "left")
-    joined = features.join(outcome, "id", "left")
+    tried = _asked(want, asked)
+    best = _answered(linking.nearest_place(tried, places.drop("region"), ("region", "ord")).drop("ord")).select(*ROW, F.col("place_id").alias("new_place"))
+    outcome = tried.select(*ROW, F.lit(True).alias("tried")).join(best, ROW, "left")
+    joined = features.join(outcome, ROW, "left")
     found = F.col("new_place").isNotNull()
     return rewrite(
         joined,
         {
             "sources": F.when(found, prov.upsert_source(F.col("sources"), "apple", F.col("new_place"))).otherwise(F.col("sources")),
-            "apple_id_attempted": F.when(found, F.lit(None).cast("string"))
-            .when(F.coalesce("tried", F.lit(False)), F.lit(as_of))
-            .otherwise(F.col("apple_id_attempted")),
+            "apple_id_attempted": attempt_stamp(F.col("apple_id_attempted"), F.coalesce("tried", F.lit(False)), found, True, as_of),
         },
     )
 
@@ -90,16 +102,17 @@ def apply_place_pages(features: DataFrame, pages: DataFrame, as_of: str) -> Data
     asking = (
         worklist(features)
         .filter(prov.apple_id(F.col("sources")).isNotNull() & incomplete() & due(F.col("apple_attempted"), as_of))
-        .select("id", prov.apple_id(F.col("sources")).alias("place_id"))
+        .select(*ROW, prov.apple_id(F.col("sources")).alias("place_id"))
     )
+    pages = pages.groupBy("place_id").agg(F.min("html").alias("html"))  # a page landed twice counts once
     facts = pages.select(
         "place_id",
         pay.amenities_to_payment(pay.page_amenities(F.col("html"))).alias("page_payment"),
         hrs.weekly_hours(pay.page_weekly_hours(F.col("html"))).alias("page_hours"),
     )
-    joined = features.join(asking.join(facts, "place_id"), "id", "left")
+    joined = features.join(asking.join(facts, "place_id"), ROW, "left")
     answered = F.col("page_payment").isNotNull()
-    stamp = {"apple_attempted": F.lit(as_of)}
+    stamp = {"apple_attempted": attempt_stamp(F.col("apple_attempted"), answered, answered, False, as_of)}
     return rewrite(joined, _merged(answered, F.col("page_payment"), F.col("page_hours"), "apple", as_of, stamp))
 
 
@@ -113,22 +126,23 @@ def search_batches(features: DataFrame, as_of: str, size: int = 15) -> tuple[Dat
 def apply_search_results(features: DataFrame, results: DataFrame, answered: DataFrame, as_of: str) -> DataFrame:
     """Merge the first result within reach; answered: feature_id of rows whose batch came back."""
     asking = worklist(features).filter(incomplete() & due(F.col("google_attempted"), as_of))
-    tried = asking.join(answered.select(F.col("feature_id").alias("id")), "id", "left_semi").select("id", "lng", "lat")
-    first = linking.first_result(tried, results)
+    tried = _asked(asking, answered)
+    first = _answered(linking.first_result(tried, results.drop("region"), ("region", "ord")).drop("ord"))
     facts = first.select(
-        F.col("feature_id").alias("id"),
+        *ROW,
         F.coalesce(F.when(F.col("place_id") != "", F.col("place_id")), F.when(F.col("cid") != "", F.col("cid"))).alias("result_id"),
         pay.about_to_payment(F.col("about")).alias("result_payment"),
         hrs.day_map_hours(F.col("open_hours")).alias("result_hours"),
     )
-    outcome = tried.select("id", F.lit(True).alias("tried")).join(facts, "id", "left")
-    joined = features.join(outcome, "id", "left")
+    outcome = tried.select(*ROW, F.lit(True).alias("tried")).join(facts, ROW, "left")
+    joined = features.join(outcome, ROW, "left")
     new_id = F.col("result_id").isNotNull() & ~F.coalesce(prov.gmaps_id(F.col("sources")) == F.col("result_id"), F.lit(False))
     sources = F.when(new_id, prov.upsert_source(F.col("sources"), "gmaps", F.col("result_id"))).otherwise(F.col("sources"))
     changes = _merged(
         F.col("result_payment").isNotNull(), F.col("result_payment"), F.col("result_hours"), "google", as_of, {"sources": sources}
     )
-    changes["google_attempted"] = F.when(F.coalesce("tried", F.lit(False)), F.lit(as_of)).otherwise(F.col("google_attempted"))
+    was_tried = F.coalesce("tried", F.lit(False))
+    changes["google_attempted"] = attempt_stamp(F.col("google_attempted"), was_tried, was_tried, False, as_of)
     return rewrite(joined, changes)
 
 

@@ -170,9 +170,10 @@ def refresh_snapshot(
     refreshed = refreshed.select(schema.FEATURE_COLUMNS)
 
     quiet = base.join(kept, ID, "left_semi").join(hits.select(ID), ID, "left_anti").join(facts.select(*ID, "all_gone", "osm_only"), ID)
-    flag = F.col("osm_only") & F.col("all_gone") & ~F.coalesce("osm_removed", F.lit(False))
-    quiet = quiet.withColumn("newly_removed", flag)
-    unrefreshed = merge.rewrite(quiet, {"osm_removed": F.when(F.col("newly_removed"), F.lit(True)).otherwise(F.col("osm_removed"))})
+    was = F.coalesce("osm_removed", F.lit(False))
+    quiet = quiet.withColumn("flag", merge.removal_flag(F.col("all_gone")))
+    quiet = quiet.withColumn("newly_removed", F.coalesce("flag", F.lit(False)) & ~was)
+    unrefreshed = merge.rewrite(quiet, {"osm_removed": F.col("flag")})
 
     # Link what is left of the snapshot to rows without a map source, append the rest.
     left_over = fresh.join(hits.select("region", "osm_id"), ["region", "osm_id"], "left_anti")
@@ -211,19 +212,32 @@ def refresh_from_answers(
     regions: DataFrame,
     lookup: DataFrame,
     as_of: str,
+    asked: DataFrame | None = None,
+    lookup_failed: DataFrame | None = None,
 ) -> Refreshed:
     """Whole refresh from landed answers.
 
     elements: element rows with region, query_group, mirror, ord; an answer
     without elements is one row with a null id. lookup: elements found by id,
-    with region. Regions whose kiosk group has no acceptable answer keep their
-    rows unchanged.
+    with region. asked: the (region, query_group) that were asked; by default the
+    kiosk group of every region and every group that an existing row of the region
+    is in. lookup_failed: regions whose lookup by id gave no answer. A group
+    without any answer counts as one without an acceptable answer: regions whose
+    kiosk group has none, or whose lookup failed, keep their rows unchanged, and
+    rows of other groups are not flagged.
     """
     live, _ = purge_markets(existing)
     answers = elements.withColumn("osm_id", F.concat("type", F.lit("/"), F.col("id").cast("string")))
     shares = quality.missing_share(quality.expected_ids(live), answers)
-    status = cut(quality.accept_answers(shares))
-    dead = status.filter(F.col("status") == "region failed").select("region").distinct()
+    if asked is None:
+        slugs = regions.select(F.col("slug").alias("region"))
+        named = live.select("region", rules.group_of_kind(F.col("kind")).alias("query_group")).join(slugs, "region", "left_semi")
+        asked = slugs.withColumn("query_group", F.lit("kiosk")).union(named).distinct()
+    status = cut(quality.judged_groups(asked, quality.accept_answers(shares)))
+    dead = status.filter(F.col("status") == "region failed").select("region")
+    if lookup_failed is not None:
+        dead = dead.union(lookup_failed.select("region"))
+    dead = dead.distinct()
     failed = status.filter(F.col("status") == "group frozen").select("region", "query_group")
     good = status.filter(F.col("status") == "accepted").select("region", "query_group", "mirror")
     used = elements.filter(F.col("id").isNotNull()).join(good, ["region", "query_group", "mirror"], "left_semi")

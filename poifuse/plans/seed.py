@@ -90,7 +90,7 @@ def deduplicate(features: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame,
     kept = rows.withColumnsRenamed({"id": "kept_id", "name": "osm_name", "addr": "osm_addr"})
     review = pairs.filter(F.col("tier") == 1).join(gone, ["region", "gone_id"]).join(kept, ["region", "kept_id"])
     review = review.select(
-        F.regexp_replace("region", "^data/de/", "").alias("region"),
+        F.regexp_replace("region", r"^data/de/|\.geojson$", "").alias("region"),
         F.col("gone_id").alias("hops_id"),
         F.col("kept_id").alias("osm_id"),
         "meters",
@@ -102,29 +102,20 @@ def deduplicate(features: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame,
     )
     s = F.col("sources")
     seed_only = prov.has_source(s, "hopfenstop") & ~prov.has_source(s, "osm")
-    before = features.select(
-        "region",
-        F.lit(1).alias("features_before"),
-        seed_only.cast("int").alias("seed_only_before"),
-        prov.has_source(s, "osm").cast("int").alias("map_before"),
-        F.lit(0).alias("tier_a_merged"),
-        F.lit(0).alias("tier_b_review"),
-    )
-    paired = pairs.select(
-        "region",
-        F.lit(0).alias("features_before"),
-        F.lit(0).alias("seed_only_before"),
-        F.lit(0).alias("map_before"),
-        (F.col("tier") == 0).cast("int").alias("tier_a_merged"),
-        (F.col("tier") == 1).cast("int").alias("tier_b_review"),
-    )
-    measures = ["features_before", "seed_only_before", "map_before", "tier_a_merged", "tier_b_review"]
-    return merged, review, stats.rolled_up_sums(before.unionByName(paired), "region", measures)
+    measures = ["features_before", "seed_only_before", "map_before", "tier_a_merged", "tier_b_review", "features_after"]
+
+    def counted(df: DataFrame, **flags: Column) -> DataFrame:
+        return df.select("region", *[flags.get(m, F.lit(0)).cast("int").alias(m) for m in measures])
+
+    before = counted(features, features_before=F.lit(1), seed_only_before=seed_only, map_before=prov.has_source(s, "osm"))
+    paired = counted(pairs, tier_a_merged=F.col("tier") == 0, tier_b_review=F.col("tier") == 1)
+    after = counted(merged, features_after=F.lit(1))
+    return merged, review, stats.rolled_up_sums(before.unionByName(paired).unionByName(after), "region", measures)
 
 
-def confirm_matches(features: DataFrame, review: DataFrame, results: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """Features with confirmed references added, and the outcome of every review row."""
-    outcome = linking.confirm_review(review, features, results)
+def confirm_matches(features: DataFrame, review: DataFrame, results: DataFrame, as_of: str, failed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Features with confirmed references added, and the outcome of every review row; failed: searches without an answer."""
+    outcome = linking.confirm_review(review, features, results, failed)
     confirmed = outcome.filter(F.col("outcome") == "confirmed").groupBy("region", F.col("feature_id").alias("id"))
     joined = features.join(confirmed.agg(F.sort_array(F.collect_set("osm_ref")).alias("refs")), ["region", "id"], "left")
     return merge.rewrite(joined, merge.confirm_sources(F.col("refs"), as_of)), outcome
