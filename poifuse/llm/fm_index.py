@@ -69,10 +69,15 @@ class FmIndex:
         smaller = np.searchsorted(np.sort(text), np.arange(len(self.alphabet) + 1))
         self.shift = np.zeros(len(self.alphabet) + 1, dtype=np.int64)
         self.shift = smaller - self._descend(np.arange(len(self.alphabet) + 1), np.zeros(len(self.alphabet) + 1, dtype=np.int64))
-        self.table = [owner]
-        while 2 << (len(self.table) - 1) <= n:
-            half, top = 1 << (len(self.table) - 1), self.table[-1]
-            self.table.append(np.minimum(top[:-half], top[half:]))
+        table = [owner]
+        while 2 << (len(table) - 1) <= n:
+            half, top = 1 << (len(table) - 1), table[-1]
+            table.append(top.copy())
+            np.minimum(top[:-half], top[half:], out=table[-1][:-half])
+        self.table = np.concatenate(table)
+        self.power = np.zeros(n + 1, dtype=np.int8)
+        for k in range(1, len(table)):
+            self.power[1 << k :] = k
 
     def _descend(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
         for k in range(self.levels):
@@ -92,28 +97,33 @@ class FmIndex:
 
     def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Smallest owner in each range that isn't empty."""
-        power = np.log2(high - low).astype(np.int64)
-        power -= (1 << power) > high - low
-        out = np.zeros(len(low), dtype=np.int32)
-        for k in np.unique(power).tolist():
-            own = np.flatnonzero(power == k)
-            out[own] = np.minimum(self.table[k][low[own]], self.table[k][high[own] - (1 << k)])
-        return out
+        power = self.power[high - low].astype(np.int64)
+        base = power * self.size
+        return np.minimum(self.table[base + low], self.table[base + high - (1 << power)])
 
 
-def repeated_spans(index: FmIndex, symbols: np.ndarray, sizes: np.ndarray, owners: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_spans(index: FmIndex, symbols: np.ndarray, sizes: np.ndarray, owners: np.ndarray, least: int, piece: int = 160) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal spans of at least `least` symbols of each sequence that occur with a smaller owner: (sequence, from, to).
 
-    Every sequence is read from its end. Before a window is searched in full, two
-    short probes at its left end can rule out all windows that hold them."""
-    first = np.cumsum(sizes) - sizes
+    Every sequence is read from its end, in pieces of at most `piece` symbols that
+    overlap by all but one of a window. After a search that fell short, and before
+    the next window is searched in full, two short probes at its left end can rule out
+    all windows that hold them."""
+    if piece < 2 * least:
+        piece = 2 * least
+    whole, step = np.asarray(sizes), piece - least + 1
+    count = np.maximum(1, -(-(whole - least + 1) // step))
+    parent = np.repeat(np.arange(len(whole)), count)
+    offset = (np.arange(len(parent)) - np.repeat(np.cumsum(count) - count, count)) * step
+    first = (np.cumsum(whole) - whole)[parent] + offset
+    sizes, owners = np.minimum(whole[parent] - offset, piece), np.asarray(owners)[parent]
     coded = index.symbols(symbols)
     probes = (min(8, least), min(24, least), least)
     alive = np.flatnonzero(sizes >= least)
     end = first[alive] + sizes[alive]  # largest undecided end of a window
     begin, owner = first[alive], owners[alive]
-    stage = np.zeros(len(alive), dtype=np.int64)
-    top = end - least + probes[0]
+    stage = np.full(len(alive), 2, dtype=np.int64)
+    top = end.copy()
     at = top.copy()
     low, high = np.zeros(len(alive), dtype=np.int64), np.full(len(alive), index.size, dtype=np.int64)
     ahead = np.array(probes)
@@ -146,4 +156,7 @@ def repeated_spans(index: FmIndex, symbols: np.ndarray, sizes: np.ndarray, owner
         keep = end - least >= begin
         if not keep.all():
             alive, end, begin, owner, stage, top, at, low, high = (x[keep] for x in (alive, end, begin, owner, stage, top, at, low, high))
-    return tuple(np.concatenate(found, axis=1)) if found else (np.zeros(0, dtype=np.int64),) * 3
+    if found:
+        part, a, b = np.concatenate(found, axis=1)
+        return parent[part], a + offset[part], b + offset[part]
+    return (np.zeros(0, dtype=np.int64),) * 3

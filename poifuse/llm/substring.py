@@ -253,29 +253,33 @@ def _search(width: int, parts: int, shard_words: int):
                 ends = np.cumsum(n)
                 return words[np.repeat(firsts[which] - (ends - n), n) + np.arange(ends[-1])]
 
-            names = np.unique(leads["doc"][streamed])
+            names = np.unique(leads["doc"][np.concatenate([indexed, streamed])])
             index = FmIndex(of(indexed), lengths[indexed], np.searchsorted(names, leads["doc"][indexed]))
             which, a, b = repeated_spans(index, of(streamed), lengths[streamed], np.searchsorted(names, leads["doc"][streamed]), width)
             if len(which):
                 matches.append(np.stack([streamed[which], a, b]))
 
+        # of one key, the smallest document finds nothing smaller and the largest is never found
+        asks = leads["doc"] > np.repeat(least, stop - group)
+        gives = leads["doc"] < np.repeat(most, stop - group)
         for a, b in zip(group[most != least].tolist(), stop[most != least].tolist()):
             own = np.arange(a, b)
             total = int(lengths[own].sum())
             if total > shard_words:
-                cuts = np.cumsum(lengths[own]) // shard_words
-                for part in np.split(own, np.flatnonzero(np.diff(cuts)) + 1):
-                    read(part, own)
+                given = own[gives[own]]
+                cuts = np.cumsum(lengths[given]) // shard_words
+                for part in np.split(given, np.flatnonzero(np.diff(cuts)) + 1):
+                    read(part, own[asks[own]])
                 continue
             pending.append(own)
             held += total
             if held > shard_words:
                 shard = np.concatenate(pending)
-                read(shard, shard)
+                read(shard[gives[shard]], shard[asks[shard]])
                 pending, held = [], 0
         if pending:
             shard = np.concatenate(pending)
-            read(shard, shard)
+            read(shard[gives[shard]], shard[asks[shard]])
         if not matches:
             return
         which, a, b = np.concatenate(matches, axis=1)
