@@ -151,11 +151,13 @@ def page_text(source: str | None, template: dict | None = None) -> str:
     page = Page(source)
     linked, fixed, main = (template["linked"], template["fixed"], template["main"]) if template else (frozenset(), frozenset(), "")
     inside = any(r[3] and not r[2] and r[1].strip() for r in page.runs)
-    held = not inside and main and any(r[0].startswith(main) and not r[2] and r[1].strip() for r in page.runs)
+    below = main + "/"
+    held = bool(not inside and main and any((r[0] == main or r[0].startswith(below)) and not r[2] and r[1].strip() for r in page.runs))
+    narrow = held and main != "/html/body"  # text of a main slot is never fixed text, however often it is copied
     out: list[str] = []
     for path, text, apart, in_main, _, split in page.runs:
-        keep = not apart and (in_main if inside else path.startswith(main) if held else not path.startswith("/html/head"))
-        if keep and not in_main and template:
+        keep = not apart and (in_main if inside else path == main or path.startswith(below) if held else not path.startswith("/html/head"))
+        if keep and not in_main and not narrow and template:
             keep = path not in linked and _hash(path, " ".join(text.split())) not in fixed
         if split:
             out.append(" ")
