@@ -91,7 +91,7 @@ def flight(size: np.ndarray, p: np.ndarray, draws: np.ndarray) -> np.ndarray:
     return out
 
 
-def landing(size: np.ndarray, entry: np.ndarray, p: np.ndarray, draw: float, flips: int = 6) -> np.ndarray:
+def landing(size: np.ndarray, entry: np.ndarray, p: np.ndarray, draw: float, flips: int = 100) -> np.ndarray:
     """Decide at most two documents, by the choice whose words are nearest to the expected ones; the draw breaks ties.
 
     In a small source one document may still weigh much, so up to `flips` documents
