@@ -207,31 +207,35 @@ def cleaned_hours(spark, sf):
     return st.elements(spark, sf).select("k", hours.clean_opening_hours(rules.tag(F.col("tags"), "opening_hours")).alias("hours"))
 
 
+# Every text in runs of three words (the last may be shorter); the other name starts one word later and has four.
 WORDS_CTE = (
-    "w AS (SELECT doc_id, array_to_string(list_slice(string_split(text, ' '), 1, 3), ' ') AS name, "
-    "array_to_string(list_slice(string_split(text, ' '), 2, 5), ' ') AS other FROM documents)"
+    "t AS (SELECT doc_id, string_split(text, ' ') AS parts FROM documents), u AS (SELECT doc_id, parts, unnest(range(0, len(parts), 3)) AS pos FROM t), "
+    "w AS (SELECT doc_id, pos, array_to_string(list_slice(parts, pos + 1, pos + 3), ' ') AS name, array_to_string(list_slice(parts, pos + 2, pos + 5), ' ') AS other FROM u)"
 )
 
 
 def _words(spark, sf):
     parts = F.split("text", " ")
-    return st.table(spark, sf, "documents").select(
-        "doc_id", F.array_join(F.slice(parts, 1, 3), " ").alias("name"), F.array_join(F.slice(parts, 2, 4), " ").alias("other")
+    runs = st.table(spark, sf, "documents").select("doc_id", parts.alias("parts"), F.explode(F.sequence(F.lit(0), F.size(parts) - 1, F.lit(3))).alias("pos"))
+    return runs.select(
+        "doc_id", F.col("pos").cast("long").alias("pos"), F.array_join(F.slice("parts", F.col("pos") + 1, 3), " ").alias("name"),
+        F.array_join(F.slice("parts", F.col("pos") + 2, 4), " ").alias("other"),
     )
 
 
 @query(
     "PRJ9a PRJ9b PRJ9c PRJ9d PRJ9e",
-    f"WITH {EL}, names AS (SELECT k, name FROM el WHERE name IS NOT NULL UNION ALL SELECT doc_id, array_to_string(list_slice(string_split(text, ' '), 1, 3), ' ') FROM documents) "
-    f"SELECT k, {st.norm_a_sql('name')} AS generic, {st.fold_sql('name')} AS folded, {st.chain_sql('name')} AS chain, "
+    f"WITH {EL}, {WORDS_CTE}, names AS (SELECT k, 0 AS pos, name FROM el WHERE name IS NOT NULL UNION ALL SELECT doc_id, pos, name FROM w) "
+    f"SELECT k, pos, {st.norm_a_sql('name')} AS generic, {st.fold_sql('name')} AS folded, {st.chain_sql('name')} AS chain, "
     f"{st.spanish_sql('name')} AS spanish, {st.slug_sql('name')} AS slug FROM names",
 )
 def normalised_names(spark, sf):
-    names = st.flat_elements(spark, sf).filter("name IS NOT NULL").select("k", "name")
-    names = names.unionByName(_words(spark, sf).select(F.col("doc_id").alias("k"), "name"))
+    names = st.flat_elements(spark, sf).filter("name IS NOT NULL").select("k", F.lit(0).cast("long").alias("pos"), "name")
+    names = names.unionByName(_words(spark, sf).select(F.col("doc_id").alias("k"), "pos", "name"))
     name = F.col("name")
     return names.select(
         "k",
+        "pos",
         text.normalise_name(name).alias("generic"),
         text.fold_name(name).alias("folded"),
         text.chain_name(name).alias("chain"),
@@ -242,8 +246,8 @@ def normalised_names(spark, sf):
 
 @query(
     "PRJ10a PRJ10b PRJ13 PRJ15",
-    f"WITH {WORDS_CTE}, n AS (SELECT doc_id, name, other, {st.norm_a_sql('name')} AS a1, {st.norm_a_sql('other')} AS a2, "
-    f"{st.fold_sql('name')} AS b1, {st.fold_sql('other')} AS b2 FROM w) SELECT doc_id, "
+    f"WITH {WORDS_CTE}, n AS (SELECT doc_id, pos, name, other, {st.norm_a_sql('name')} AS a1, {st.norm_a_sql('other')} AS a2, "
+    f"{st.fold_sql('name')} AS b1, {st.fold_sql('other')} AS b2 FROM w) SELECT doc_id, pos, "
     f"round({st.dice_a_sql('a1', 'a2')}, 6) AS dice_multi, round({st.dice_b_sql('b1', 'b2')}, 6) AS dice_padded, "
     "(length(b1) >= 3 AND length(b2) >= 3 AND (contains(b1, b2) OR contains(b2, b1))) AS contained, "
     "CASE WHEN trim(name) = '' THEN trim(other) WHEN trim(other) = '' OR abs(length(trim(name)) - length(trim(other))) <= 4 "
@@ -252,6 +256,7 @@ def normalised_names(spark, sf):
 def name_similarity(spark, sf):
     w = _words(spark, sf).select(
         "doc_id",
+        "pos",
         "name",
         "other",
         text.normalise_name(F.col("name")).alias("a1"),
@@ -261,6 +266,7 @@ def name_similarity(spark, sf):
     )
     return w.select(
         "doc_id",
+        "pos",
         F.round(text.dice_multiset(F.col("a1"), F.col("a2")), 6).alias("dice_multi"),
         F.round(text.dice_set(F.col("b1"), F.col("b2")), 6).alias("dice_padded"),
         text.contains_either_way(F.col("b1"), F.col("b2")).alias("contained"),

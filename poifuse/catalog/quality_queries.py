@@ -90,11 +90,11 @@ def place_lines(spark, sf):
 @query(
     "FLT8",
     f"WITH {st.cte('poi', st.POI)}, {st.cte('box', BOXES, 'nation')} SELECT id, slug FROM poi JOIN box ON CASE WHEN role = 'rest' THEN id % 5 = box.ord % 5 AND "
-    "(box.ord % 2 = 0 OR (lng BETWEEN w AND e AND lat BETWEEN s AND n)) ELSE lng BETWEEN w AND e AND lat BETWEEN s AND n END WHERE box.ord < 6",
+    "(box.ord % 2 = 0 OR (lng BETWEEN w AND e AND lat BETWEEN s AND n)) ELSE lng BETWEEN w AND e AND lat BETWEEN s AND n END",
 )
 def area_members(spark, sf):
     """Elements that a region's query selects: by landed area code or by box."""
-    boxes = st.table(spark, sf, "nation").selectExpr(*BOXES).filter("ord < 6")
+    boxes = st.table(spark, sf, "nation").selectExpr(*BOXES)
     region = F.struct("slug", "role", "w", "s", "e", "n", (F.col("ord") % 2 == 1).alias("bbox_clip"), (F.col("ord") % 5).cast("string").alias("iso3166_2"))
     regions = boxes.select(region.alias("region"))
     points = st.poi(spark, sf).select("id", "lng", "lat", F.array((F.col("id") % 5).cast("string")).alias("codes"))
