@@ -16,9 +16,12 @@ partner, and of the others only the n // 3 + 1 rarest signatures are looked at.
 Frequent shingles (common passages) thus generate no pairs, and nothing is capped.
 
 Copies (equal word sequences) are one class from the start. Groups of a signature
-are linked in two rounds: each class is checked against one leading class; then
-all pairs between what are still different components. Every pair is decided on
-whole shingle sets (their hashes cut to 40 bits), never on signatures.
+are linked in two rounds. First each class is checked against one leading class,
+the one with most shared signatures. Groups that then still hold several components
+go on with a bit map of each set, one bit for many shingles: sets differ in at
+least as many shingles as their maps do in bits, so in a large group of edited
+copies only pairs that are linked or nearly so leave the task. Every pair is decided
+on whole shingle sets (their hashes cut to 40 bits), never on signatures or maps.
 
 Nulls and ties: null or wordless texts have no shingles and link with nothing;
 fewer words than `width` make one shingle. Rows that repeat a doc_id are copies
@@ -201,12 +204,12 @@ def _share(parts: int):
     return run
 
 
-_ROLES = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("n", pa.int64()), ("sigs", pa.binary())])
-_ROLES_DDL = "doc_id long, fp long, n long, sigs binary"
+_ROLES = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("n", pa.int64()), ("band", pa.int64()), ("shared", pa.int64()), ("sigs", pa.binary())])
+_ROLES_DDL = "doc_id long, fp long, n long, band long, shared long, sigs binary"
 
 
 def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents as rows; and for classes that may have partners, their rarest signatures of each role."""
+    """Documents as rows; and for classes that may have partners, their rarest signatures, by role."""
     docs, shared = [], []
     for batch in batches:
         for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("blob").to_pylist()):
@@ -216,7 +219,8 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     doc = np.concatenate(docs)
     for k in range(0, len(doc), 20_000):
         d = doc[k : k + 20_000]
-        yield pa.RecordBatch.from_arrays([pa.array(d["doc_id"], mask=~d["known"]), pa.array(d["fp"].view(np.int64)), pa.array(d["n"].astype(np.int64)), pa.nulls(len(d), pa.binary())], schema=_ROLES)
+        none = pa.nulls(len(d), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(d["doc_id"], mask=~d["known"]), pa.array(d["fp"].view(np.int64)), pa.array(d["n"].astype(np.int64)), none, none, pa.nulls(len(d), pa.binary())], schema=_ROLES)
     if not shared:
         return
     first = doc[doc["first"]]
@@ -226,81 +230,132 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at = np.flatnonzero(np.append(True, rows["ref"][1:] != rows["ref"][:-1]))
     stop = np.append(at[1:], len(rows))
     own = np.searchsorted(first["ref"], rows["ref"][at] & ~np.uint64(3))
-    n, p = first["n"][own].astype(np.int64), first["parts"][own, (rows["ref"][at] & np.uint64(3)).astype(np.int64)].astype(np.int64)
-    most = n // 3
+    role = (rows["ref"][at] & np.uint64(3)).astype(np.int64)
+    n, p = first["n"][own].astype(np.int64), first["parts"][own, role].astype(np.int64)
+    most, band = n // 3, band_of(n) + role % 2
     keep = np.flatnonzero(stop - at >= np.maximum(1, p - most))
-    out: dict[str, list] = {"doc_id": [], "fp": [], "n": [], "sigs": []}
+    out: dict[str, list] = {f.name: [] for f in _ROLES}
     for k in keep.tolist():
         left = int(most[k] + 1 - (p[k] - (stop[k] - at[k])))  # signatures of one class alone come first
         if left > 0:
-            out["doc_id"].append(None)
-            out["fp"].append(int(first["fp"][own[k]].view(np.int64)))
-            out["n"].append(int(n[k]))
-            out["sigs"].append(rows["sig"][at[k] : at[k] + left].tobytes())
+            for name, value in zip(out, (None, int(first["fp"][own[k]].view(np.int64)), int(n[k]), int(band[k]), int(stop[k] - at[k]), rows["sig"][at[k] : at[k] + left].tobytes())):
+                out[name].append(value)
     for k in range(0, len(out["fp"]), 5_000):
         yield common.table({name: v[k : k + 5_000] for name, v in out.items()}, _ROLES)
 
 
-_ENTRY = np.dtype([("sig", "<u8"), ("fp", "<i8"), ("n", "<i4"), ("root", "<i8")])
+_ENTRY = np.dtype([("sig", "<u8"), ("fp", "<i8"), ("root", "<i8"), ("n", "<i4"), ("shared", "<i4"), ("band", "<i4")])
 
 
 def _deal(parts: int):
-    """Signatures of roles, by key, each with its class, size and component so far."""
+    """Signatures by key, each with its class, size, band, shared signatures and component so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [np.frombuffer(x, "<u8") for x in batch.column("sigs").to_pylist()]
-            size = np.array([len(x) for x in lists], dtype=np.int64)
+            sigs = [np.frombuffer(x, "<u8") for x in batch.column("sigs").to_pylist()]
+            size = np.array([len(x) for x in sigs], dtype=np.int64)
             rows = np.zeros(int(size.sum()), dtype=_ENTRY)
             if len(rows):
-                rows["sig"] = np.concatenate(lists)
-                for name in ("fp", "n", "root"):
+                rows["sig"] = np.concatenate(sigs)
+                for name in ("fp", "root", "n", "shared", "band"):
                     rows[name] = np.repeat(batch.column(name).to_numpy(), size)
                 yield from _packed(wb.mix(rows["sig"]) % np.uint64(parts), rows, 1, parts)
 
     return run
 
 
-def _pairs(leading: bool):
-    """Candidate pairs (a < b) of the signatures in a partition: with a leading class, or between components."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries by signature, the class with most shared signatures first, and each group's start and stop; only groups of several components."""
+    got = [np.frombuffer(x, _ENTRY) for b in batches for x in b.column("blob").to_pylist()]
+    if not got:
+        return np.zeros(0, dtype=_ENTRY), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    rows = np.concatenate(got)
+    rows = rows[np.lexsort((rows["fp"], rows["sig"]))]
+    rows = rows[np.append(True, (rows["sig"][1:] != rows["sig"][:-1]) | (rows["fp"][1:] != rows["fp"][:-1]))]
+    rows = rows[np.lexsort((rows["fp"], -rows["shared"], rows["sig"]))]
+    at = np.flatnonzero(np.append(True, rows["sig"][1:] != rows["sig"][:-1]))
+    stop = np.append(at[1:], len(rows))
+    several = np.minimum.reduceat(rows["root"], at) != np.maximum.reduceat(rows["root"], at)
+    return rows, at[several], stop[several]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [np.frombuffer(x, _ENTRY) for b in batches for x in b.column("blob").to_pylist()]
-        if not got:
-            return
-        rows = np.concatenate(got)
-        rows = rows[np.lexsort((rows["fp"], rows["sig"]))]
-        rows = rows[np.append(True, (rows["sig"][1:] != rows["sig"][:-1]) | (rows["fp"][1:] != rows["fp"][:-1]))]
-        at = np.flatnonzero(np.append(True, rows["sig"][1:] != rows["sig"][:-1]))
-        size = np.diff(np.append(at, len(rows)))
-        pairs, held = [], 0
-        if leading:
-            lead = np.repeat(at, size)
-            pairs.append(np.stack([lead, np.arange(len(rows))])[:, lead != np.arange(len(rows))])
-        else:
-            for k in np.flatnonzero(size > 1).tolist():
-                group = rows[at[k] : at[k] + size[k]]
-                if (group["root"] == group["root"][0]).all():
-                    continue
-                for x in range(len(group) - 1):  # one class against the rest at a time
-                    y = x + 1 + np.flatnonzero(group["root"][x + 1 :] != group["root"][x])
-                    y = y[4 * np.minimum(group["n"][x], group["n"][y]).astype(np.int64) >= 3 * np.maximum(group["n"][x], group["n"][y])]
-                    pairs.append(np.stack([np.full(len(y), at[k] + x), at[k] + y]))
-                    held += len(y)
-                    if held > 500_000:
-                        yield from emit(rows, pairs)
-                        pairs, held = [], 0
-        yield from emit(rows, pairs)
-
-    def emit(rows: np.ndarray, pairs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if pairs:
-            x, y = np.concatenate(pairs, axis=1)
-            ok = 4 * np.minimum(rows["n"][x], rows["n"][y]).astype(np.int64) >= 3 * np.maximum(rows["n"][x], rows["n"][y])
-            both, count = np.unique(np.stack([rows["fp"][x[ok]], rows["fp"][y[ok]]], axis=1), axis=0, return_counts=True)
-            for k in range(0, len(both), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(both[k : k + 100_000, 0]), pa.array(both[k : k + 100_000, 1]), pa.array(count[k : k + 100_000].astype(np.int64))], names=["a", "b", "hits"])
 
-    return run
+def _leading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a group's leading class (a) with each other class (b) of a fitting size."""
+    rows, at, stop = _groups(batches)
+    if len(at):
+        size = stop - at
+        first = np.repeat(at, size)
+        own = first + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        n, m = rows["n"][first].astype(np.int64), rows["n"][own].astype(np.int64)
+        ok = (own != first) & (4 * np.minimum(n, m) >= 3 * np.maximum(n, m))
+        both, count = np.unique(np.stack([rows["fp"][first[ok]], rows["fp"][own[ok]]], axis=1), axis=0, return_counts=True)
+        for k in range(0, len(both), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[k : k + 100_000, 0])), pa.array(np.ascontiguousarray(both[k : k + 100_000, 1])), pa.array(count[k : k + 100_000].astype(np.int64))], names=["a", "b", "hits"])
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of groups that still hold several components."""
+    rows, at, stop = _groups(batches)
+    if len(at):
+        keep = np.zeros(len(rows) + 1, dtype=np.int64)
+        np.add.at(keep, at, 1)
+        np.add.at(keep, stop, -1)
+        rows = rows[np.cumsum(keep)[:-1] > 0]
+        for k in range(0, len(rows), 100_000):
+            r = rows[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(r["sig"].view(np.int64)), *[pa.array(r[c].astype(np.int64)) for c in ("fp", "root", "n", "band")]], names=["sig", "fp", "root", "n", "band"])
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One map per class and band; its length depends on the band alone, two to six bits per shingle."""
+    for batch in batches:
+        maps = []
+        for blob, band in zip(batch.column("items").to_pylist(), batch.column("band").to_pylist()):
+            length = max(1024, 64 * -(-2 * int(upper(np.array(band))) // 64))
+            bits = np.zeros(length, dtype=np.uint8)
+            # the parity of each bit's shingles: one differing shingle flips one bit
+            np.bitwise_xor.at(bits, (_items(blob) * np.uint64(length) >> np.uint64(40)).astype(np.int64) if length < 1 << 23 else (_items(blob) % np.uint64(length)).astype(np.int64), 1)
+            maps.append(np.packbits(bits).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("fp"), batch.column("band"), common.binary_rows(maps)], names=["fp", "band", "map"])
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a < b) between components whose maps differ in no more bits than linked sets may differ in shingles."""
+    got = [b for b in batches if b.num_rows]
+    if not got:
+        return
+    table = pa.Table.from_batches(got)
+    columns = {c: table.column(c).to_numpy() for c in ("sig", "fp", "root", "n")}
+    order = np.lexsort((columns["fp"], columns["sig"]))
+    maps = table.column("map").to_pylist()
+    del got, table
+    sig, fp, root, n = (columns[c][order] for c in ("sig", "fp", "root", "n"))
+    at = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+    pairs, held = [], 0
+
+    def emit() -> Iterator[pa.RecordBatch]:
+        if pairs:
+            both = np.unique(np.concatenate(pairs), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))], names=["a", "b"])
+
+    for a, b in zip(at.tolist(), np.append(at[1:], len(sig)).tolist()):
+        bits = np.frombuffer(b"".join([maps[k] for k in order[a:b].tolist()]), np.uint64).reshape(b - a, -1)
+        names, size = np.unique(root[a:b], return_counts=True)
+        largest = names[np.argmax(size)]
+        outside = root[a:b] != largest
+        for x in np.flatnonzero(outside).tolist():  # each class outside the largest component against the others
+            other = root[a:b] != root[a + x]
+            other[:x] &= ~outside[:x]  # pairs outside it once
+            y = a + np.flatnonzero(other)
+            y = y[4 * np.minimum(n[a + x], n[y]) >= 3 * np.maximum(n[a + x], n[y])]
+            y = y[np.bitwise_count(bits[y - a] ^ bits[x]).sum(axis=1, dtype=np.int64) <= (n[a + x] + n[y]) // 7]
+            if len(y):
+                pairs.append(np.stack([np.minimum(fp[y], fp[a + x]), np.maximum(fp[y], fp[a + x])], axis=1))
+                held += len(y)
+        if held > 500_000:
+            yield from emit()
+            pairs, held = [], 0
+    yield from emit()
 
 
 def _sets(width: int, bits):
@@ -349,7 +404,7 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     shared = signed.mapInArrow(_share(parts), _ROW_DDL).repartition(parts, "key")
     found = common.stage(shared.mapInArrow(_prune, _ROLES_DDL), "roles")
     members = found.where("sigs is null").select("doc_id", "fp", "n")
-    roles = found.where("sigs is not null").select("fp", "n", "sigs")
+    roles = found.where("sigs is not null").select("fp", "n", "band", "shared", "sigs")
     classes = members.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"))
     needed = roles.select("fp").distinct().join(classes, "fp").where("rep is not null").select(F.col("rep").alias("doc_id"), "fp")
     bits = common.id_filter(needed.select("doc_id"))
@@ -357,15 +412,17 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     # a doc_id may be repeated: the class decides, one row of it is enough
     sets = common.stage(sets.join(needed, ["doc_id", "fp"], "left_semi").groupBy("fp").agg(F.first("items").alias("items")), "sets")
 
-    def candidates(roots: DataFrame, leading: bool) -> DataFrame:
-        dealt = roots.select("fp", "n", "sigs", "root").mapInArrow(_deal(parts), _ROW_DDL).repartition(parts, "key")
-        return dealt.mapInArrow(_pairs(leading), "a long, b long, hits long").groupBy("a", "b").agg(F.sum("hits").alias("hits"))
+    def dealt(roots: DataFrame) -> DataFrame:
+        return roots.select("fp", "n", "band", "shared", "sigs", "root").mapInArrow(_deal(parts), _ROW_DDL).repartition(parts, "key")
 
-    first = candidates(roles.withColumn("root", F.col("fp")), True).groupBy("b").agg(F.max_by("a", F.struct("hits", "a")).alias("a"))
-    edges = common.stage(_verified(first, sets), "links")
+    first = dealt(roles.withColumn("root", F.col("fp"))).mapInArrow(_leading, "a long, b long, hits long").groupBy("a", "b").agg(F.sum("hits").alias("hits"))
+    edges = common.stage(_verified(first.groupBy("b").agg(F.max_by("a", F.struct("hits", "a")).alias("a")), sets), "links")
     trees = common.components(edges)
     rooted = roles.join(trees.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rest = common.stage(_verified(candidates(rooted, False).select("a", "b"), sets), "links")
+    open_ = common.stage(dealt(rooted).mapInArrow(_open, "sig long, fp long, root long, n long, band long"), "open")
+    maps = open_.select("fp", "band").distinct().join(sets, "fp").select("fp", "band", "items").mapInArrow(_bitmaps, "fp long, band long, map binary")
+    near = open_.join(maps, ["fp", "band"]).repartition(parts, "sig").mapInArrow(_near, "a long, b long").distinct()
+    rest = common.stage(_verified(near, sets), "links")
     trees = common.components(edges.union(rest))
     # smallest doc_id of each component of classes
     with_root = classes.join(trees.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
