@@ -76,7 +76,7 @@ def enrichment_counters(spark, sf):
     f"WITH {FT} SELECT id FROM ft WHERE {WORK} ORDER BY region, id LIMIT 50",
 )
 def capped_worklist(spark, sf):
-    return enrich.worklist(st.features(spark, sf)).orderBy("region", "id").limit(50).select("id")
+    return enrich.capped(enrich.worklist(st.features(spark, sf)), 50)[0].select("id")
 
 
 SOURCE_OF_EVENT = "CASE event_type WHEN 'view' THEN 'hopfenstop' WHEN 'click' THEN 'osm' WHEN 'signup' THEN 'apple' WHEN 'purchase' THEN 'google' WHEN 'error' THEN 'user' ELSE event_type END"
@@ -252,7 +252,7 @@ HOURS_RESULT_SQL = (
 
 
 @query(
-    "HRS3 SRC5 AGG13",
+    "HRS3 SRC5",
     f"SELECT NULLIF('tk_' || CASE WHEN p_partkey % 12 <> 0 THEN CAST(p_partkey AS VARCHAR) ELSE '' END, 'tk_') AS feature_id, p_partkey AS ord, "
     f"CASE WHEN p_partkey % 8 > 1 THEN 50.25 END AS lat, CAST(NULL AS VARCHAR) AS place_id, {HOURS_RESULT_SQL} AS hours FROM part",
 )
@@ -659,6 +659,6 @@ def attribution_rollup(spark, sf):
     return seed.attribution_counts(merge.attribute_seed(f.drop("k"), _seed_records(f)))
 
 
-@query("AGG9 AGG10", "SELECT coalesce(lang, '(all)') AS lang, coalesce(source, '(all)') AS source, count(*) AS n FROM documents GROUP BY ROLLUP (lang, source)")
+@query("AGG9", "SELECT coalesce(lang, '(all)') AS lang, coalesce(source, '(all)') AS source, count(*) AS n FROM documents GROUP BY ROLLUP (lang, source)")
 def rolled_up_documents(spark, sf):
     return stats.rolled_up_counts(st.table(spark, sf, "documents"), ["lang", "source"])

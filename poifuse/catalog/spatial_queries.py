@@ -9,6 +9,7 @@ from poifuse.catalog import standins as st
 from poifuse.catalog.registry import query
 from poifuse.functions import geo
 from poifuse.operators import dedup, linking, spatial, stats
+from poifuse.plans import seed
 from poifuse.sources import writers
 
 POI = st.cte("poi", st.POI)
@@ -60,7 +61,7 @@ D2 = "pow((lng - (w + e) / 2) * cos(lat * pi() / 180), 2) + pow(lat - (s + n) /
 
 
 @query(
-    "JN1 FLT10 PRJ8 SRC2",
+    "JN1 FLT10 PRJ8",
     f"WITH {POI}, {st.cte('box', BOXES, 'nation')}, hit AS (SELECT id, slug, coalesce(role, 'city') <> 'city' AS is_rest, {D2} AS d2, box.ord AS o "
     "FROM poi JOIN box ON lng BETWEEN w AND e AND lat BETWEEN s AND n), "
     "best AS (SELECT id, slug, row_number() OVER (PARTITION BY id ORDER BY is_rest, d2, o) AS rn FROM hit) "
@@ -295,15 +296,34 @@ GREEDY_SQL = (
 )
 
 
-@query("WIN1 JN7 JN8", GREEDY_SQL)
-def one_to_one_pairs(spark, sf):
-    rows = _pairing(spark, sf)
+def _sourced(spark, sf):
     kind = F.when(F.col("id") % 2 == 0, "hopfenstop").otherwise("osm")
     entry = F.array(F.struct(kind.alias("type"), F.col("id").cast("string").alias("id"), F.lit(None).cast("int").alias("version")))
-    pairs = dedup.pair_and_assign(rows.withColumn("sources", entry.cast(schema.SOURCES)))
+    return _pairing(spark, sf).withColumn("sources", entry.cast(schema.SOURCES))
+
+
+@query("WIN1 JN7 JN8", GREEDY_SQL)
+def one_to_one_pairs(spark, sf):
+    pairs = dedup.pair_and_assign(_sourced(spark, sf))
     return pairs.select("region", "gone_id", "kept_id", F.round("meters", 4).alias("meters"), F.round("sim", 6).alias("sim"), "reason", "tier")
 
 
+TOTALS = ["features_before", "seed_only_before", "map_before", "tier_a_merged", "tier_b_review", "features_after"]
+
+
+@query(
+    "AGG10",
+    f"WITH {st.cte('q0', PAIRING)}, x AS ({GREEDY_SQL}), u AS (SELECT CAST(region AS VARCHAR) AS region, 1 AS features_before, (id % 2 = 0)::INT AS seed_only_before, (id % 2 = 1)::INT AS map_before, "
+    "0 AS tier_a_merged, 0 AS tier_b_review, (id NOT IN (SELECT gone_id FROM x WHERE tier = 0))::INT AS features_after FROM q0 UNION ALL "
+    "SELECT CAST(region AS VARCHAR), 0, 0, 0, (tier = 0)::INT, (tier = 1)::INT, 0 FROM x) "
+    "SELECT CASE WHEN grouping(region) = 1 THEN '(all)' ELSE region END AS region, " + ", ".join(f"sum({t})::BIGINT AS {t}" for t in TOTALS) + " FROM u GROUP BY ROLLUP (region)",
+)
+def dedup_totals(spark, sf):
+    """Totals of a deduplication run, per region and overall."""
+    rows = _sourced(spark, sf)
+    return seed.dedup_totals(rows, dedup.pair_and_assign(rows))
+
+
 @query(
     "SNK3",
     f"{PAIR_SQL}, b AS (SELECT r.*, row_number() OVER (PARTITION BY r.region, gone_id ORDER BY sim DESC, meters, kept_id) AS rn FROM r WHERE reason = 'B:dice') "

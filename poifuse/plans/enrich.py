@@ -30,6 +30,12 @@ def worklist(features: DataFrame) -> DataFrame:
     return features.filter(~vending & named & (prov.apple_id(F.col("sources")).isNull() | incomplete()))
 
 
+def capped(rows: DataFrame, limit: int) -> tuple[DataFrame, bool]:
+    """The first rows of a worklist by region, id and position, and whether the cap left any out."""
+    kept = rows.orderBy("region", "id", "ord").limit(limit)
+    return kept, rows.limit(limit + 1).count() > limit
+
+
 def worklist_counters(features: DataFrame) -> DataFrame:
     flags = {
         "considered": F.lit(True),

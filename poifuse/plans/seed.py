@@ -100,6 +100,11 @@ def deduplicate(features: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame,
         "hops_addr",
         "osm_addr",
     )
+    return merged, review, dedup_totals(features, pairs)
+
+
+def dedup_totals(features: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Per region and overall: rows before, seed-only and map rows before, merged pairs, pairs for review, rows after."""
     s = F.col("sources")
     seed_only = prov.has_source(s, "hopfenstop") & ~prov.has_source(s, "osm")
     measures = ["features_before", "seed_only_before", "map_before", "tier_a_merged", "tier_b_review", "features_after"]
@@ -107,10 +112,11 @@ def deduplicate(features: DataFrame, as_of: str) -> tuple[DataFrame, DataFrame,
     def counted(df: DataFrame, **flags: Column) -> DataFrame:
         return df.select("region", *[flags.get(m, F.lit(0)).cast("int").alias(m) for m in measures])
 
+    gone = pairs.filter(F.col("tier") == 0).select("region", F.col("gone_id").alias("id"))
     before = counted(features, features_before=F.lit(1), seed_only_before=seed_only, map_before=prov.has_source(s, "osm"))
     paired = counted(pairs, tier_a_merged=F.col("tier") == 0, tier_b_review=F.col("tier") == 1)
-    after = counted(merged, features_after=F.lit(1))
-    return merged, review, stats.rolled_up_sums(before.unionByName(paired).unionByName(after), "region", measures)
+    after = counted(features.join(gone, ["region", "id"], "left_anti"), features_after=F.lit(1))
+    return stats.rolled_up_sums(before.unionByName(paired).unionByName(after), "region", measures)
 
 
 def confirm_matches(features: DataFrame, review: DataFrame, results: DataFrame, as_of: str, failed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

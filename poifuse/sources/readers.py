@@ -92,8 +92,35 @@ def read_property_keys(spark: SparkSession, root: str) -> DataFrame:
     return spread.select(F.col("path").alias("region"), F.col("ord").cast("bigint").alias("ord"), F.col("f.properties").alias("properties_json"))
 
 
+def parse_region_entries(lines: list[str]) -> list[dict]:
+    """Entries of a region list in YAML: one `- key: value` block per region, plain or quoted scalars, lists in brackets.
+
+    Other YAML (anchors, nested blocks, multi-line text) is refused."""
+    entries: list[dict] = []
+    for number, line in enumerate(lines, 1):
+        text = re.sub(r"(^|\s)#.*$", "", line).rstrip()
+        if not text.strip() or text.strip() in ("---", "regions:"):
+            continue
+        m = re.match(r"""\s*(-\s+)?([A-Za-z_][\w-]*):\s+(\[[^\]]*\]|"[^"]*"|'[^']*'|[^\s&*{|>\[][^{]*)$""", text)
+        if not m or not (m[1] or entries):
+            raise ValueError(f"line {number} is no entry of a region list: {line.strip()}")
+        if m[1]:
+            entries.append({})
+        value = m[3].strip()
+        if value.startswith("["):
+            entries[-1][m[2]] = [v.strip().strip("\"'") for v in value[1:-1].split(",") if v.strip()]
+        elif value.lower() in ("true", "false"):
+            entries[-1][m[2]] = value.lower() == "true"
+        else:
+            entries[-1][m[2]] = int(value) if re.fullmatch(r"-?\d+", value) else value.strip("\"'")
+    return entries
+
+
 def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    """Region list from a JSON array, JSON lines, CSV or Parquet table; list order in ord."""
+    """Region list from YAML, a JSON array, JSON lines, CSV or a Parquet table; list order in ord."""
+    if path.endswith((".yml", ".yaml")):  # a configuration file, read as one row
+        text = spark.read.text(path, wholetext=True).first()
+        return regions_table(spark, parse_region_entries(text[0].splitlines() if text else []))
     if path.endswith(".csv"):
         return spark.read.schema(schema.REGION_DDL).option("header", True).csv(path)
     if path.endswith(".json") or path.endswith(".jsonl"):

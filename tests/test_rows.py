@@ -104,3 +104,23 @@ def test_shadowing_stays_in_the_region(spark):
     fresh = spark.createDataFrame([("c", 0, "x", "Corner", 8.1, 50.1), ("d", 0, "x", "Corner", 8.1, 50.1)], ddl)
     existing = spark.createDataFrame([("c", 0, "e", "Corner", 8.1, 50.1)], ddl)
     assert [r["region"] for r in linking.without_near_duplicates(fresh, existing).collect()] == ["d"]
+
+
+def test_region_list_in_yaml(spark, tmp_path):
+    text = '# head\nregions:\n  - slug: a\n    path: data/a.geojson\n    prefix: "a1"   # why\n    iso3166_2: DE-HE\n    admin_level: 6\n    bbox: [7.5, 49.0, -9, 50.25]\n\n  - slug: b\n    path: b\n    prefix: b\n    iso3166_2: ES-MD\n    bbox: [1, 2, 3, 4]\n    role: rest\n    bbox_clip: true\n'
+    (tmp_path / "regions.yml").write_text(text)
+    a, b = readers.read_regions(spark, str(tmp_path / "regions.yml")).orderBy("ord").collect()
+    assert (a["slug"], a["prefix"], a["admin_level"], a["w"], a["e"], a["role"]) == ("a", "a1", 6, 7.5, -9.0, None)
+    assert (b["path"], b["n"], b["role"], b["bbox_clip"]) == ("b", 4.0, "rest", True)
+    for bad in (["key: &x 1"], ["- a: {b: 1}"], ["- a: |"]):
+        try:
+            readers.parse_region_entries(bad)
+        except ValueError:
+            continue
+        raise AssertionError(bad)
+
+
+def test_capped_worklist_says_so(spark):
+    f = repeated(spark)
+    kept, capped = enrich.capped(f, 3)
+    assert kept.count() == 3 and capped and not enrich.capped(f, 4)[1]
