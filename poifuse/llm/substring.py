@@ -334,14 +334,33 @@ def repeated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, shard_words:
     return common.stage(found.mapInArrow(_unite, "doc_id long, spans binary"), "spans")
 
 
-def _passing(bits, inside: bool = True):
-    """Rows whose id may be (or surely isn't) in the filter, without the filter's column."""
+def _marked(batch: pa.RecordBatch, bits) -> tuple[np.ndarray, list[str]]:
+    known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+    return common.passes(bits.value, batch.column("bit").fill_null(0).to_numpy()) & known, [n for n in batch.schema.names if n != "bit"]
+
+
+def _passing(bits):
+    """Rows whose id may be in the filter, without the filter's column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = common.passes(bits.value, batch.column("bit").fill_null(0).to_numpy()) & batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            kept = batch.filter(pa.array(ok if inside else ~ok))
-            yield kept.select([n for n in kept.schema.names if n != "bit"])
+            ok, names = _marked(batch, bits)
+            yield batch.filter(pa.array(ok)).select(names)
+
+    return run
+
+
+def _others(bits, work):
+    """The work done on rows whose id surely isn't in the filter; they have no spans. One Python process does both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rest() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ok, names = _marked(batch, bits)
+                kept = batch.filter(pa.array(~ok)).select(names)
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.nulls(len(kept), pa.binary())], names=[*names, "spans"])
+
+        yield from work(rest())
 
     return run
 
@@ -401,8 +420,7 @@ def _with_spans(docs: DataFrame, spans: DataFrame, work, ddl: str) -> DataFrame:
     bits = common.id_filter(spans.select("doc_id"))
     marked = docs.withColumn("bit", common.filter_bit("doc_id"))
     hit = marked.mapInArrow(_passing(bits), docs.schema).join(spans, "doc_id", "left").select(*docs.columns, "spans")
-    miss = marked.mapInArrow(_passing(bits, False), docs.schema).withColumn("spans", F.lit(None).cast("binary"))
-    return hit.mapInArrow(work, ddl).union(miss.mapInArrow(work, ddl))
+    return hit.mapInArrow(work, ddl).union(marked.mapInArrow(_others(bits, work), ddl))
 
 
 def digest(docs: DataFrame, spans: DataFrame) -> DataFrame:

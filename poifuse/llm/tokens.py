@@ -22,7 +22,7 @@ _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
 _PUNCT = np.zeros(256, dtype=bool)
 _PUNCT[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
-_KEEP = 1_500_000  # distinct pieces kept per worker; beyond, the store starts anew
+_KEEP = 800_000  # distinct pieces kept per worker; beyond, the store starts anew
 
 
 class Encoder:
@@ -40,7 +40,7 @@ class Encoder:
     def _clear(self) -> None:
         self.keys = np.zeros(0, dtype=np.uint64)
         self.at = np.zeros(0, dtype=np.int64)
-        self.size = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int32)
         self.ids = np.zeros(0, dtype=np.uint32)
 
     def _encode(self, pieces: list[str]) -> list[np.ndarray]:
@@ -69,8 +69,8 @@ class Encoder:
         if len(self.keys) + len(keys) > _KEEP:
             self._clear()
         ids = self._encode(pieces)
-        size = np.array([len(x) for x in ids], dtype=np.int64)
-        at = len(self.ids) + np.cumsum(size) - size
+        size = np.array([len(x) for x in ids], dtype=np.int32)
+        at = len(self.ids) + np.cumsum(size, dtype=np.int64) - size
         order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
         self.keys = np.concatenate([self.keys, keys])[order]
         self.at = np.concatenate([self.at, at])[order]
@@ -82,7 +82,7 @@ class Encoder:
         data, bounds = wb.text_column(column)
         row, rows = 0, len(bounds) - 1
         while row < rows:
-            stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + (1 << 21), side="right")) - 1)
+            stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + (1 << 20), side="right")) - 1)
             raw = wb.LOWER[data[bounds[row] : bounds[stop]]]
             start, end, first = wb.split(raw, bounds[row : stop + 1] - bounds[row])
             if len(raw) > 1:  # cut a letter from the punctuation after it
@@ -103,12 +103,13 @@ class Encoder:
                 self._learn(distinct[new], [view[a:b].decode("utf-8", "replace") for a, b in zip(start[example[new]].tolist(), end[example[new]].tolist())])
                 spot = np.searchsorted(self.keys, distinct)
             spot = spot[inverse]
-            size = self.size[spot]
+            size = self.size[spot].astype(np.int64)
             ends = np.cumsum(size)
             total = int(ends[-1]) if len(ends) else 0
             ids = self.ids[np.repeat(self.at[spot] - (ends - size), size) + np.arange(total)]
             yield slice(row, stop), ids, np.concatenate([[0], ends]).astype(np.int64)[first]
             row = stop
+        pa.default_memory_pool().release_unused()
 
 
 _encoders: dict[str, Encoder] = {}

@@ -95,7 +95,7 @@ def split(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(start, bounds)
 
 
-def words(column: pa.Array, lower: bool = False, chunk: int = 1 << 20) -> Iterator[Words]:
+def words(column: pa.Array, lower: bool = False, chunk: int = 1 << 19) -> Iterator[Words]:
     """The words of a text column in chunks of whole rows, about chunk bytes each (one long row may be more)."""
     data, bounds = text_column(column)
     row, rows = 0, len(bounds) - 1
@@ -107,6 +107,7 @@ def words(column: pa.Array, lower: bool = False, chunk: int = 1 << 20) -> Iterat
         start, end, first = split(piece, bounds[row : stop + 1] - bounds[row])
         yield Words(piece, start, end, span_hash(prefix_hash(_VALUES[piece]), start, end), first, slice(row, stop))
         row = stop
+    pa.default_memory_pool().release_unused()
 
 
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
