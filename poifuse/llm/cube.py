@@ -31,7 +31,7 @@ from poifuse.llm import common
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST = 2.0
-BLOCK = 20_000  # documents of a block, about
+BLOCK = 4_000  # documents of a block, about
 FAN = 512  # blocks whose leftovers a later round balances together
 _EPS = 1e-9
 
