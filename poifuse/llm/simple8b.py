@@ -22,19 +22,22 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(values)
     if n == 0:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
-    bits = np.zeros(n, dtype=np.int64)
-    for b in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60):
-        bits[(values >> np.uint64(b)) > 0] = b + 1
     starts = np.arange(0, n, BLOCK)
     stops = np.minimum(starts + BLOCK, n)
-    # wide[b]: the next position at or after i whose value needs more than b bits
-    choice = np.full(n, len(COUNTS) - 1, dtype=np.int8)
-    left = np.repeat(stops, stops - starts) - np.arange(n)
+    # bits of each value, a row per block; zeros behind a block's end let its last word be short
+    bits = np.zeros((len(starts), BLOCK + 60), dtype=np.uint8)
+    flat = np.zeros(len(starts) * BLOCK, dtype=np.uint8)
+    flat[:n] = np.frexp(values.astype(np.float64))[1]  # may round up next to a power of two: never too few
+    bits[:, :BLOCK] = flat.reshape(-1, BLOCK)
+    most = {1: bits}  # largest among as many values from here
+    for count, part in ((2, 1), (3, 2), (4, 2), (5, 3), (6, 3), (7, 4), (8, 4), (10, 5), (12, 6), (15, 8), (20, 10), (30, 15), (60, 30)):
+        shift = count - part
+        most[count] = most[part].copy()
+        np.maximum(most[part][:, :-shift], most[part][:, shift:], out=most[count][:, :-shift])
+    choice = np.zeros((len(starts), BLOCK), dtype=np.int8)  # 0: more than 60 bits
     for s in range(len(COUNTS) - 1, 0, -1):
-        wide = np.flatnonzero(bits > int(BITS[s]))
-        after = np.append(wide, n + BLOCK)[np.searchsorted(wide, np.arange(n))] - np.arange(n)
-        choice[np.minimum(left, COUNTS[s]) <= after] = s
-    choice[bits > 60] = 0
+        np.copyto(choice, np.int8(s), where=most[int(COUNTS[s])][:, :BLOCK] <= np.uint8(BITS[s]))
+    choice = choice.ravel()
     at, block, chosen = starts.copy(), np.arange(len(starts)), []
     while len(at):  # all blocks step together
         chosen.append(np.stack([block, at]))

@@ -83,7 +83,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     sizes = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
     docs = blocks.mapInArrow(_read, "doc_id long, part long, start_in_part long, ids binary")
-    return docs.join(before, "part").select("doc_id", (F.col("part_start") + F.col("start_in_part")).alias("start"), "ids")
+    # that one row per task is small whatever the texts; without the hint the ids would be shuffled
+    return docs.join(F.broadcast(before), "part").select("doc_id", (F.col("part_start") + F.col("start_in_part")).alias("start"), "ids")
 
 
 def token_digest(spark: SparkSession, path: str) -> DataFrame:
