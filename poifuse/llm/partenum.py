@@ -20,7 +20,8 @@ are linked in two rounds. First each class is checked against one leading class,
 the one with most shared signatures. Groups that then still hold several components
 go on with a bit map of each set, one bit for many shingles: sets differ in at
 least as many shingles as their maps do in bits, so in a large group of edited
-copies only pairs that are linked or nearly so leave the task. Every pair is decided
+copies only pairs that are linked or nearly so leave the task: first, of each class,
+the closest one per other component, then all that still lie between components. Every pair is decided
 on whole shingle sets (their hashes cut to 40 bits), never on signatures or maps.
 
 Nulls and ties: null or wordless texts have no shingles and link with nothing;
@@ -307,11 +308,11 @@ def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One map per class and band; its length depends on the band alone, two to six bits per shingle."""
+    """One map per class and band; its length depends on the band alone, four bits per shingle or more."""
     for batch in batches:
         maps = []
         for blob, band in zip(batch.column("items").to_pylist(), batch.column("band").to_pylist()):
-            length = max(1024, 64 * -(-2 * int(upper(np.array(band))) // 64))
+            length = max(2048, 64 * -(-4 * int(upper(np.array(band))) // 64))
             bits = np.zeros(length, dtype=np.uint8)
             # the parity of each bit's shingles: one differing shingle flips one bit
             np.bitwise_xor.at(bits, (_items(blob) * np.uint64(length) >> np.uint64(40)).astype(np.int64) if length < 1 << 23 else (_items(blob) % np.uint64(length)).astype(np.int64), 1)
@@ -319,8 +320,14 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("fp"), batch.column("band"), common.binary_rows(maps)], names=["fp", "band", "map"])
 
 
-def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a < b) between components whose maps differ in no more bits than linked sets may differ in shingles."""
+def _near(closest: bool):
+    """Pairs (a < b) between components whose maps differ in no more bits than linked sets may differ in shingles.
+
+    closest: of each class's pairs with one component, the one with the smallest difference."""
+    return lambda batches: _near_pairs(batches, closest)
+
+
+def _near_pairs(batches: Iterator[pa.RecordBatch], closest: bool) -> Iterator[pa.RecordBatch]:
     got = [b for b in batches if b.num_rows]
     if not got:
         return
@@ -348,7 +355,12 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             other[:x] &= ~outside[:x]  # pairs outside it once
             y = a + np.flatnonzero(other)
             y = y[4 * np.minimum(n[a + x], n[y]) >= 3 * np.maximum(n[a + x], n[y])]
-            y = y[np.bitwise_count(bits[y - a] ^ bits[x]).sum(axis=1, dtype=np.int64) <= (n[a + x] + n[y]) // 7]
+            apart = np.bitwise_count(bits[y - a] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            close = apart <= (n[a + x] + n[y]) // 7
+            y, apart = y[close], apart[close]
+            if closest and len(y) > 1:
+                rank = np.lexsort((fp[y], apart, root[y]))
+                y = y[rank[np.append(True, root[y][rank][1:] != root[y][rank][:-1])]]
             if len(y):
                 pairs.append(np.stack([np.minimum(fp[y], fp[a + x]), np.maximum(fp[y], fp[a + x])], axis=1))
                 held += len(y)
@@ -421,9 +433,12 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     rooted = roles.join(trees.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     open_ = common.stage(dealt(rooted).mapInArrow(_open, "sig long, fp long, root long, n long, band long"), "open")
     maps = open_.select("fp", "band").distinct().join(sets, "fp").select("fp", "band", "items").mapInArrow(_bitmaps, "fp long, band long, map binary")
-    near = open_.join(maps, ["fp", "band"]).repartition(parts, "sig").mapInArrow(_near, "a long, b long").distinct()
-    rest = common.stage(_verified(near, sets), "links")
-    trees = common.components(edges.union(rest))
+    for closest in (True, False):  # first one pair per class and component, then whatever is still apart
+        near = open_.join(maps, ["fp", "band"]).repartition(parts, "sig").mapInArrow(_near(closest), "a long, b long").distinct()
+        edges = edges.union(common.stage(_verified(near, sets), "links"))
+        trees = common.components(edges)
+        now = trees.toDF("fp", "now")
+        open_ = open_.join(now, "fp", "left").select("sig", "fp", F.coalesce("now", "fp").alias("root"), "n", "band")
     # smallest doc_id of each component of classes
     with_root = classes.join(trees.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = with_root.groupBy("root").agg(F.min("rep").alias("component"))
