@@ -22,7 +22,7 @@ _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
 _PUNCT = np.zeros(256, dtype=bool)
 _PUNCT[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
-_KEEP = 800_000  # distinct pieces kept per worker; beyond, the store starts anew
+_KEEP = 400_000  # distinct pieces kept per worker; beyond, the store starts anew
 
 
 class Encoder:
