@@ -1,16 +1,20 @@
 """Main text of web pages by template deduction over the pages of a host (operator 1).
 
 Tokens of a page are its element starts and ends, told apart by their path
-(tags with ids and classes), and its short text runs outside articles, told apart by
-path and words. Tokens with one occurrence vector over the pages of a host (the
+(tags with ids and classes), and its text runs, told apart by path and words. Tokens with one occurrence vector over the pages of a host (the
 same count on every page) form an equivalence class. A class is valid if it has two tokens
-or more, is on at least SUPPORT of the host's pages, and its tokens come in one
-order; valid classes nest by their paths into the host's template. Text runs in
-valid classes are fixed text. What remains are slots, one per template path; the
-slots of navigation, adverts, forms, notices and the like are told by tag, by
-words in ids and classes, and by the share of their text that is links over all
-pages. The main slot is an article or main element, or else the deepest path that
-holds most of the text. Extraction keeps what stands in the main slot, in order.
+or more and is on at least SUPPORT of the host's pages; an element is in the
+template if its mean end place doesn't come before its mean start place (the order
+within a class is not checked further). Valid classes nest by their paths into the
+host's template. Text runs in valid classes are fixed text. What remains are slots,
+one per template path; the slots of navigation, adverts, forms, notices and the like
+are told by tag, by words in ids and classes, and by the share of their text that is
+links over all pages. The main slot is chosen from the text that is neither fixed nor
+linked: an article or main element if it holds most of it and holds no further such
+elements with text, or else the deepest path that holds most of it. Extraction keeps
+what stands in the main slot, in order, without its linked slots; fixed text goes
+only where the main slot is the whole body. Pages without the host's main slot, and
+pages of hosts whose slot is the whole body, are read by tags where these hold most.
 
 Occurrence vectors are never gathered: a token's vector is the xor of one hash per
 page and count. A host's template is bounded by the tokens that most of its pages
@@ -40,8 +44,8 @@ from poifuse.llm.url_filter import host_and_path
 
 SUPPORT = 0.5
 MIN_PAGES = 4
-SHORT_RUN = 200  # characters of a text run that can be fixed text
 LINK_SHARE = 0.6
+MAIN_SHARE = 0.6
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(id|class|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|$)""", re.I)
 _RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg select object video audio canvas".split())
@@ -59,8 +63,8 @@ _CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure f
 
 
 @lru_cache(maxsize=100_000)
-def _segment(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """Path segment of an element; whether it is set apart from content; whether it is a main element."""
+def _segment(tag: str, attributes: str) -> str:
+    """Path segment of an element; after a blank, * marks a main element and ! one set apart from content."""
     found = {}
     for name, *value in _ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), next((v for v in value if v), ""))
@@ -70,26 +74,32 @@ def _segment(tag: str, attributes: str) -> tuple[str, bool, bool]:
     main = tag in _MAIN or "main" in names & {"main"} and found.get("role", "").lower() == "main"
     apart = hidden or tag in _DROP or (not main and bool(names & _NAMES) and not names & _BODY_NAMES)
     # running numbers in ids and classes are no part of the template
-    label = re.sub(r"\d+", "0", ".".join(sorted(found.get("class", "").lower().split())))
-    ident = re.sub(r"\d+", "0", found.get("id", "").lower())
-    return tag + (f"#{ident}" if ident else "") + (f".{label}" if label else ""), apart, main
+    label = re.sub(r"\d+", "0", ".".join(sorted(found.get("class", "").lower().split()))).replace("/", "_")
+    ident = re.sub(r"\d+", "0", "_".join(found.get("id", "").lower().split())).replace("/", "_")
+    marks = "*" * main + "!" * apart
+    return tag + (f"#{ident}" if ident else "") + (f".{label}" if label else "") + (f" {marks}" if marks else "")
+
+
+@lru_cache(maxsize=200_000)
+def _flags(path: str) -> tuple[bool, bool]:
+    """Whether a path is set apart from content; whether it is in a main element."""
+    marks = "".join(part.partition(" ")[2] for part in path.split("/"))
+    return "!" in marks, "*" in marks
 
 
 class Page:
     """One pass over a page: text runs with their structural path and flags, and the starts and ends of elements."""
 
     def __init__(self, source: str) -> None:
-        self.runs: list[tuple[str, str, bool, bool, bool, bool]] = []  # path, text, apart, in main, in a link, break before
+        self.runs: list[tuple[str, str, bool, bool]] = []  # path, text, in a link, break before
         self.tags: list[str] = []
-        # tag, path, apart, main
-        stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+        stack: list[tuple[str, str]] = [("", "")]  # tag, path
         at, links, split = 0, 0, True
 
         def text(raw: str) -> None:
             nonlocal split
             if raw:
-                _, path, apart, main = stack[-1]
-                self.runs.append((path, html.unescape(raw) if "&" in raw else raw, apart, main, links > 0, split))
+                self.runs.append((stack[-1][1], html.unescape(raw) if "&" in raw else raw, links > 0, split))
                 split = False
 
         while True:
@@ -122,21 +132,21 @@ class Page:
                 continue
             if tag in _VOID:
                 continue
-            segment, apart, main = _segment(tag, attributes.strip().rstrip("/") if attributes else "")
+            segment = _segment(tag, attributes.strip().rstrip("/") if attributes else "")
             if tag in _INLINE:
-                if apart:
-                    stack.append((tag, stack[-1][1], True, stack[-1][3]))
+                if "!" in segment.partition(" ")[2]:
+                    stack.append((tag, f"{stack[-1][1]}/{segment}"))
                 continue
             if tag in _CLOSES_P and any(s[0] == "p" for s in stack[-4:]):
                 k = max(i for i, s in enumerate(stack) if s[0] == "p")
                 del stack[k:]
             elif tag in ("li", "tr", "td", "th", "dt", "dd", "option") and stack[-1][0] == tag:
                 stack.pop()
-            _, path, was_apart, was_main = stack[-1]
+            path = stack[-1][1]
             if tag == "header":
-                apart = not was_main
+                segment = segment.partition(" ")[0] + ("" if _flags(path)[1] else " !")
             path = f"{path}/{segment}"
-            stack.append((tag, path, apart or was_apart, main or was_main))
+            stack.append((tag, path))
             self.tags.append(path)
 
 
@@ -144,24 +154,35 @@ def _hash(*words: str) -> int:
     return int.from_bytes(__import__("hashlib").blake2b("\x00".join(words).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+def _below(path: str, top: str) -> bool:
+    return path == top or path.startswith(top + "/")
+
+
+def _wide(path: str) -> bool:
+    """Whether a path is the whole body."""
+    return re.split(r"[#. ]", path.rpartition("/")[2])[0] == "body"
+
+
 def page_text(source: str | None, template: dict | None = None) -> str:
     """Main text of one page, with its host's template if there is one."""
     if not source:
         return ""
     page = Page(source)
     linked, fixed, main = (template["linked"], template["fixed"], template["main"]) if template else (frozenset(), frozenset(), "")
-    inside = any(r[3] and not r[2] and r[1].strip() for r in page.runs)
-    below = main + "/"
-    held = bool(not inside and main and any((r[0] == main or r[0].startswith(below)) and not r[2] and r[1].strip() for r in page.runs))
-    narrow = held and main != "/html/body"  # text of a main slot is never fixed text, however often it is copied
+    apart = [_flags(r[0])[0] for r in page.runs]
+    said = [0 if out else len(" ".join(r[1].split())) for r, out in zip(page.runs, apart)]
+    keep = [not out and _below(r[0], main) and r[0] not in linked for r, out in zip(page.runs, apart)] if main and not _wide(main) else []
+    if not any(k and n for k, n in zip(keep, said)):  # the page has another layout, or the host's slot is the whole body
+        keep = [not out and _flags(r[0])[1] for r, out in zip(page.runs, apart)]
+        rest = [not out and not (template and (r[0] in linked or _hash(r[0], " ".join(r[1].split())) in fixed)) for r, out in zip(page.runs, apart)]
+        by_tag = sum(n for k, n in zip(keep, said) if k)
+        if not by_tag or template and 2 * by_tag < sum(n for k, n in zip(rest, said) if k):
+            keep = rest
     out: list[str] = []
-    for path, text, apart, in_main, _, split in page.runs:
-        keep = not apart and (in_main if inside else path == main or path.startswith(below) if held else not path.startswith("/html/head"))
-        if keep and not in_main and not narrow and template:
-            keep = path not in linked and _hash(path, " ".join(text.split())) not in fixed
+    for k, (_, text, _, split) in zip(keep, page.runs):
         if split:
             out.append(" ")
-        if keep:
+        if k:
             out.append(text)
     return " ".join("".join(out).split())
 
@@ -178,14 +199,14 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = Page(source or "")
             seen: dict[int, list] = defaultdict(lambda: [None, False, 0, 0.0, 0, 0])
             chars: dict[str, list[int]] = defaultdict(lambda: [0, 0])
-            for path, text, apart, main, link, _ in page.runs:
+            for path, text, link, _ in page.runs:
                 words = " ".join(text.split())
                 if words:
                     chars[path][0] += len(words)
                     chars[path][1] += len(words) * link
-                    if not main and len(words) <= SHORT_RUN:
-                        token = seen[_hash(path, words)]
-                        token[0], token[2] = path, token[2] + 1
+                    token = seen[_hash(path, words)]
+                    token[0], token[2] = path, token[2] + 1
+                    token[4], token[5] = token[4] + len(words), token[5] + len(words) * link
             for k, tag in enumerate(page.tags):
                 token = seen[_hash(tag)]
                 token[0], token[1], token[2] = tag, True, token[2] + 1
@@ -222,20 +243,27 @@ def _template(frame: pd.DataFrame) -> pd.DataFrame:
     good = {p for p, place in tags.items() if not p.startswith("/" * 2) and tags.get("/" + p, place) >= place}
     paths = frame[frame["tag"] & ~frame["path"].str.startswith("//")]
     linked = sorted(set(paths["path"][(paths["chars"] > 0) & (paths["link_chars"] > LINK_SHARE * paths["chars"]) & paths["path"].isin(good)]))
-    fixed = sorted(valid["token"][~valid["tag"]].tolist())
-    text = [(p, c) for p, c in zip(paths["path"], paths["chars"]) if c and p not in linked and not any(_segment_apart(p))]
-    whole, main = sum(c for _, c in text), ""
-    for p in sorted(good, key=len):
-        last = p.rsplit("/", 1)[-1]
-        if whole and sum(c for q, c in text if q == p or q.startswith(p + "/")) >= 0.6 * whole and not any(_segment_apart(p)) and re.split(r"[#.]", last)[0] in ("div", "section", "td", "body", "article", "main"):
-            main = p
+    runs = valid[~valid["tag"]]
+    fixed = sorted(runs["token"].tolist())
+    text = {p: c - m for p, c, m in zip(paths["path"], paths["chars"], paths["link_chars"]) if p not in linked and not _flags(p)[0]}
+    loose = dict(text)
+    for p, c, m in zip(runs["path"], runs["chars"], runs["link_chars"]):
+        if p in loose:
+            loose[p] -= c - m
+    main = _main_slot({p: c for p, c in loose.items() if c > 0} or {p: c for p, c in text.items() if c > 0}, good)
     return pd.DataFrame({"host": [host], "pages": [total], "linked": [linked], "fixed": [fixed], "main": [main], "template": [sorted(good)]})
 
 
-def _segment_apart(path: str) -> Iterator[bool]:
-    for part in path.strip("/").split("/"):
-        tag, _, rest = part.partition("#") if "#" in part else part.partition(".")
-        yield tag in _DROP or bool(set(re.split(r"[#.\-_\s]+", rest)) & _NAMES)
+def _main_slot(text: dict[str, int], good: set[str]) -> str:
+    """The template path of the main slot, from the characters of each path; empty if there is none."""
+    whole = sum(text.values())
+    fits = [p for p in sorted(good) if not _flags(p)[0] and whole and sum(c for q, c in text.items() if _below(q, p)) >= MAIN_SHARE * whole]
+    fits.sort(key=len)
+    tagged = [p for p in fits if "*" in p.rpartition("/")[2].partition(" ")[2]]
+    if tagged and not any("*" in part.partition(" ")[2] for q in text if _below(q, tagged[-1]) for part in q[len(tagged[-1]) :].split("/")):
+        return tagged[-1]
+    blocks = [p for p in fits if re.split(r"[#. ]", p.rpartition("/")[2])[0] in ("div", "section", "td", "body", "article", "main")]
+    return blocks[-1] if blocks else ""
 
 
 def templates(pages: DataFrame) -> DataFrame:
