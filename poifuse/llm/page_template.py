@@ -16,6 +16,12 @@ what stands in the main slot, in order, without its linked slots; fixed text goe
 only where the main slot is the whole body. Pages without the host's main slot, and
 pages of hosts whose slot is the whole body, are read by tags where these hold most.
 
+Names in ids, classes and roles, headers and forms set an element apart only while
+it holds less than APART_SHARE (forms FORM_SHARE) of the text that isn't linked, and
+not most of the text in main elements where all of that would be set apart; this is
+counted over the host's pages, or in the page where its tags decide. Elements such
+as nav, footer, aside or hidden ones are always apart, html and body never.
+
 Occurrence vectors are never gathered: a token's vector is the xor of one hash per
 page and count. A host's template is bounded by the tokens that most of its pages
 share. Hosts with fewer than MIN_PAGES pages have no template; their
@@ -46,12 +52,14 @@ SUPPORT = 0.5
 MIN_PAGES = 4
 LINK_SHARE = 0.6
 MAIN_SHARE = 0.6
+APART_SHARE = 0.5
+FORM_SHARE = 0.25
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(id|class|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|$)""", re.I)
 _RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes svg select object video audio canvas".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-_DROP = frozenset("nav footer aside form button dialog menu head fieldset".split())
+_DROP = frozenset("nav footer aside button dialog menu head fieldset".split())
 _MAIN = frozenset(("article", "main"))
 _NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice "
@@ -64,7 +72,7 @@ _CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure f
 
 @lru_cache(maxsize=100_000)
 def _segment(tag: str, attributes: str) -> str:
-    """Path segment of an element; after a blank, * marks a main element and ! one set apart from content."""
+    """Path segment of an element; after a blank, * marks a main element, ! one set apart from content, !! one always apart."""
     found = {}
     for name, *value in _ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), next((v for v in value if v), ""))
@@ -72,19 +80,48 @@ def _segment(tag: str, attributes: str) -> str:
     names = set(re.split(r"[\s_\-:]+", words)) - {""}
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
     main = tag in _MAIN or "main" in names & {"main"} and found.get("role", "").lower() == "main"
-    apart = hidden or tag in _DROP or (not main and bool(names & _NAMES) and not names & _BODY_NAMES)
+    never = tag in ("html", "body")
+    always = not never and (hidden or tag in _DROP)
+    apart = always or not never and (tag == "form" or (not main and bool(names & _NAMES) and not names & _BODY_NAMES))
     # running numbers in ids and classes are no part of the template
     label = re.sub(r"\d+", "0", ".".join(sorted(found.get("class", "").lower().split()))).replace("/", "_")
     ident = re.sub(r"\d+", "0", "_".join(found.get("id", "").lower().split())).replace("/", "_")
-    marks = "*" * main + "!" * apart
+    marks = "*" * main + "!" * (apart + always)
     return tag + (f"#{ident}" if ident else "") + (f".{label}" if label else "") + (f" {marks}" if marks else "")
 
 
 @lru_cache(maxsize=200_000)
-def _flags(path: str) -> tuple[bool, bool]:
-    """Whether a path is set apart from content; whether it is in a main element."""
-    marks = "".join(part.partition(" ")[2] for part in path.split("/"))
-    return "!" in marks, "*" in marks
+def _flags(path: str) -> tuple[bool, tuple[str, ...], bool]:
+    """Whether a path is always apart from content; the elements on it that are unless they hold most; whether it is in a main element."""
+    always, apart, main, at = False, [], False, 0
+    for part in path.split("/"):
+        at += len(part) + 1
+        marks = part.partition(" ")[2]
+        always, main = always or "!!" in marks, main or "*" in marks
+        if marks.endswith("!"):
+            apart.append(path[: at - 1])
+    return always, tuple(apart), main
+
+
+def _apart(path: str, wrappers: frozenset[str]) -> bool:
+    always, apart, _ = _flags(path)
+    return always or bool(apart) and not wrappers.issuperset(apart)
+
+
+def _wrappers(text: dict[str, int]) -> frozenset[str]:
+    """Elements that would be set apart but hold most of the text (characters that aren't linked, by path)."""
+    held: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    whole = mains = 0
+    free = False
+    for path, chars in text.items():
+        always, apart, main = _flags(path)
+        if chars > 0 and not always:
+            whole, mains, free = whole + chars, mains + chars * main, free or main and not apart
+            for p in apart:
+                held[p][0] += chars
+                held[p][1] += chars * main
+    share = lambda p: FORM_SHARE if re.split(r"[#. ]", p.rpartition("/")[2])[0] == "form" else APART_SHARE
+    return frozenset(p for p, (c, m) in held.items() if c >= share(p) * whole or mains and not free and m >= APART_SHARE * mains)
 
 
 class Page:
@@ -144,7 +181,7 @@ class Page:
                 stack.pop()
             path = stack[-1][1]
             if tag == "header":
-                segment = segment.partition(" ")[0] + ("" if _flags(path)[1] else " !")
+                segment = segment.partition(" ")[0] + (" !!" if "!!" in segment else "" if _flags(path)[2] else " !")
             path = f"{path}/{segment}"
             stack.append((tag, path))
             self.tags.append(path)
@@ -168,15 +205,20 @@ def page_text(source: str | None, template: dict | None = None) -> str:
     if not source:
         return ""
     page = Page(source)
-    linked, fixed, main = (template["linked"], template["fixed"], template["main"]) if template else (frozenset(), frozenset(), "")
-    apart = [_flags(r[0])[0] for r in page.runs]
-    said = [0 if out else len(" ".join(r[1].split())) for r, out in zip(page.runs, apart)]
-    keep = [not out and _below(r[0], main) and r[0] not in linked for r, out in zip(page.runs, apart)] if main and not _wide(main) else []
-    if not any(k and n for k, n in zip(keep, said)):  # the page has another layout, or the host's slot is the whole body
-        keep = [not out and _flags(r[0])[1] for r, out in zip(page.runs, apart)]
+    linked, fixed, main, wrappers = (template["linked"], template["fixed"], template["main"], template["wrappers"]) if template else (frozenset(), frozenset(), "", frozenset())
+    words = [len(" ".join(r[1].split())) for r in page.runs]
+    keep = [_below(r[0], main) and r[0] not in linked and not _apart(r[0], wrappers) for r in page.runs] if main and not _wide(main) else []
+    if not any(k and n for k, n in zip(keep, words)):  # the page has another layout, or the host's slot is the whole body
+        if not template or not any(n and not _apart(r[0], wrappers) for r, n in zip(page.runs, words)):
+            own: dict[str, int] = defaultdict(int)
+            for r, n in zip(page.runs, words):
+                own[r[0]] += n * (not r[2])
+            wrappers |= _wrappers(own)
+        apart = [_apart(r[0], wrappers) for r in page.runs]
+        keep = [not out and _flags(r[0])[2] for r, out in zip(page.runs, apart)]
         rest = [not out and not (template and (r[0] in linked or _hash(r[0], " ".join(r[1].split())) in fixed)) for r, out in zip(page.runs, apart)]
-        by_tag = sum(n for k, n in zip(keep, said) if k)
-        if not by_tag or template and 2 * by_tag < sum(n for k, n in zip(rest, said) if k):
+        by_tag = sum(n for k, n in zip(keep, words) if k)
+        if not by_tag or template and 2 * by_tag < sum(n for k, n in zip(rest, words) if k):
             keep = rest
     out: list[str] = []
     for k, (_, text, _, split) in zip(keep, page.runs):
@@ -245,19 +287,21 @@ def _template(frame: pd.DataFrame) -> pd.DataFrame:
     linked = sorted(set(paths["path"][(paths["chars"] > 0) & (paths["link_chars"] > LINK_SHARE * paths["chars"]) & paths["path"].isin(good)]))
     runs = valid[~valid["tag"]]
     fixed = sorted(runs["token"].tolist())
-    text = {p: c - m for p, c, m in zip(paths["path"], paths["chars"], paths["link_chars"]) if p not in linked and not _flags(p)[0]}
+    text = {p: c - m for p, c, m in zip(paths["path"], paths["chars"], paths["link_chars"]) if p not in linked}
     loose = dict(text)
     for p, c, m in zip(runs["path"], runs["chars"], runs["link_chars"]):
         if p in loose:
             loose[p] -= c - m
-    main = _main_slot({p: c for p, c in loose.items() if c > 0} or {p: c for p, c in text.items() if c > 0}, good)
-    return pd.DataFrame({"host": [host], "pages": [total], "linked": [linked], "fixed": [fixed], "main": [main], "template": [sorted(good)]})
+    loose = loose if any(c > 0 and not _flags(p)[0] for p, c in loose.items()) else text
+    wrappers = _wrappers(loose)
+    main = _main_slot({p: c for p, c in loose.items() if c > 0 and not _apart(p, wrappers)}, {p for p in good if not _apart(p, wrappers)})
+    return pd.DataFrame({"host": [host], "pages": [total], "linked": [linked], "fixed": [fixed], "main": [main], "wrappers": [sorted(wrappers)], "template": [sorted(good)]})
 
 
 def _main_slot(text: dict[str, int], good: set[str]) -> str:
     """The template path of the main slot, from the characters of each path; empty if there is none."""
     whole = sum(text.values())
-    fits = [p for p in sorted(good) if not _flags(p)[0] and whole and sum(c for q, c in text.items() if _below(q, p)) >= MAIN_SHARE * whole]
+    fits = [p for p in sorted(good) if whole and sum(c for q, c in text.items() if _below(q, p)) >= MAIN_SHARE * whole]
     fits.sort(key=len)
     tagged = [p for p in fits if "*" in p.rpartition("/")[2].partition(" ")[2]]
     if tagged and not any("*" in part.partition(" ")[2] for q in text if _below(q, tagged[-1]) for part in q[len(tagged[-1]) :].split("/")):
@@ -267,7 +311,7 @@ def _main_slot(text: dict[str, int], good: set[str]) -> str:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """Per host (page_id, host, html): linked paths, fixed text tokens, main path and template paths."""
+    """Per host (page_id, host, html): linked paths, fixed text tokens, main path, elements not set apart and template paths."""
     tokens = pages.select("page_id", "host", "html").mapInArrow(_tokens, _TOKENS_DDL)
     sums = tokens.groupBy("host", "token").agg(
         F.min("path").alias("path"), F.bool_or("tag").alias("tag"), F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"),
@@ -277,7 +321,7 @@ def templates(pages: DataFrame) -> DataFrame:
     hosts = sums.where((F.col("path") == "") & (F.col("pages") >= MIN_PAGES)).select("host", F.col("pages").alias("all_pages"))
     # at most (tokens of a page / SUPPORT) rows of a host are left
     common_ones = sums.join(hosts, "host").where(F.col("pages") >= SUPPORT * F.col("all_pages"))
-    return common_ones.groupBy("host").applyInPandas(_template, "host string, pages long, linked array<string>, fixed array<long>, main string, template array<string>")
+    return common_ones.groupBy("host").applyInPandas(_template, "host string, pages long, linked array<string>, fixed array<long>, main string, wrappers array<string>, template array<string>")
 
 
 _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
@@ -293,7 +337,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(kept) >= 10_000:
                     kept.clear()
                 found = batch.column("template")[k].as_py()
-                kept[host] = {"linked": frozenset(found["linked"]), "fixed": frozenset(found["fixed"]), "main": found["main"]} if found else None
+                kept[host] = {"linked": frozenset(found["linked"]), "fixed": frozenset(found["fixed"]), "main": found["main"], "wrappers": frozenset(found["wrappers"])} if found else None
             texts.append(page_text(source, kept[host]))
         yield common.table({"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts, "n_chars": [len(t) for t in texts]}, _OUT)
 
@@ -302,5 +346,5 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for each row of (page_id, url, html)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = rows.withColumn("host", host_and_path(F.coalesce("url", F.lit("")))[0])
-    found = common.stage(templates(rows), "templates").select("host", F.struct("linked", "fixed", "main").alias("template"))
+    found = common.stage(templates(rows), "templates").select("host", F.struct("linked", "fixed", "main", "wrappers").alias("template"))
     return rows.join(found, "host", "left").select("page_id", "url", "host", "html", "template").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

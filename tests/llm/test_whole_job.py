@@ -24,3 +24,20 @@ def test_fixed_text_of_any_length_does_not_choose_the_main_slot(spark):
     page = "<html><body><div class='box'><article><p>" + notice + "</p></article></div><div class='text'><p>Own text {i} and more of {i}</p></div></body></html>"
     got = texts(spark, [(i, "http://fixed.com/a", page.format(i=i)) for i in range(8)])
     assert got == {i: f"Own text {i} and more of {i}" for i in range(8)}
+
+
+def test_wrappers_are_not_set_apart(spark):
+    inner = "<article><h1>Head {i}</h1><p>Text {i} of this page, some words long.</p></article><div class='sidebar'>Side {i}</div>"
+    layouts = [
+        "<body class='right-sidebar'>" + inner, "<body><div class='container with-sidebar'>" + inner + "</div>", "<body><form id='aspnet' action='/'>" + inner + "</form>",
+        "<html class='no-notice'><body><div class='widget'><form>" + inner + "</form></div>", "<body><div class='has-promo'>" + inner.replace("article", "div") + "</div>",
+    ]
+    pages = [(100 * k + i, f"http://{'big' if i else 'small'}{k}.com/", page.format(i=i)) for k, page in enumerate(layouts) for i in range(6)]
+    got = texts(spark, pages)
+    assert got == {k: f"Head {k % 100} Text {k % 100} of this page, some words long." for k, _, _ in pages}
+
+
+def test_search_form_and_comments_stay_apart(spark):
+    page = "<body><form><p>Find it {i}</p></form><article><p>Text {i} of this page, some words long.</p></article><section class='comments'><article><p>Nice {i}</p></article></section></body>"
+    got = texts(spark, [(i, f"http://{'a' if i else 'b'}.com/", page.format(i=i)) for i in range(6)])
+    assert got == {i: f"Text {i} of this page, some words long." for i in range(6)}
