@@ -266,15 +266,18 @@ def _deal(parts: int):
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Entries by signature, the class with most shared signatures first, and each group's start and stop; only groups of several components."""
+    """Entries by signature and band, the class with most shared signatures first, and each group's start and stop; only groups of several components.
+
+    The signature is cut short, so those of two bands may be equal: they are two groups."""
     got = [np.frombuffer(x, _ENTRY) for b in batches for x in b.column("blob").to_pylist()]
     if not got:
         return np.zeros(0, dtype=_ENTRY), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     rows = np.concatenate(got)
-    rows = rows[np.lexsort((rows["fp"], rows["sig"]))]
-    rows = rows[np.append(True, (rows["sig"][1:] != rows["sig"][:-1]) | (rows["fp"][1:] != rows["fp"][:-1]))]
-    rows = rows[np.lexsort((rows["fp"], -rows["shared"], rows["sig"]))]
-    at = np.flatnonzero(np.append(True, rows["sig"][1:] != rows["sig"][:-1]))
+    rows = rows[np.lexsort((rows["fp"], rows["band"], rows["sig"]))]
+    group = (rows["sig"][1:] != rows["sig"][:-1]) | (rows["band"][1:] != rows["band"][:-1])
+    rows = rows[np.append(True, group | (rows["fp"][1:] != rows["fp"][:-1]))]
+    rows = rows[np.lexsort((rows["fp"], -rows["shared"], rows["band"], rows["sig"]))]
+    at = np.flatnonzero(np.append(True, (rows["sig"][1:] != rows["sig"][:-1]) | (rows["band"][1:] != rows["band"][:-1])))
     stop = np.append(at[1:], len(rows))
     several = np.minimum.reduceat(rows["root"], at) != np.maximum.reduceat(rows["root"], at)
     return rows, at[several], stop[several]
@@ -332,12 +335,12 @@ def _near_pairs(batches: Iterator[pa.RecordBatch], closest: bool) -> Iterator[pa
     if not got:
         return
     table = pa.Table.from_batches(got)
-    columns = {c: table.column(c).to_numpy() for c in ("sig", "fp", "root", "n")}
-    order = np.lexsort((columns["fp"], columns["sig"]))
+    columns = {c: table.column(c).to_numpy() for c in ("sig", "fp", "root", "n", "band")}
+    order = np.lexsort((columns["fp"], columns["band"], columns["sig"]))
     maps = table.column("map").to_pylist()
     del got, table
-    sig, fp, root, n = (columns[c][order] for c in ("sig", "fp", "root", "n"))
-    at = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+    sig, fp, root, n, band = (columns[c][order] for c in ("sig", "fp", "root", "n", "band"))
+    at = np.flatnonzero(np.append(True, (sig[1:] != sig[:-1]) | (band[1:] != band[:-1])))
     pairs, held = [], 0
 
     def emit() -> Iterator[pa.RecordBatch]:

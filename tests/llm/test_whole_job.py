@@ -1,6 +1,9 @@
 """Cases in which an operator once did less than the whole job."""
 
-from poifuse.llm import page_template
+import numpy as np
+import pyarrow as pa
+
+from poifuse.llm import page_template, partenum
 
 PAGES = "page_id long, url string, html string"
 
@@ -41,3 +44,21 @@ def test_search_form_and_comments_stay_apart(spark):
     page = "<body><form><p>Find it {i}</p></form><article><p>Text {i} of this page, some words long.</p></article><section class='comments'><article><p>Nice {i}</p></article></section></body>"
     got = texts(spark, [(i, f"http://{'a' if i else 'b'}.com/", page.format(i=i)) for i in range(6)])
     assert got == {i: f"Text {i} of this page, some words long." for i in range(6)}
+
+
+def test_equal_signatures_of_two_bands_are_two_groups():
+    draw = np.random.default_rng(1)
+    maps = [draw.bytes(256), draw.bytes(288), draw.bytes(864)]
+    # (sig, fp, root, n, band, map): two near pairs with one signature, in bands with maps of their own length; a third band with one class
+    rows = [(7, 1, 1, 60, 3, maps[0]), (7, 2, 2, 60, 3, maps[0]), (7, 3, 3, 500, 9, maps[1]), (7, 4, 4, 500, 9, maps[1]), (7, 5, 5, 1500, 12, maps[2])]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["sig", "fp", "root", "n", "band", "map"])
+    got = [p for b in partenum._near_pairs(iter([batch]), False) for p in zip(*[c.to_pylist() for c in b.columns])]
+    assert sorted(got) == [(1, 2), (3, 4)]
+    entries = np.zeros(len(rows), dtype=partenum._ENTRY)
+    for k, (sig, fp, root, n, band, _) in enumerate(rows):
+        entries[k] = (sig, fp, root, n, k, band)
+    blob = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([entries.tobytes()])], names=["key", "blob"])
+    found, at, stop = partenum._groups(iter([blob]))
+    assert [sorted(found["fp"][a:b].tolist()) for a, b in zip(at, stop)] == [[1, 2], [3, 4]]
+    leading = [p for b in partenum._leading(iter([blob])) for p in zip(*[c.to_pylist() for c in b.columns])]
+    assert sorted((min(a, b), max(a, b)) for a, b, _ in leading) == [(1, 2), (3, 4)]
