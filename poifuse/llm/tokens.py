@@ -4,7 +4,9 @@ Words at ASCII white space are independent for the tokenizer used here (its
 normaliser and its splitter never join across white space), and an ASCII letter
 followed by ASCII punctuation other than an apostrophe is a split too. So the
 ids of a text are the ids of its pieces in order; the pieces are looked up by
-64-bit hash and only new ones go through the tokenizers library."""
+64-bit hash and only new ones go through the tokenizers library. A text that holds
+the string of an added token (such as <|endoftext|>) is encoded as a whole, because
+the library takes these strings out first."""
 
 from __future__ import annotations
 
@@ -13,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 from poifuse.llm import wordbytes as wb
 
@@ -33,7 +36,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self._clear()
 
@@ -77,10 +80,18 @@ class Encoder:
         self.size = np.concatenate([self.size, size])[order]
         self.ids = np.concatenate([self.ids, *ids])
 
+    def _whole(self, column: pa.Array) -> dict[int, np.ndarray]:
+        """Ids of the rows that hold the string of an added token."""
+        rows: set[int] = set()
+        for token in self.added:
+            rows.update(np.flatnonzero(pa.compute.match_substring(column, token).fill_null(False).to_numpy(zero_copy_only=False)).tolist())
+        return {i: np.array(self.tokenizer.encode(column[i].as_py(), add_special_tokens=False).ids, dtype=np.uint32) for i in rows}
+
     def column(self, column: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
         """For chunks of rows: the rows, all their ids, and each row's first id."""
         data, bounds = wb.text_column(column)
         row, rows = 0, len(bounds) - 1
+        whole = self._whole(column)
         while row < rows:
             stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + (1 << 20), side="right")) - 1)
             raw = wb.LOWER[data[bounds[row] : bounds[stop]]]
@@ -107,7 +118,11 @@ class Encoder:
             ends = np.cumsum(size)
             total = int(ends[-1]) if len(ends) else 0
             ids = self.ids[np.repeat(self.at[spot] - (ends - size), size) + np.arange(total)]
-            yield slice(row, stop), ids, np.concatenate([[0], ends]).astype(np.int64)[first]
+            bound = np.concatenate([[0], ends]).astype(np.int64)[first]
+            if any(row <= i < stop for i in whole):
+                texts = [whole.get(i, ids[a:b]) for i, a, b in zip(range(row, stop), bound[:-1].tolist(), bound[1:].tolist())]
+                ids, bound = np.concatenate(texts), np.cumsum([0, *map(len, texts)], dtype=np.int64)
+            yield slice(row, stop), ids, bound
             row = stop
         pa.default_memory_pool().release_unused()
 

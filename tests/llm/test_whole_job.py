@@ -1,9 +1,14 @@
 """Cases in which an operator once did less than the whole job."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+from tokenizers import Tokenizer
 
-from poifuse.llm import page_template, partenum
+from poifuse.llm import common, packing, page_template, partenum, token_files
+from poifuse.llm.queries import _tokenizer
+from poifuse.llm.tokens import encoder
 
 PAGES = "page_id long, url string, html string"
 
@@ -62,3 +67,29 @@ def test_equal_signatures_of_two_bands_are_two_groups():
     assert [sorted(found["fp"][a:b].tolist()) for a, b in zip(at, stop)] == [[1, 2], [3, 4]]
     leading = [p for b in partenum._leading(iter([blob])) for p in zip(*[c.to_pylist() for c in b.columns])]
     assert sorted((min(a, b), max(a, b)) for a, b, _ in leading) == [(1, 2), (3, 4)]
+
+
+SPECIAL = ["a b", "x <|endoftext|> y", None, "<|startoftext|>A,b<|endoftext|>", "<|ENDOFTEXT|> c.", "", "d<|endoftext|><|endoftext|>"]
+
+
+def test_strings_of_added_tokens_give_their_ids():
+    fresh = Tokenizer.from_file(_tokenizer())
+    texts = SPECIAL + ["word, " * 300_000, "tail <|endoftext|>"]  # several chunks
+    seen = 0
+    for rows, ids, first in encoder(_tokenizer()).column(pa.array(texts)):
+        for i in range(rows.start, rows.stop):
+            assert ids[first[i - rows.start] : first[i - rows.start + 1]].tolist() == fresh.encode(texts[i] or "", add_special_tokens=False).ids
+            seen += 1
+    assert seen == len(texts) and 49407 in fresh.encode(SPECIAL[1], add_special_tokens=False).ids
+
+
+def test_token_files_and_pieces_with_added_tokens(spark):
+    fresh = Tokenizer.from_file(_tokenizer())
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    path = common.stage_path(spark, "tokens")
+    token_files.write_token_files(docs, _tokenizer(), path)
+    ids = [np.array([*fresh.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4") for t in SPECIAL]
+    starts = np.cumsum([0, *map(len, ids)])
+    want = [(i, int(starts[i]), len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)]
+    assert sorted(map(tuple, token_files.token_digest(spark, path).collect())) == want
+    assert sorted((r["doc_id"], r["length"]) for r in packing.pack_documents(docs, _tokenizer()).collect()) == [(i, len(x)) for i, x in enumerate(ids)]
