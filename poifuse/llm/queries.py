@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from poifuse.llm import common, cube, licence_classifier, line_quality, packing, page_template, partenum, projection_forest, substring, token_files, url_filter
+from poifuse.llm import common, cube, decontaminate, hard_negatives, licence_classifier, line_quality, manifest, packing, page_template, partenum, projection_forest, substring, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,3 +85,27 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_read(spark, sf_dir, "documents"))
+
+
+SQL["op11_merkle_manifest"] = manifest.ORACLE_SQL
+
+
+@_query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_read(spark, sf_dir, "embeddings"))
+
+
+SQL["op12_hard_negatives"] = hard_negatives.ORACLE_SQL
+
+
+@_query
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+SQL["op13_decontaminate"] = decontaminate.ORACLE_SQL
