@@ -14,21 +14,28 @@ from pyspark.sql import functions as F
 from poifuse import schema
 from poifuse.functions import geo, provenance, text
 from poifuse.operators import spatial
+from poifuse.operators.assignment import CROSS, TWIN, assign, components
 from poifuse.operators.skew import HOT_ROWS, numbered, salted_join
 from poifuse.session import cut
 
 NEAR_M, WIDE_M, TOUCHING_M = 30.0, 60.0, 8.0
 STRONG, TIER_A, TIER_B = 0.65, 0.55, 0.3
-CROSS, TWIN = 0, 1
 ORDER = ["tier", "neg_sim", "meters", "kind", "first_ord", "second_ord"]
+SITE = ["region", "lng", "lat", "is_map", "name", "address", "score"]
+LARGE_ROWS = 1_000_000
 PAIR = ["region", "gone_id", "kept_id", "meters", "sim", "reason", "tier", "kind", "first_ord", "second_ord"]
 
 
-def _profile(df: DataFrame, side: str) -> DataFrame:
-    """Columns a pair is judged by, named after its side."""
+def _address() -> Column:
+    """Street and number as they are compared; null unless both are there."""
     def clean(part: str) -> Column:
         return F.lower(F.trim(F.coalesce(F.col(f"address.{part}"), F.lit(""))))
 
+    return F.when((clean("street") != "") & (clean("number") != ""), F.concat_ws("|", clean("street"), clean("number")))
+
+
+def _profile(df: DataFrame, side: str) -> DataFrame:
+    """Columns a pair is judged by, named after its side."""
     folded = df.select(
         "region",
         "lng",
@@ -36,9 +43,7 @@ def _profile(df: DataFrame, side: str) -> DataFrame:
         F.col("id").alias(f"{side}_id"),
         F.col("ord").alias(f"{side}_ord"),
         text.fold_name(F.col("name")).alias(f"{side}_name"),
-        F.when((clean("street") != "") & (clean("number") != ""), F.concat_ws("|", clean("street"), clean("number"))).alias(
-            f"{side}_address"
-        ),
+        _address().alias(f"{side}_address"),
     )
     return folded.withColumn(f"{side}_grams", text.bigram_set(F.col(f"{side}_name")))
 
@@ -64,18 +69,8 @@ def _judge(near: DataFrame) -> DataFrame:
     reach = F.when(exact | (F.col("sim") >= STRONG), WIDE_M).otherwise(NEAR_M)
     judged = judged.filter(F.col("meters") <= reach)
     judged = judged.withColumn("reason", pair_reason(exact, F.col("sim"), contained, same_address, F.col("meters")))
-    return judged.filter(F.col("reason").isNotNull()).select(
-        "region",
-        F.col("left_id").alias("gone_id"),
-        F.col("right_id").alias("kept_id"),
-        "meters",
-        "sim",
-        "reason",
-        F.when(F.col("reason").startswith("B:"), 1).otherwise(0).alias("tier"),
-        F.lit(CROSS).alias("kind"),
-        F.col("left_ord").alias("first_ord"),
-        F.col("right_ord").alias("second_ord"),
-    )
+    tier = F.when(F.col("reason").startswith("B:"), 1).otherwise(0)
+    return judged.filter(F.col("reason").isNotNull()).withColumns({"tier": tier, "kind": F.lit(CROSS)})
 
 
 def seed_rows(features: DataFrame) -> DataFrame:
@@ -87,15 +82,13 @@ def map_rows(features: DataFrame) -> DataFrame:
     return features.filter(provenance.has_source(F.col("sources"), "osm"))
 
 
-def cross_pairs(seeds: DataFrame, maps: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All admissible seed-to-map pairs of a region.
+def _judged_pairs(left: DataFrame, right: DataFrame, ids: list[str], hot_rows: int) -> DataFrame:
+    """Admissible pairs of two profiles, each once by its ids.
 
     Ordinary cells compare their rows directly. In crowded cells rows meet on
     what an admissible pair must have: a shared bigram, a shared address, or a
     distance of at most eight metres.
     """
-    left, right = _profile(seeds, "left"), _profile(maps, "right")
-
     def tokens(side: str) -> Column:
         # Only very short names can be similar by their padding alone.
         grams = F.col(f"{side}_grams")
@@ -109,12 +102,18 @@ def cross_pairs(seeds: DataFrame, maps: DataFrame, hot_rows: int = HOT_ROWS) ->
     by_place = _judge(spatial.pairs_within(crowded, right, TOUCHING_M, keys=["region"], hot_rows=hot_rows))
     at_address = crowded.filter(F.col("left_address").isNotNull()).withColumn("place", F.col("left_address"))
     addressed = right.filter(F.col("right_address").isNotNull()).withColumn("place", F.col("right_address"))
-    by_address = _judge(spatial.pairs_within(at_address, addressed, NEAR_M, keys=["region", "place"], hot_rows=hot_rows))
-    ids = ["region", "gone_id", "kept_id"]
+    by_address = _judge(spatial.pairs_within(at_address, addressed, NEAR_M, keys=["region", "place"], hot_rows=hot_rows)).drop("place")
     extra = by_place.unionByName(by_address).dropDuplicates(ids)
     return by_name.unionByName(extra.join(by_name.select(ids), ids, "left_anti"))
 
 
+def cross_pairs(seeds: DataFrame, maps: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """All admissible seed-to-map pairs of a region, row by row."""
+    judged = _judged_pairs(_profile(seeds, "left"), _profile(maps, "right"), ["region", "left_id", "right_id"], hot_rows)
+    renamed = {"left_id": "gone_id", "right_id": "kept_id", "left_ord": "first_ord", "right_ord": "second_ord"}
+    return judged.withColumnsRenamed(renamed).select(PAIR)
+
+
 def completeness(f: DataFrame) -> Column:
     """How many fields of a feature are filled."""
     def filled(test: Column) -> Column:
@@ -257,12 +256,76 @@ def without_claimed(df: DataFrame, claimed: DataFrame, column: str) -> DataFrame
     return df.join(ids, ["region", "id"], "left_anti")
 
 
-def pair_and_assign(features: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def site_rows(features: DataFrame) -> DataFrame:
+    """Seed and map rows with what a pair is judged by; rows that agree in all of it share a site."""
+    s = F.col("sources")
+    is_map = provenance.has_source(s, "osm")
+    chosen = features.filter(is_map | provenance.has_source(s, "hopfenstop")).withColumn("is_map", F.coalesce(is_map, F.lit(False)))
+    profile = chosen.select(
+        "region",
+        "lng",
+        "lat",
+        "id",
+        F.col("ord").cast("bigint").alias("ord"),
+        "is_map",
+        text.fold_name(F.col("name")).alias("name"),
+        _address().alias("address"),
+        F.when(F.col("is_map"), 0).otherwise(completeness(chosen)).alias("score"),
+    )
+    return profile.withColumn("site", F.md5(F.to_json(F.struct(*SITE))))
+
+
+def site_pairs(sites: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Admissible pairs of sites "a" and "b": a seed site and a map site, or two seed sites (or one with several rows) as twins."""
+    def side(is_map: bool, name: str) -> DataFrame:
+        own = sites.filter(F.col("is_map") == is_map)
+        parts = [F.col(c).alias(f"{name}_{c}") for c in ("site", "name", "address")]
+        return own.select("region", "lng", "lat", *parts, text.bigram_set(F.col("name")).alias(f"{name}_grams"))
+
+    cross = _judged_pairs(side(False, "left"), side(True, "right"), ["left_site", "right_site"], hot_rows)
+    seeds = sites.filter(~F.col("is_map") & (F.length("name") >= 4)).select("region", "name", "lng", "lat", "site", "n")
+    once = (F.col("left_site") < F.col("right_site")) | ((F.col("left_site") == F.col("right_site")) & (F.col("copies") > 1))
+    twins = spatial.pairs_within(
+        seeds.withColumnsRenamed({"site": "left_site", "n": "copies"}), seeds.withColumnRenamed("site", "right_site").drop("n"), WIDE_M,
+        condition=lambda _: once, keys=["region", "name"], hot_rows=hot_rows,
+    )
+    twins = twins.withColumns({"sim": F.lit(1.0), "reason": F.lit("twin"), "tier": F.lit(0), "kind": F.lit(TWIN)})
+    shared = ["region", F.col("left_site").alias("a"), F.col("right_site").alias("b"), "meters", "sim", "reason", "tier", "kind"]
+    area = [F.floor(F.col(c) * 20).alias(f"area_{c}") for c in ("lng", "lat")]
+    return cross.select(*shared, *area).unionByName(twins.select(*shared, *area))
+
+
+def pair_and_assign(features: DataFrame, hot_rows: int = HOT_ROWS, large_rows: int = LARGE_ROWS) -> DataFrame:
     """Seed-to-map pairs and seed twins of all regions, assigned one to one.
 
-    Piles of copies are settled first, by rank; their pairs lead the greedy
-    order, so what is left can be paired without them.
+    Rows meet as sites, so a pile of copies is one row of the radius join, and
+    each connected component of sites is walked in one pass. A component with
+    more than large_rows rows (a pile that no task should hold) is assigned in
+    rounds over all tasks instead, its piles of copies first, by rank.
     """
+    rows = cut(site_rows(features))
+    sites = rows.groupBy(*SITE, "site").agg(F.count(F.lit(1)).alias("n"))
+    pairs = cut(site_pairs(sites, hot_rows))
+    node = lambda c: F.xxhash64(c)  # two sites of one hash only share a component
+    area = ["region", "area_lng", "area_lat"]
+    roots = components(pairs.select(node("a").alias("a"), node("b").alias("b"), *area), area)
+    paired = pairs.select(F.col("a").alias("site")).union(pairs.select("b")).distinct()
+    comps = cut(paired.withColumn("node", node("site")).join(roots, "node").select("site", "root"))
+    sizes = sites.join(comps, "site").groupBy("root").agg(F.sum("n").alias("n"))
+    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    pairs = pairs.drop("area_lng", "area_lat")
+    if (largest or 0) <= large_rows:
+        return assign(pairs, rows, comps, total or 0)
+    large = cut(sizes.filter(F.col("n") > large_rows).select("root"))
+    ids = rows.join(comps.join(large, "root", "left_semi"), "site", "left_semi").select("region", "id").distinct()
+    in_rounds = assign_in_rounds(features.join(ids, ["region", "id"], "left_semi"), hot_rows)
+    return assign(pairs, rows, comps.join(large, "root", "left_anti"), total).unionByName(in_rounds.select(PAIR))
+
+
+def assign_in_rounds(features: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The same assignment without a task that holds a component: copies by rank, the rest in rounds of mutual best pairs.
+
+    Pairs among copies lead the greedy order, so what is left can be paired without them."""
     seeds, maps = seed_rows(features), map_rows(features)
     copies = cut(copy_pairs(seeds, maps))
     twin_copies = cut(twin_copy_pairs(seeds, copies))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from poifuse import schema
-from poifuse.operators import dedup, linking, merge, skew, spatial
+from poifuse.operators import assignment, dedup, linking, merge, skew, spatial
 
 R = 6371008.8
 
@@ -156,3 +156,51 @@ def test_merging_a_chain_passes_data_on(spark):
     )
     out = merge.apply_absorptions(df, pairs, "2024-01-01").collect()
     assert [(r["id"], r["description"], len(r["sources"])) for r in out] == [("1", "d3", 3)]
+
+
+@pytest.mark.parametrize("seed", [15, 16])
+def test_components_above_the_bound_go_in_rounds(spark, seed):
+    seeds = points(30, seed, NAMES, spread=0.0012, copies=0.5)
+    maps = [{**p, "id": p["id"] + 1000, "ord": p["ord"] + 1000} for p in points(25, seed + 50, NAMES, spread=0.0012, copies=0.2)]
+    df = spark.createDataFrame(feature_rows(seeds, maps), schema.FEATURE_DDL)
+    got = {(r["gone_id"], r["kept_id"], r["tier"]) for r in dedup.pair_and_assign(df, large_rows=4).collect()}
+    assert got == greedy(seeds, maps)
+
+
+def test_pile_of_copies_with_mixed_completeness(spark):
+    seeds = [{"id": i, "ord": (i * 7919) % 5003, "name": "Kiosk Nord", "lng": 8.0, "lat": 50.0} for i in range(5000)]
+    rows = spark.createDataFrame(feature_rows(seeds, []), schema.FEATURE_DDL)
+    sites = dedup.site_rows(rows).groupBy(*dedup.SITE, "site").agg(F.count("*").alias("n"))
+    assert dedup.site_pairs(sites).count() <= 10  # pairs of sites, not of rows
+    got = {(r["gone_id"], r["kept_id"]) for r in dedup.pair_and_assign(rows).collect()}
+    # the plain loop over all pairs of the pile, in row order
+    order = sorted(seeds, key=lambda p: p["ord"])
+    gone, kept, want = set(), set(), set()
+    scores = [score(p) for p in order]
+    for i, a in enumerate(order):
+        for j in range(i + 1, len(order)):
+            if i in gone and i in kept:
+                break
+            g, k = (j, i) if scores[i] >= scores[j] else (i, j)
+            if g not in gone and k not in kept:
+                gone.add(g), kept.add(k), want.add((str(order[g]["id"]), str(order[k]["id"])))
+    assert got == want
+
+
+def test_chain_is_one_component(spark):
+    """A chain of 1,000 places, each similar to the next: few jobs, same result as the plain loop."""
+    names = [f"Bude {'abcdefghij'[i % 10] * 3} {'klmnopqrst'[i // 10 % 10] * 3}" for i in range(1000)]
+    seeds = [{"id": i, "ord": i, "name": names[i], "lng": 8.0 + i * 0.00035, "lat": 50.0} for i in range(0, 1000, 2)]
+    maps = [{"id": i, "ord": i, "name": names[i], "lng": 8.0 + i * 0.00035 + i * 1e-7, "lat": 50.0} for i in range(1, 1000, 2)]
+    df = spark.createDataFrame(feature_rows(seeds, maps), schema.FEATURE_DDL)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    got = {(r["gone_id"], r["kept_id"], r["tier"]) for r in dedup.pair_and_assign(df).collect()}
+    assert got == greedy(seeds, maps) and len(got) > 300
+    assert len(set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - set(before)) < 60
+
+
+def test_components_of_long_chains(spark):
+    edges = [(i, i + 1, i % 7) for i in range(1000)] + [(5000 + i, 5001 + i, 0) for i in range(10)]
+    df = spark.createDataFrame(edges, "a long, b long, area long")
+    got = {r["node"]: r["root"] for r in assignment.components(df, ["area"]).collect()}
+    assert got == {i: 0 for i in range(1001)} | {5000 + i: 5000 for i in range(11)}
