@@ -302,7 +302,8 @@ def blocks(nodes: DataFrame) -> DataFrame:
     extra = [c for c in nodes.columns if c not in ("grp", "place", "total", "len", "hash")]
     run = F.col("len") if "len" in nodes.columns else F.lit(1)
     slot = F.struct(F.col("place").bitwiseAND((1 << BLOCK_BITS) - 1).cast("int").alias("slot"), run.cast("int").alias("len"), "hash", *extra)
-    return nodes.groupBy("grp", F.shiftright("place", BLOCK_BITS).alias("block")).agg(F.max("total").alias("total"), F.collect_list(slot).alias("slots"))
+    total = [F.max("total").alias("total")] if "total" in nodes.columns else []
+    return nodes.groupBy("grp", F.shiftright("place", BLOCK_BITS).alias("block")).agg(*total, F.collect_list(slot).alias("slots"))
 
 
 def paths(nodes: DataFrame, most: int, level: int = 0) -> DataFrame:
@@ -341,11 +342,12 @@ def manifest(docs: DataFrame) -> DataFrame:
     totals = found.groupBy("grp").agg(F.sum("n").alias("total"))
     # runs of equal leaves, cut at the blocks' ends
     size = 1 << BLOCK_BITS
-    rows = placed(found).join(totals, "grp")
+    rows = placed(found)
     first, last = F.shiftright("place", BLOCK_BITS), F.shiftright(F.col("place") + F.col("n") - 1, BLOCK_BITS)
     runs = rows.withColumn("block", F.explode(F.sequence(first, last)))
     begin, end = F.greatest("place", F.col("block") * size), F.least(F.col("place") + F.col("n"), (F.col("block") + 1) * size)
-    slots = common.stage(blocks(runs.select("grp", begin.alias("place"), (end - begin).alias("len"), F.col("leaf").alias("hash"), "total", "doc_id", "tampered")), "slots")
+    own = blocks(runs.select("grp", begin.alias("place"), (end - begin).alias("len"), F.col("leaf").alias("hash"), "doc_id", "tampered"))
+    slots = common.stage(own.join(totals, "grp"), "slots")  # blocks meet the totals, not leaves
     summary = totals.agg(F.max("total"), F.count("*")).first()
     most, groups = summary[0] or 0, summary[1]
     tops = slots.mapInArrow(_tops(0), "grp string, place long, total long, hash string")
