@@ -13,6 +13,7 @@ from poifuse.plans import seed
 from poifuse.sources import writers
 
 POI = st.cte("poi", st.POI)
+ALL_POI = f"{POI}, f AS (SELECT * FROM poi)"
 PAIR_POI = f"{POI}, f AS (SELECT * FROM poi WHERE side = 0), c AS (SELECT * FROM poi WHERE side = 1)"
 
 BOXES = [
@@ -33,20 +34,12 @@ SPREAD = [
     "CAST(CASE WHEN c_custkey % 50 = 9 THEN -190.0 ELSE 5.5 + (c_custkey % 97) * 0.1 END AS DOUBLE) AS lng",
     "c_nationkey AS region",
 ]
-# City anchors as slug, latitude, longitude.
-ANCHORS = [
-    ("frankfurt", 50.1109, 8.6821), ("ruhr", 51.4818, 7.2162), ("koeln", 50.9375, 6.9603), ("duesseldorf", 51.2277, 6.7735),
-    ("aachen", 50.7753, 6.0839), ("bielefeld", 52.0302, 8.5325), ("berlin", 52.5200, 13.4050), ("hamburg", 53.5511, 9.9937),
-    ("muenchen", 48.1351, 11.5820), ("nuernberg", 49.4521, 11.0767), ("stuttgart", 48.7758, 9.1829), ("karlsruhe", 49.0069, 8.4037),
-    ("mannheim", 49.4875, 8.4660), ("freiburg", 47.9990, 7.8421), ("hannover", 52.3759, 9.7320), ("leipzig", 51.3397, 12.3731),
-    ("dresden", 51.0504, 13.7373), ("halle", 51.4825, 11.9700), ("bremen", 53.0793, 8.8017), ("saarbruecken", 49.2401, 6.9969),
-    ("kiel", 54.3233, 10.1228), ("rostock", 54.0833, 12.1333),
-]
-ANCHOR_ROWS = ", ".join(f"({i}, '{slug}', {lat}, {lng})" for i, (slug, lat, lng) in enumerate(ANCHORS))
+# Anchors: one per nation, on a grid over the points.
+ANCHOR = ["n_nationkey AS i", "n_name AS slug", "CAST(47.5 + (n_nationkey % 5) * 1.7 AS DOUBLE) AS lat", "CAST(6.0 + FLOOR(n_nationkey / 5) * 1.9 AS DOUBLE) AS lng"]
 
 
-def _poi(spark, sf, side):
-    return st.poi(spark, sf).filter(F.col("side") == side)
+def _poi(spark, sf, side=None):
+    return st.poi(spark, sf) if side is None else st.poi(spark, sf).filter(F.col("side") == side)
 
 
 def _boxes(spark, sf):
@@ -73,7 +66,7 @@ def region_ownership(spark, sf):
 
 @query(
     "JN2 FLT12 PRJ7",
-    f"WITH {st.cte('p', SPREAD, 'customer')}, a(i, slug, alat, alng) AS (VALUES {ANCHOR_ROWS}), "
+    f"WITH {st.cte('p', SPREAD, 'customer')}, n AS (SELECT {', '.join(ANCHOR)} FROM nation), a AS (SELECT i, slug, lat AS alat, lng AS alng FROM n), "
     "ok AS (SELECT *, coalesce(lat BETWEEN -90 AND 90 AND lng BETWEEN -180 AND 180, false) AS usable FROM p), "
     f"d AS (SELECT k, slug, {st.haversine_sql('alat', 'alng', 'lat', 'lng', '6371.0088')} AS km, i FROM ok, a WHERE usable), "
     "best AS (SELECT k, slug, km, row_number() OVER (PARTITION BY k ORDER BY km, i) AS rn FROM d) "
@@ -82,7 +75,7 @@ def region_ownership(spark, sf):
     "FROM ok LEFT JOIN best ON best.k = ok.k AND rn = 1",
 )
 def nearest_anchor_split(spark, sf):
-    anchors = [{"slug": slug, "lat": lat, "lng": lng} for slug, lat, lng in ANCHORS]
+    anchors = [r.asDict() for r in st.table(spark, sf, "nation").selectExpr(*ANCHOR).orderBy("i").collect()]  # 25 rows
     placed = spatial.nearest_anchor(_spread(spark, sf).select("k", "lng", "lat"), anchors)
     return placed.select("k", "anchor", F.round("km", 4).alias("km"), "dropped")
 
@@ -265,13 +258,13 @@ def seed_map_pairs(spark, sf):
 @query(
     "JN8 PRJ19",
     f"{PAIR_BASE}, s AS (SELECT *, (cash IS NOT NULL)::INT + (hours IS NOT NULL)::INT + (street <> '')::INT + (coalesce(number, '') <> '')::INT + (description IS NOT NULL)::INT AS score "
-    f"FROM n WHERE side = 0 AND length(nm) >= 4), t AS (SELECT a.region, a.id AS a_id, b.id AS b_id, a.score >= b.score AS first_stays, "
+    f"FROM n WHERE length(nm) >= 4), t AS (SELECT a.region, a.id AS a_id, b.id AS b_id, a.score >= b.score AS first_stays, "
     f"{st.haversine_sql('a.lat', 'a.lng', 'b.lat', 'b.lng')} AS meters FROM s a JOIN s b ON a.region = b.region AND a.nm = b.nm AND a.ord < b.ord AND {st.near_sql('a', 'b')}) "
     "SELECT region, CASE WHEN first_stays THEN b_id ELSE a_id END AS gone_id, CASE WHEN first_stays THEN a_id ELSE b_id END AS kept_id, round(meters, 4) AS meters "
     "FROM t WHERE meters <= 60",
 )
 def seed_twins(spark, sf):
-    seeds = _pairing(spark, sf, 0)
+    seeds = _pairing(spark, sf)
     return dedup.twin_pairs(seeds, seeds).select("region", "gone_id", "kept_id", F.round("meters", 4).alias("meters"))
 
 
@@ -374,7 +367,7 @@ def answers(features):
 def _answer_sql(where: str, order: str, limit: str, columns: str) -> str:
     meters = st.haversine_sql("f.lat", "f.lng", "a.lat", "a.lng")
     return (
-        f"WITH {PAIR_POI}, a AS ({ANSWERS}), d AS (SELECT a.*, {meters} AS meters FROM a JOIN f ON f.id = a.feature_id WHERE {where}), "
+        f"WITH {ALL_POI}, a AS ({ANSWERS}), d AS (SELECT a.*, {meters} AS meters FROM a JOIN f ON f.id = a.feature_id WHERE {where}), "
         f"best AS (SELECT *, row_number() OVER (PARTITION BY feature_id ORDER BY {order}) AS rn FROM d WHERE meters <= {limit}) "
         f"SELECT feature_id, ord, round(meters, 4) AS meters, {columns} FROM best WHERE rn = 1"
     )
@@ -389,19 +382,19 @@ HIT_SCORE = "CASE WHEN street IS NOT NULL THEN 2 ELSE 0 END + CASE WHEN housenum
     _answer_sql(f"(country IS NULL OR country IN ({ALLOWED})) AND (street IS NOT NULL OR housenumber IS NOT NULL)", f"{HIT_SCORE} DESC, meters, ord", "50", "street, housenumber"),
 )
 def geocode_hits(spark, sf):
-    f = _poi(spark, sf, 0)
+    f = _poi(spark, sf)
     return linking.best_geocode_hit(f, answers(f)).select("feature_id", "ord", F.round("meters", 4).alias("meters"), "street", "housenumber")
 
 
 @query("JN13", _answer_sql("place_id IS NOT NULL", "meters, ord", "150", "place_id"))
 def nearest_places(spark, sf):
-    f = _poi(spark, sf, 0)
+    f = _poi(spark, sf)
     return linking.nearest_place(f, answers(f)).select("feature_id", "ord", F.round("meters", 4).alias("meters"), "place_id")
 
 
 @query("JN14 JN16", _answer_sql("true", "ord", "50", "place_id"))
 def first_results(spark, sf):
-    f = _poi(spark, sf, 0)
+    f = _poi(spark, sf)
     return linking.first_result(f, answers(f)).select("feature_id", "ord", F.round("meters", 4).alias("meters"), "place_id")
 
 
@@ -414,14 +407,14 @@ REVIEW = [
 
 
 def _review(spark, sf):
-    f = _poi(spark, sf, 0).withColumn("region", F.lit("all"))
-    review = st.table(spark, sf, "part").filter("p_partkey % 2 = 0").selectExpr(*REVIEW)
-    results = answers(_poi(spark, sf, 0)).withColumn("region", F.lit("all"))
+    f = _poi(spark, sf).withColumn("region", F.lit("all"))
+    review = st.table(spark, sf, "part").selectExpr(*REVIEW)
+    results = answers(_poi(spark, sf)).withColumn("region", F.lit("all"))
     return f, review, results
 
 
 OUTCOME_SQL = (
-    f"WITH {PAIR_POI}, a AS ({ANSWERS}), rv AS (SELECT {', '.join(REVIEW)} FROM part WHERE p_partkey % 2 = 0), "
+    f"WITH {ALL_POI}, a AS ({ANSWERS}), rv AS (SELECT {', '.join(REVIEW)} FROM part), "
     f"near AS (SELECT DISTINCT feature_id FROM a JOIN f ON f.id = a.feature_id WHERE {st.haversine_sql('f.lat', 'f.lng', 'a.lat', 'a.lng')} <= 50), "
     "o AS (SELECT rv.*, CASE WHEN length(trim(osm_name)) < 3 THEN 'skipped' WHEN region <> 'all' OR f.id IS NULL THEN 'error' "
     "WHEN near.feature_id IS NULL THEN 'no-match' WHEN NOT regexp_matches(osm_ref, '^(node|way|relation)/[0-9]+$') THEN 'error' ELSE 'confirmed' END AS outcome "

@@ -40,21 +40,35 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return a.join(b, [*keys, "salt"], how).drop("salt")
 
 
+SAMPLE_PER_RANGE = 20
+
+
+def _ranged(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Adds part, the number of a row's range: bounds come from a bounded sample and are kept, so a range never changes."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.struct(*[F.col(c) for c in columns])
+    sample = df.select(place.alias("place")).orderBy(F.xxhash64("place")).limit(SAMPLE_PER_RANGE * parts)
+    listed = sample.agg(F.sort_array(F.collect_list("place")).alias("places"))
+    bounds = cut(listed.select(F.filter("places", lambda _, i: i % SAMPLE_PER_RANGE == SAMPLE_PER_RANGE - 1).alias("bounds"))).scalar()
+    return df.withColumn("bounds", bounds).withColumn("part", F.size(F.filter("bounds", lambda b: b <= place))).drop("bounds")
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "rank") -> DataFrame:
     """1-based rank per key without pulling a key into one task.
 
-    Rows are sorted by range over the whole cluster; each range counts its rows
-    per key, the counts of earlier ranges become an offset, and the rank within
-    the range is added. The order must be total. The sorted rows are written to
-    the checkpoint folder, because ranges drawn twice could differ.
+    Rows are ranged over the whole cluster by (keys, order); each range counts its
+    rows per key, the counts of earlier ranges become an offset, and the rank within
+    the range is added. The order must be total. Only the bounds of the ranges, from a
+    bounded sample, are written: rows are read once for the counts, of which they need
+    only these columns, and once for the ranks.
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in [*keys, *order]])
-    ranged = cut(ranged.withColumn("part", F.spark_partition_id()))
+    columns = [*keys, *order]
+    ranged = _ranged(df, columns)
     sizes = ranged.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("size"))
     before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy(*keys, "part").orderBy(*order)
-    local = ranged.withColumn("local_rank", F.row_number().over(within))
+    within = Window.partitionBy("part", *keys).orderBy(*order)
+    local = ranged.repartition("part").withColumn("local_rank", F.row_number().over(within))
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*keys, "part"]]
     joined = local.alias("l").join(offsets.alias("o"), same)
     return joined.select(

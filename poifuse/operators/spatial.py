@@ -8,6 +8,7 @@ bigrams), and by salts that spread both sides over a matrix of tasks.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -199,14 +200,13 @@ def members_of_areas(points: DataFrame, regions: DataFrame) -> DataFrame:
 def nearest_anchor(points: DataFrame, anchors: list[dict], radius_km: float = 60.0) -> DataFrame:
     """Nearest anchor by great-circle distance, with the reason why a point is dropped.
 
-    Anchors are a short parameter list and become one literal array, so the
-    job is a single pass without join or shuffle.
+    Anchors are a parameter list of any length and become one literal array, so the
+    job is a single pass without join or shuffle; ties go to the first of the list.
     """
-    if not 0 < len(anchors) <= 1000:
-        raise ValueError("between 1 and 1000 anchors; use assign_region for larger sets")
-    table = F.array(
-        *[F.struct(F.lit(a["lat"]).alias("lat"), F.lit(a["lng"]).alias("lng"), F.lit(a["slug"]).alias("slug")) for a in anchors]
-    )
+    if not anchors:
+        raise ValueError("no anchors")
+    rows = json.dumps([{"lat": float(a["lat"]), "lng": float(a["lng"]), "slug": a["slug"]} for a in anchors])
+    table = F.from_json(F.lit(rows), "array<struct<lat: double, lng: double, slug: string>>")
     usable = geo.valid_point(F.col("lng"), F.col("lat"))
     ranked = F.transform(
         table,
