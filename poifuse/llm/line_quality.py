@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from poifuse.functions.text import let
+
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -43,20 +45,24 @@ def _stammers(words: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
+    """The rules, on measures that are taken once per line where several rules use them."""
+    measures = F.struct(F.regexp_count(line, F.lit(WORD)).alias("n"), F.lower(line).alias("low"))
+    return let(measures, lambda m: _fails(line, m["n"], m["low"]))
+
+
+def _fails(line: Column, count: Column, low: Column) -> Column:
     solid = F.length(F.regexp_replace(line, SPACE, ""))
-    count = F.regexp_count(line, F.lit(WORD))
     marks = F.length(line) - F.length(_without(line, SYMBOLS))
     bars = F.length(line) - F.length(_without(line, "|»›"))
     letters = F.length(F.regexp_replace(line, r"[^\p{L}]+", ""))
     capitals = F.length(F.regexp_replace(line, r"[^\p{Lu}]+", ""))
     ends = F.rtrim(line).rlike(r"""[.!?…:;"'”’)\]]$""")
     phrase = F.lit(False)
-    low = F.lower(line)
     for text in PHRASES:
         phrase = phrase | low.contains(text)
     return (
         ((bars >= 2) & (bars * 20 >= count))
-        | (marks * 10 > solid)
+        | ((marks > 0) & (marks * 10 > solid))
         | ((count >= 5) & (capitals * 10 > letters * 6))
         | ((count >= 10) & (_stammers(_words(line)) * 2 > count))
         | ((count <= 25) & phrase)
@@ -65,11 +71,14 @@ def line_fails(line: Column) -> Column:
     )
 
 
+_MADE = {f"q_{n}" for n in ("text", "list", "lines", "runs", "sorted", "at", "failing", "words", "word_chars", "symbols", "dup_lines", "repeat_words", "lost_words", "cleaned", "base_failed", "kept", "all")}
+
+
 def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds q_words, q_word_chars, q_symbols, q_dup_lines, q_repeat_words, q_lost_words, q_base_failed, q_kept, q_cleaned.
 
     Columns of these names in the input are replaced."""
-    names = [c for c in docs.columns if not c.startswith("q_")]
+    names = [c for c in docs.columns if c not in _MADE]
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     step = docs.select(*names, whole.alias("q_text")).withColumn("q_list", _words(F.col("q_text")))
     step = step.withColumn("q_lines", F.filter(F.split("q_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
@@ -98,7 +107,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     step = step.withColumn("q_base_failed", failed)
     step = step.withColumn("q_kept", ~failed & (F.col("q_lost_words") <= LOSS * F.col("q_words")))
     # one row in, one row out: a filter on the verdict isn't pushed below and doesn't repeat the work
-    marks = [c for c in step.columns if c.startswith("q_")]
+    marks = [c for c in step.columns if c not in names]
     return step.select(*names, F.explode(F.array(F.struct(*marks))).alias("q_all")).select(*names, *[F.col("q_all")[c].alias(c) for c in marks])
 
 
@@ -110,10 +119,11 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, same columns, with failing lines removed from their texts."""
-    judged = judge(docs).where("q_kept")
-    changed = F.when(F.col("q_lost_words") > 0, F.col("q_cleaned")).otherwise(F.col("text"))
-    return judged.select(*[changed.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    """The documents that are kept, same columns (of any name), with failing lines removed from their texts."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
+    judged = judge(rows).where("q_kept")
+    changed = F.when(F.col("q_lost_words") > 0, F.col("q_cleaned")).otherwise(F.col("row.text"))
+    return judged.select(*[changed.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 _FAILS = " OR ".join([
