@@ -154,6 +154,13 @@ def _pick(near: DataFrame, order: list, keys: list[str]) -> DataFrame:
     return near.groupBy(*names).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("best")).select(*names, "best.*")
 
 
+def results_by_feature(results: DataFrame, fields: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
+    """Results of each asking feature in result order; a search returns a bounded list per feature."""
+    named = results.filter(text.has_text(F.col("feature_id").cast("string")))
+    listed = F.sort_array(F.collect_list(F.struct("ord", *fields)))
+    return named.groupBy("feature_id", *keys).agg(listed.alias("results"))
+
+
 def best_geocode_hit(features: DataFrame, hits: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Hit within 50 m with a street or number: street and number first, then distance."""
     street, number = text.has_text(F.col("street")), text.has_text(F.col("housenumber"))

@@ -9,8 +9,9 @@ from poifuse import schema
 from poifuse.functions import geo, text
 from poifuse.functions import hours as hrs
 from poifuse.functions import provenance as prov
-from poifuse.operators import dedup, linking, merge, quality, spatial, stats
+from poifuse.operators import dedup, linking, merge, quality, schema_rules, spatial, stats
 from poifuse.session import configure
+from poifuse.sources import writers
 
 
 def kept_labels(seed: DataFrame) -> DataFrame:
@@ -65,6 +66,13 @@ def import_seed(seed: DataFrame, vocab: DataFrame, region: str, as_of: str) -> D
     return joined.select(*[value.alias(name) for name, value in columns.items()])
 
 
+def checked_import(seed: DataFrame, vocab: DataFrame, region: str, as_of: str) -> DataFrame:
+    """import_seed, but nothing comes out if a feature would break the schema: SchemaError names the rules."""
+    features = import_seed(seed, vocab, region, as_of)
+    schema_rules.require_valid(features.select("region", "id", writers.feature_json().alias("value")))
+    return features
+
+
 def attribution_counts(stamped: DataFrame) -> DataFrame:
     """Stamps per region file and path, with totals."""
     paths = stamped.select("region", F.explode("stamped_paths").alias("path"))
