@@ -103,15 +103,16 @@ def area_members(spark, sf):
 
 # Labels: words of documents against a vocabulary of part names.
 LABELS = "w AS (SELECT doc_id, unnest(list_distinct(string_split(text, ' '))) AS tag FROM documents)"
-VOCAB = "v AS (SELECT DISTINCT p_type AS slug FROM part), lab AS (SELECT 'slug_' || lower(slug) AS slug, CASE slug WHEN 'ECONOMY' THEN 'the' WHEN 'PROMO' THEN 'Für' WHEN 'STANDARD' THEN 'and' ELSE slug END AS de FROM v)"
-MATCH = f"m AS (SELECT w.*, {st.slug_sql('w.tag')} AS key FROM w), k AS (SELECT m.doc_id, m.tag, lab.slug FROM m LEFT JOIN lab ON {st.slug_sql('lab.de')} = m.key)"
+VOCAB = "v AS (SELECT DISTINCT p_type AS slug FROM part), lab AS (SELECT CASE slug WHEN 'SMALL' THEN 'la' WHEN 'MEDIUM' THEN 'und' ELSE 'slug_' || lower(slug) END AS slug, CASE slug WHEN 'ECONOMY' THEN 'the' WHEN 'PROMO' THEN 'Für' WHEN 'STANDARD' THEN 'and' ELSE slug END AS de FROM v)"
+MATCH = f"m AS (SELECT w.*, {st.slug_sql('w.tag')} AS key FROM w), k AS (SELECT m.doc_id, m.tag, coalesce(own.slug, lab.slug) AS slug FROM m LEFT JOIN lab own ON own.slug = m.key LEFT JOIN lab ON {st.slug_sql('lab.de')} = m.key)"
 
 
 def _labels(spark, sf):
     words = st.table(spark, sf, "documents").select("doc_id", F.explode(F.array_distinct(F.split("text", " "))).alias("tag"))
     kinds = st.table(spark, sf, "part").select(F.col("p_type").alias("t")).distinct()
     label = F.when(F.col("t") == "ECONOMY", "the").when(F.col("t") == "PROMO", "Für").when(F.col("t") == "STANDARD", "and").otherwise(F.col("t"))
-    vocab = kinds.select(F.concat(F.lit("slug_"), F.lower("t")).alias("slug"), label.alias("de"), F.lit(0).alias("ord"))
+    slug = F.when(F.col("t") == "SMALL", "la").when(F.col("t") == "MEDIUM", "und").otherwise(F.concat(F.lit("slug_"), F.lower("t")))
+    vocab = kinds.select(slug.alias("slug"), label.alias("de"), F.lit(0).alias("ord"))
     return quality.match_vocabulary(words, vocab)
 
 
@@ -263,6 +264,26 @@ def first_row_per_id(spark, sf):
     return dedup.first_row_per_id(edges).select("region", "id", "osm_id")
 
 
+# Rows with several ids: an order and its parts, fifty regions; a row is dropped if an earlier kept row of its region has one of its ids.
+KEYED = (
+    "e AS (SELECT DISTINCT o_custkey % 50 AS region, l_orderkey AS id, l_partkey AS osm_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey), "
+    "r AS (SELECT region, id, list(osm_id) AS ids, row_number() OVER (PARTITION BY region ORDER BY id) AS n FROM e GROUP BY region, id)"
+)
+
+
+@query(
+    "WIN2",
+    f"WITH RECURSIVE {KEYED}, w AS (SELECT region, n, ids AS used, true AS kept, id FROM r WHERE n = 1 UNION ALL "
+    "SELECT r.region, r.n, CASE WHEN list_has_any(w.used, r.ids) THEN w.used ELSE list_concat(w.used, r.ids) END, NOT list_has_any(w.used, r.ids), r.id "
+    "FROM w JOIN r ON r.region = w.region AND r.n = w.n + 1) SELECT e.region, e.id, e.osm_id FROM w JOIN e USING (region, id) WHERE w.kept",
+)
+def rows_with_several_ids(spark, sf):
+    orders = st.table(spark, sf, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey % 50 AS region")
+    lines = st.table(spark, sf, "lineitem").join(orders, "l_orderkey")
+    edges = lines.selectExpr("region", "l_orderkey AS id", "l_orderkey AS ord", "l_partkey AS osm_id").distinct()
+    return dedup.first_row_per_id(edges).select("region", "id", "osm_id")
+
+
 @query(
     "WIN3",
     "SELECT l_returnflag AS type, l_partkey AS id, min(l_orderkey * 10 + l_linenumber) AS ord FROM lineitem GROUP BY 1, 2",

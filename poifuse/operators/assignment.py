@@ -185,3 +185,27 @@ def assign(pairs: DataFrame, members: DataFrame, comps: DataFrame, rows: int) ->
     schema = pa.schema([("region", pa.string()), ("gone_id", types[ident]), ("kept_id", types[ident]), ("meters", pa.float64()), ("sim", pa.float64()), ("reason", pa.string()), ("tier", pa.int32()), ("kind", pa.int32()), ("first_ord", pa.int64()), ("second_ord", pa.int64())])
     left, right = left.toDF(*left.columns), right.toDF(*right.columns)
     return left.groupBy("task").cogroup(right.groupBy("task")).applyInArrow(_walk_task(schema), ddl)
+
+
+def walk_in_order(placed: DataFrame, columns: list[str], ident: str, order: str, key: str, rows: int) -> DataFrame:
+    """Edges (row, key) of the rows that an order-greedy walk keeps; placed has the root of each row's component.
+
+    A row is kept if none of its keys belongs to a row that was kept before it."""
+
+    def run(table: pa.Table) -> pa.Table:
+        names = list(zip(*[table.column(c).to_pylist() for c in ("region", ident)]))
+        keys: dict[tuple, list] = {}
+        place: dict[tuple, tuple] = {}
+        for name, at, value in zip(names, table.column(order).to_pylist(), table.column(key).to_pylist()):
+            keys.setdefault(name, []).append((name[0], value))
+            place[name] = min(place.get(name, (at, name[1])), (at, name[1]))
+        used, kept = set(), set()
+        for name in sorted(keys, key=place.__getitem__):
+            if not used.intersection(keys[name]):
+                used.update(keys[name])
+                kept.add(name)
+        return table.filter(pa.array([n in kept for n in names], type=pa.bool_())).select(columns)
+
+    tasks = max(1, -(-rows // TASK_ROWS))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.select(columns).schema)
+    return placed.withColumn("task", F.pmod(F.xxhash64("root"), F.lit(tasks))).groupBy("task").applyInArrow(run, schema)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from poifuse import schema
 from poifuse.functions import geo, provenance, text
 from poifuse.operators import spatial
-from poifuse.operators.assignment import CROSS, TWIN, assign, components
+from poifuse.operators.assignment import CROSS, TWIN, assign, components, walk_in_order
 from poifuse.operators.skew import HOT_ROWS, numbered, salted_join
 from poifuse.session import cut
 
@@ -336,31 +336,42 @@ def assign_in_rounds(features: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
     return settled.unionByName(assign_one_to_one(pairs.select(PAIR).unionByName(twins.select(PAIR))))
 
 
-def first_row_per_id(rows: DataFrame, ident: str = "id", order: str = "ord", key: str = "osm_id") -> DataFrame:
+def _first_round(open_rows: DataFrame, ident: str, order: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that are first for all their keys, and the rows that share no key with them."""
+    first = open_rows.groupBy("region", key).agg(F.min(order).alias("first_ord"))
+    ranked = salted_join(open_rows, first, ["region", key])
+    winners = ranked.groupBy("region", ident).agg(F.bool_and(F.col(order) == F.col("first_ord")).alias("wins")).filter("wins").select("region", ident)
+    won = cut(open_rows.join(winners, ["region", ident], "left_semi"))
+    losers = salted_join(open_rows, won.select("region", key).distinct(), ["region", key]).select("region", ident).distinct()
+    return won, cut(open_rows.join(losers, ["region", ident], "left_anti"))
+
+
+def first_row_per_id(rows: DataFrame, ident: str = "id", order: str = "ord", key: str = "osm_id", large_rows: int = LARGE_ROWS) -> DataFrame:
     """Edges (row, key) of the rows that survive "drop a row if any of its keys was already emitted".
 
-    Rows with one key each are settled in one round; rows with several may need
-    more, because a dropped row emits none of its keys.
+    One round settles the rows that are first for all their keys, which is all of
+    them where rows have one key each. What is left open is split into connected
+    components of rows and keys, and each is walked in row order in one pass.
+    Components with more than large_rows edges go through further rounds instead.
     """
-    open_rows = cut(rows)
-    kept: list[DataFrame] = []
-    while not open_rows.isEmpty():
-        first = open_rows.groupBy("region", key).agg(F.min(order).alias("first_ord"))
-        ranked = salted_join(open_rows, first, ["region", key])
-        winners = (
-            ranked.groupBy("region", ident)
-            .agg(F.bool_and(F.col(order) == F.col("first_ord")).alias("wins"))
-            .filter("wins")
-            .select("region", ident)
-        )
-        won = cut(open_rows.join(winners, ["region", ident], "left_semi"))
-        kept.append(won)
-        losers = salted_join(open_rows, won.select("region", key).distinct(), ["region", key]).select("region", ident).distinct()
-        open_rows = cut(open_rows.join(losers, ["region", ident], "left_anti"))
-    result = rows.limit(0)
-    for part in kept:
-        result = result.unionByName(part)
-    return result
+    kept, open_rows = _first_round(cut(rows), ident, order, key)
+    if open_rows.isEmpty():
+        return kept
+    node = F.xxhash64("region", F.lit("key"), F.col(key).cast("string")).alias("b")
+    edges = open_rows.select(F.xxhash64("region", F.lit("row"), F.col(ident).cast("string")).alias("a"), node)
+    roots = components(edges, ["b"])
+    placed = cut(open_rows.join(roots.select(F.col("node").alias("b"), "root"), F.xxhash64("region", F.lit("key"), F.col(key).cast("string")) == F.col("b")).drop("b"))
+    sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
+    small = placed
+    if largest > large_rows:
+        large = cut(sizes.filter(F.col("n") > large_rows).select("root"))
+        small = placed.join(large, "root", "left_anti")
+        rest = cut(placed.join(large, "root", "left_semi").select(rows.columns))
+        while not rest.isEmpty():
+            won, rest = _first_round(rest, ident, order, key)
+            kept = kept.unionByName(won)
+    return kept.unionByName(walk_in_order(small, rows.columns, ident, order, key, total))
 
 
 def distinct_candidates(elements: DataFrame) -> DataFrame:

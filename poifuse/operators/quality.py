@@ -84,12 +84,17 @@ def lint_regions(regions: DataFrame) -> DataFrame:
 
 
 def match_vocabulary(labels: DataFrame, vocab: DataFrame, column: str = "tag") -> DataFrame:
-    """Add the vocabulary slug of a free label: by slug first, else by slugified display label."""
-    by_label = vocab.groupBy(text.tag_slug(F.col("de")).alias("key")).agg(F.min_by("slug", "ord").alias("by_label"))
-    by_slug = vocab.select(F.col("slug").alias("key"), F.col("slug").alias("by_slug"))
-    keyed = labels.withColumn("key", text.tag_slug(F.col(column)))
-    joined = keyed.join(by_slug, "key", "left").join(by_label, "key", "left")
-    return joined.withColumn("slug", F.coalesce("by_slug", "by_label")).drop("key", "by_slug", "by_label")
+    """Add the vocabulary slug of a free label: by slug first, else by slugified display label.
+
+    Each distinct label is looked up once, so a word that a third of all rows carry is
+    one row of the lookup; rows then meet their label on a salted key."""
+    first = F.min(F.struct("ord", "slug"))["slug"]
+    by_label = vocab.groupBy(text.tag_slug(F.col("de")).alias("key")).agg(first.alias("by_label"))
+    by_slug = vocab.select(F.col("slug").alias("key"), F.col("slug").alias("by_slug")).distinct()
+    distinct = labels.select(F.col(column).alias("label")).distinct().withColumn("key", text.tag_slug(F.col("label")))
+    found = distinct.join(by_slug, "key", "left").join(by_label, "key", "left")
+    found = found.select(F.col("label").alias(column), F.coalesce("by_slug", "by_label").alias("slug")).filter("slug is not null")
+    return salted_join(labels, found, [column], "left")
 
 
 def unknown_labels(matched: DataFrame, column: str = "tag", top: int = 30) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from poifuse import schema
-from poifuse.operators import assignment, dedup, linking, merge, skew, spatial
+from poifuse.operators import assignment, dedup, linking, merge, quality, skew, spatial
 
 R = 6371008.8
 
@@ -204,3 +204,25 @@ def test_components_of_long_chains(spark):
     df = spark.createDataFrame(edges, "a long, b long, area long")
     got = {r["node"]: r["root"] for r in assignment.components(df, ["area"]).collect()}
     assert got == {i: 0 for i in range(1001)} | {5000 + i: 5000 for i in range(11)}
+
+
+@pytest.mark.parametrize("large_rows", [1_000_000, 6])
+def test_rows_with_several_ids_against_a_loop(spark, large_rows):
+    draw = random.Random(large_rows)
+    rows = [("r", i, 100 - i, [f"k{i}", f"k{i + 1}"]) for i in range(60)]  # a chain against the row order
+    rows += [(draw.choice("rs"), 100 + i, 1000 + draw.randrange(10**6), [f"m{draw.randrange(60)}" for _ in range(draw.randint(1, 3))]) for i in range(150)]
+    edges = spark.createDataFrame([(g, i, o, k) for g, i, o, keys in rows for k in sorted(set(keys))], "region string, id int, ord int, osm_id string")
+    got = {(r["region"], r["id"]) for r in dedup.first_row_per_id(edges, large_rows=large_rows).collect()}
+    used, want = set(), set()
+    for g, i, _, keys in sorted(rows, key=lambda r: (r[2], r[1])):
+        if not used & {(g, k) for k in keys}:
+            used |= {(g, k) for k in keys}
+            want.add((g, i))
+    assert got == want
+
+
+def test_vocabulary_by_slug_then_by_label(spark):
+    vocab = spark.createDataFrame([("bier", "Wein", 0), ("wein", "Bier", 1), ("cola", "Limo", 3), ("mate", "Limo", 2)], "slug string, de string, ord int")
+    labels = spark.createDataFrame([(i, t) for i, t in enumerate(["Bier", "Wein", "Limo", "Tee", "", None, "Limo"])], "n int, tag string")
+    got = {r["n"]: r["slug"] for r in quality.match_vocabulary(labels, vocab).collect()}
+    assert got == {0: "bier", 1: "wein", 2: "mate", 3: None, 4: None, 5: None, 6: "mate"}
