@@ -39,6 +39,18 @@ def stable_positions(spark, sf):
     return writers.stable_order(st.features(spark, sf)).select("region", "id", "position")
 
 
+@query(
+    "SNK1 WIN7",
+    f"WITH {FT}, o AS (SELECT region, id, row_number() OVER (PARTITION BY region ORDER BY {OSM_ONLY}, id) AS position FROM ft), n AS (SELECT region, count(*) AS n FROM ft GROUP BY 1) "
+    "SELECT region, position, id, CASE WHEN position < n THEN ',' ELSE '}' END AS ending FROM o JOIN n USING (region) UNION ALL SELECT region, 0, NULL, '[' FROM n UNION ALL SELECT region, n + 1, NULL, '}' FROM n",
+)
+def collection_document_lines(spark, sf):
+    """Each region as one document, line by line."""
+    lines = writers.collection_lines(st.features(spark, sf).drop("k"))
+    feature = F.regexp_replace("value", ",$", "")
+    return lines.select("region", "position", F.get_json_object(feature, "$.properties.id").alias("id"), F.substring("value", -1, 1).alias("ending"))
+
+
 @query(
     "SRC4",
     "SELECT p_brand, row_number() OVER (PARTITION BY p_brand, floor(p_partkey / 1000) ORDER BY p_partkey) AS ord, 'h' || p_partkey AS kioskId, p_name AS name FROM part",

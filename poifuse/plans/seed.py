@@ -10,7 +10,6 @@ from poifuse.functions import geo, text
 from poifuse.functions import hours as hrs
 from poifuse.functions import provenance as prov
 from poifuse.operators import dedup, linking, merge, quality, schema_rules, spatial, stats
-from poifuse.session import configure
 from poifuse.sources import writers
 
 
@@ -32,7 +31,6 @@ def _has_place(seed: DataFrame) -> Column:
 
 def import_seed(seed: DataFrame, vocab: DataFrame, region: str, as_of: str) -> DataFrame:
     """Seed records (with 1-based ord) as features; records without coordinates are skipped."""
-    configure(seed.sparkSession)
     labels = seed_labels(seed, vocab).filter(F.col("slug").isNotNull())
     slugs = labels.groupBy("ord").agg(F.sort_array(F.collect_list(F.struct("pos", "slug"))).alias("found"))
     slugs = slugs.select("ord", F.array_distinct(F.transform("found", lambda f: f["slug"])).alias("slugs"))

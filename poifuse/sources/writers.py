@@ -46,12 +46,30 @@ def write_feature_lines(features: DataFrame, path: str) -> None:
     _ordered(features).select("region", feature_json().alias("value")).write.mode("errorifexists").partitionBy("region").text(path)
 
 
+def collection_lines(features: DataFrame) -> DataFrame:
+    """The lines of one FeatureCollection per region: region, position, value.
+
+    Line 0 opens the document, each feature is a line in stable order, the last line
+    closes it. A region of any size is one document, and no task ever holds one."""
+    placed = stable_order(features).select("region", F.col("position").cast("bigint").alias("position"), feature_json().alias("text"))
+    sizes = features.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    body = placed.join(sizes, "region").select("region", "position", F.when(F.col("position") < F.col("n"), F.concat("text", F.lit(","))).otherwise(F.col("text")).alias("value"))
+    ends = F.array(F.struct(F.lit(0).cast("bigint").alias("position"), F.lit('{"type":"FeatureCollection","features":[').alias("value")), F.struct((F.col("n") + 1).alias("position"), F.lit("]}").alias("value")))
+    return body.unionByName(sizes.select("region", F.inline(ends)))
+
+
+def write_collections(features: DataFrame, path: str) -> None:
+    """One folder per region, whose part files in order of their names are one FeatureCollection document."""
+    order = ["region", "position"]
+    lines = collection_lines(features).repartitionByRange(*order).sortWithinPartitions(*order)
+    lines.select("region", "value").write.mode("errorifexists").partitionBy("region").text(path)
+
+
 def collections(features: DataFrame, per_document: int = 50_000) -> DataFrame:
-    """FeatureCollection documents in stable order: region, part, value.
+    """FeatureCollection documents of at most per_document features in stable order, as values: region, part, value.
 
-    A region of ordinary size is one document; a larger one continues in
-    further parts, so no task ever gathers a whole region.
-    """
+    For consumers that take documents as rows; write_collections writes a region of
+    any size as one document."""
     placed = stable_order(features).withColumn("part", F.floor((F.col("position") - 1) / per_document))
     entry = F.struct("position", feature_json().alias("text"))
     grouped = placed.groupBy("region", "part").agg(F.sort_array(F.collect_list(entry)).alias("entries"))

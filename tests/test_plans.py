@@ -2,6 +2,7 @@
 
 import datetime
 import glob
+import json
 import math
 import os
 
@@ -132,3 +133,15 @@ def test_query_equals_its_sql_twin(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_a_region_is_one_document_over_many_files(spark, tmp_path):
+    rows = [feature("a" if i % 3 else "b", i, 8.0 + i / 100, f"tk_a_{i:02d}", f"N {i}", [("osm", f"node/{i}", 1)]) for i in range(30)]
+    df = spark.createDataFrame(rows, schema.FEATURE_DDL)
+    path = tmp_path / "out"
+    writers.write_collections(df, str(path))
+    for region in "ab":
+        files = sorted(p for p in (path / f"region={region}").iterdir() if p.name.startswith("part-"))
+        document = json.loads("".join(p.read_text() for p in files))
+        ids = [f["properties"]["id"] for f in document["features"]]
+        assert ids == sorted(r[4] for r in rows if r[0] == region)
