@@ -35,7 +35,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -67,6 +67,9 @@ _NAMES = frozenset(
     "pagination pager toolbar widget copyright legal disclaimer search searchform form".split()
 )
 _BODY_NAMES = frozenset("content article post entry story maincontent articlebody postbody entrybody".split())
+#: A name that ends so is apart even beside a name of the body, as in post-ad; an entry-header holds the title.
+_ENDS_APART = _NAMES - {"header", "masthead"}
+_HEAD, _TAIL = 32, 8  # segments of a path kept from its start, and as many below them as are told apart one by one
 _CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
@@ -82,7 +85,9 @@ def _segment(tag: str, attributes: str) -> str:
     main = tag in _MAIN or "main" in names & {"main"} and found.get("role", "").lower() == "main"
     never = tag in ("html", "body")
     always = not never and (hidden or tag in _DROP)
-    apart = always or not never and (tag == "form" or (not main and bool(names & _NAMES) and not names & _BODY_NAMES))
+    ends = {re.split(r"[\s_\-:]+", word)[-1] for word in words.split()}
+    named = bool(names & _NAMES) and not names & _BODY_NAMES or bool(names & _BODY_NAMES and ends & _ENDS_APART)
+    apart = always or not never and (tag == "form" or (not main and named))
     # running numbers in ids and classes are no part of the template
     label = re.sub(r"\d+", "0", ".".join(sorted(found.get("class", "").lower().split()))).replace("/", "_")
     ident = re.sub(r"\d+", "0", "_".join(found.get("id", "").lower().split())).replace("/", "_")
@@ -124,6 +129,16 @@ def _wrappers(text: dict[str, int]) -> frozenset[str]:
     return frozenset(p for p, (c, m) in held.items() if c >= share(p) * whole or mains and not free and m >= APART_SHARE * mains)
 
 
+def _join(path: str, segment: str) -> str:
+    """Path of a child. Very deep paths keep their start; what lies between is one segment, a hash with all marks."""
+    if path.count("/") < _HEAD + _TAIL:
+        return f"{path}/{segment}"
+    parts = path.split("/")
+    marks = [part.partition(" ")[2] for part in parts[_HEAD:]]
+    own = "*" * any("*" in m for m in marks) + ("!!" if any("!!" in m for m in marks) else "!" * any(m.endswith("!") for m in marks))
+    return "/".join([*parts[:_HEAD], f"~{_hash(path):x}" + (f" {own}" if own else ""), segment])
+
+
 class Page:
     """One pass over a page: text runs with their structural path and flags, and the starts and ends of elements."""
 
@@ -131,6 +146,16 @@ class Page:
         self.runs: list[tuple[str, str, bool, bool]] = []  # path, text, in a link, break before
         self.tags: list[str] = []
         stack: list[tuple[str, str]] = [("", "")]  # tag, path
+        open_: Counter[str] = Counter()
+
+        def shut(k: int) -> None:
+            open_.subtract(s[0] for s in stack[k:])
+            del stack[k:]
+
+        def push(tag: str, path: str) -> None:
+            stack.append((tag, path))
+            open_[tag] += 1
+
         at, links, split = 0, 0, True
 
         def text(raw: str) -> None:
@@ -160,30 +185,30 @@ class Page:
             if tag == "a":
                 links = max(0, links + (-1 if closing else 1))
             if closing:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        if tag not in _INLINE:
-                            self.tags.append("/" + stack[k][1])
-                        del stack[k:]
-                        break
+                if open_[tag] > 0:
+                    k = len(stack) - 1
+                    while stack[k][0] != tag:
+                        k -= 1
+                    if tag not in _INLINE:
+                        self.tags.append("/" + stack[k][1])
+                    shut(k)
                 continue
             if tag in _VOID:
                 continue
             segment = _segment(tag, attributes.strip().rstrip("/") if attributes else "")
             if tag in _INLINE:
                 if "!" in segment.partition(" ")[2]:
-                    stack.append((tag, f"{stack[-1][1]}/{segment}"))
+                    push(tag, _join(stack[-1][1], segment))
                 continue
             if tag in _CLOSES_P and any(s[0] == "p" for s in stack[-4:]):
-                k = max(i for i, s in enumerate(stack) if s[0] == "p")
-                del stack[k:]
+                shut(max(i for i in range(max(0, len(stack) - 4), len(stack)) if stack[i][0] == "p"))
             elif tag in ("li", "tr", "td", "th", "dt", "dd", "option") and stack[-1][0] == tag:
-                stack.pop()
+                shut(len(stack) - 1)
             path = stack[-1][1]
             if tag == "header":
                 segment = segment.partition(" ")[0] + (" !!" if "!!" in segment else "" if _flags(path)[2] else " !")
-            path = f"{path}/{segment}"
-            stack.append((tag, path))
+            path = _join(path, segment)
+            push(tag, path)
             self.tags.append(path)
 
 
