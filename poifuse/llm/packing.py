@@ -56,7 +56,7 @@ def _pieces(path: str, limit: int, end_id: int):
 def pieces(docs: DataFrame, tokenizer: str, limit: int = LIMIT, end_id: int = END_ID) -> DataFrame:
     """Pieces with their checksum, task number, and rank among the task's pieces of the same length; written once."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return common.stage(rows.mapInArrow(_pieces(tokenizer, limit, end_id), _PIECES_DDL), "pieces")
+    return common.stage(rows.mapInArrow(common.tidy(_pieces(tokenizer, limit, end_id)), _PIECES_DDL), "pieces")
 
 
 def nnls(rows: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
@@ -189,7 +189,7 @@ def pack(found: DataFrame, limit: int = LIMIT) -> DataFrame:
                 sequence[own], offset[own] = sequences[k] + rank[own] - firsts[k], offsets[k]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in ("doc_id", "piece", "start", "length", "ids_crc32")], pa.array(sequence), pa.array(offset)], schema=schema)
 
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(common.tidy(place), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, limit: int = LIMIT, end_id: int = END_ID) -> DataFrame:

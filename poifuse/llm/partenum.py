@@ -407,7 +407,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = pairs.join(sets.select(F.col("fp").alias("b"), F.col("items").alias("y")), "b")
     both = left.join(sets.select(F.col("fp").alias("a"), F.col("items").alias("x")), "a")
-    return both.select("a", "b", "x", "y").mapInArrow(_decide, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(common.tidy(_decide), "a long, b long")
 
 
 def jaccard_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -415,29 +415,29 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     spark = docs.sparkSession
     parts = common.parts(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = rows.mapInArrow(_sign(width, parts), _ROW_DDL).repartition(parts, "key")
-    shared = signed.mapInArrow(_share(parts), _ROW_DDL).repartition(parts, "key")
-    found = common.stage(shared.mapInArrow(_prune, _ROLES_DDL), "roles")
+    signed = rows.mapInArrow(common.tidy(_sign(width, parts)), _ROW_DDL).repartition(parts, "key")
+    shared = signed.mapInArrow(common.tidy(_share(parts)), _ROW_DDL).repartition(parts, "key")
+    found = common.stage(shared.mapInArrow(common.tidy(_prune), _ROLES_DDL), "roles")
     members = found.where("sigs is null").select("doc_id", "fp", "n")
     roles = found.where("sigs is not null").select("fp", "n", "band", "shared", "sigs")
     classes = members.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"))
     needed = roles.select("fp").distinct().join(classes, "fp").where("rep is not null").select(F.col("rep").alias("doc_id"), "fp")
     bits = common.id_filter(needed.select("doc_id"))
-    sets = rows.select("doc_id", "text", common.filter_bit("doc_id")).where("doc_id is not null").mapInArrow(_sets(width, bits), "doc_id long, fp long, items binary")
+    sets = rows.select("doc_id", "text", common.filter_bit("doc_id")).where("doc_id is not null").mapInArrow(common.tidy(_sets(width, bits)), "doc_id long, fp long, items binary")
     # a doc_id may be repeated: the class decides, one row of it is enough
     sets = common.stage(sets.join(needed, ["doc_id", "fp"], "left_semi").groupBy("fp").agg(F.first("items").alias("items")), "sets")
 
     def dealt(roots: DataFrame) -> DataFrame:
-        return roots.select("fp", "n", "band", "shared", "sigs", "root").mapInArrow(_deal(parts), _ROW_DDL).repartition(parts, "key")
+        return roots.select("fp", "n", "band", "shared", "sigs", "root").mapInArrow(common.tidy(_deal(parts)), _ROW_DDL).repartition(parts, "key")
 
-    first = dealt(roles.withColumn("root", F.col("fp"))).mapInArrow(_leading, "a long, b long, hits long").groupBy("a", "b").agg(F.sum("hits").alias("hits"))
+    first = dealt(roles.withColumn("root", F.col("fp"))).mapInArrow(common.tidy(_leading), "a long, b long, hits long").groupBy("a", "b").agg(F.sum("hits").alias("hits"))
     edges = common.stage(_verified(first.groupBy("b").agg(F.max_by("a", F.struct("hits", "a")).alias("a")), sets), "links")
     trees = common.components(edges)
     rooted = roles.join(trees.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    open_ = common.stage(dealt(rooted).mapInArrow(_open, "sig long, fp long, root long, n long, band long"), "open")
-    maps = open_.select("fp", "band").distinct().join(sets, "fp").select("fp", "band", "items").mapInArrow(_bitmaps, "fp long, band long, map binary")
+    open_ = common.stage(dealt(rooted).mapInArrow(common.tidy(_open), "sig long, fp long, root long, n long, band long"), "open")
+    maps = open_.select("fp", "band").distinct().join(sets, "fp").select("fp", "band", "items").mapInArrow(common.tidy(_bitmaps), "fp long, band long, map binary")
     for closest in (True, False):  # first one pair per class and component, then whatever is still apart
-        near = open_.join(maps, ["fp", "band"]).repartition(parts, "sig").mapInArrow(_near(closest), "a long, b long").distinct()
+        near = open_.join(maps, ["fp", "band"]).repartition(parts, "sig").mapInArrow(common.tidy(_near(closest)), "a long, b long").distinct()
         edges = edges.union(common.stage(_verified(near, sets), "links"))
         trees = common.components(edges)
         now = trees.toDF("fp", "now")

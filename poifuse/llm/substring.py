@@ -324,14 +324,14 @@ def repeated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, shard_words:
     """Spans of words to remove, written once: doc_id and, as one value, (doc, text hash, from word, to word) rows."""
     parts = common.parts(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keys = rows.mapInArrow(_keys(width, gram, parts), _ROW_DDL).repartition(parts, "key")
-    shared = keys.mapInArrow(_shared(parts), _ROW_DDL).repartition(parts, "key")
-    flags = common.stage(shared.mapInArrow(_by_doc, "doc_id long, minis binary"), "flags")
+    keys = rows.mapInArrow(common.tidy(_keys(width, gram, parts)), _ROW_DDL).repartition(parts, "key")
+    shared = keys.mapInArrow(common.tidy(_shared(parts)), _ROW_DDL).repartition(parts, "key")
+    flags = common.stage(shared.mapInArrow(common.tidy(_by_doc), "doc_id long, minis binary"), "flags")
     bits = common.id_filter(flags.select("doc_id"))
-    some = rows.select("doc_id", "text", common.filter_bit("doc_id")).where("doc_id is not null").mapInArrow(_passing(bits), "doc_id long, text string")
-    cut = some.join(flags, "doc_id").select("doc_id", "text", "minis").mapInArrow(_cut(width, gram, parts), _ROW_DDL).repartition(parts, "key")
-    found = cut.mapInArrow(_search(width, parts, shard_words), _ROW_DDL).repartition(parts, "key")
-    return common.stage(found.mapInArrow(_unite, "doc_id long, spans binary"), "spans")
+    some = rows.select("doc_id", "text", common.filter_bit("doc_id")).where("doc_id is not null").mapInArrow(common.tidy(_passing(bits)), "doc_id long, text string")
+    cut = some.join(flags, "doc_id").select("doc_id", "text", "minis").mapInArrow(common.tidy(_cut(width, gram, parts)), _ROW_DDL).repartition(parts, "key")
+    found = cut.mapInArrow(common.tidy(_search(width, parts, shard_words)), _ROW_DDL).repartition(parts, "key")
+    return common.stage(found.mapInArrow(common.tidy(_unite), "doc_id long, spans binary"), "spans")
 
 
 def _marked(batch: pa.RecordBatch, bits) -> tuple[np.ndarray, list[str]]:
@@ -419,8 +419,8 @@ def _with_spans(docs: DataFrame, spans: DataFrame, work, ddl: str) -> DataFrame:
     """Run over all rows: those that may have spans are joined with them, the others need no shuffle."""
     bits = common.id_filter(spans.select("doc_id"))
     marked = docs.withColumn("bit", common.filter_bit("doc_id"))
-    hit = marked.mapInArrow(_passing(bits), docs.schema).join(spans, "doc_id", "left").select(*docs.columns, "spans")
-    return hit.mapInArrow(work, ddl).union(marked.mapInArrow(_others(bits, work), ddl))
+    hit = marked.mapInArrow(common.tidy(_passing(bits)), docs.schema).join(spans, "doc_id", "left").select(*docs.columns, "spans")
+    return hit.mapInArrow(common.tidy(work), ddl).union(marked.mapInArrow(common.tidy(_others(bits, work)), ddl))
 
 
 def digest(docs: DataFrame, spans: DataFrame) -> DataFrame:

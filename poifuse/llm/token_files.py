@@ -65,7 +65,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     """Encode (doc_id, text), append end_id to each document, and write the blocks to path in doc_id order."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ranged = rows.repartitionByRange(common.parts(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    ranged.mapInArrow(_blocks(tokenizer, end_id, block_ids), _FILE_DDL).write.parquet(path)
+    ranged.mapInArrow(common.tidy(_blocks(tokenizer, end_id, block_ids)), _FILE_DDL).write.parquet(path)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +82,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     # one row per file part: as many as the writing job had tasks
     sizes = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("part_start"))
-    docs = blocks.mapInArrow(_read, "doc_id long, part long, start_in_part long, ids binary")
+    docs = blocks.mapInArrow(common.tidy(_read), "doc_id long, part long, start_in_part long, ids binary")
     # that one row per task is small whatever the texts; without the hint the ids would be shuffled
     return docs.join(F.broadcast(before), "part").select("doc_id", (F.col("part_start") + F.col("start_in_part")).alias("start"), "ids")
 
