@@ -9,13 +9,13 @@ documents is decided, then the next document takes its place. A source is cut
 into blocks by doc_id, so that a source with a third of all rows is many groups;
 each block leaves at most two undecided documents, which later rounds balance over
 many blocks, until two per source are left. They land on the choice nearest to the
-source's words; a few documents of the last round may then change sides, which
-keeps small sources near their target.
+source's words; pairs of documents of the last round may then change places, which
+keeps small sources near their target and the number of documents as it is.
 
 Large documents come first, so that what stays undecided is small. All choices
 depend on the rows alone (order by size and doc_id, random numbers by block), so reruns agree, whatever the partitions. Nulls and ties: a null text has size 0 and
 takes nothing; a null source is a source of its own, after the others; null
-doc_ids and repeated rows are mixed like others. An empty table gives no rows."""
+doc_ids and repeated rows are mixed like others, rows that share a doc_id each by itself. An empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -91,11 +91,12 @@ def flight(size: np.ndarray, p: np.ndarray, draws: np.ndarray) -> np.ndarray:
     return out
 
 
-def landing(size: np.ndarray, entry: np.ndarray, p: np.ndarray, draw: float, flips: int = 100) -> np.ndarray:
+def landing(size: np.ndarray, entry: np.ndarray, p: np.ndarray, draw: float) -> np.ndarray:
     """Decide at most two documents, by the choice whose words are nearest to the expected ones; the draw breaks ties.
 
-    In a small source one document may still weigh much, so up to `flips` documents
-    that were open at entry change sides, each the one that helps the words most."""
+    In a small source one document may still weigh much, so pairs of documents that were
+    open at entry, one taken and one not, change places while that brings the words
+    nearer. The number of documents stays, and every exchange makes the error smaller."""
     open_ = np.flatnonzero((p > _EPS) & (p < 1 - _EPS))
     out = p.copy()
     want = float((size[open_] * p[open_]).sum())
@@ -104,14 +105,21 @@ def landing(size: np.ndarray, entry: np.ndarray, p: np.ndarray, draw: float, fli
     best = [c for c, o in zip(choices, off) if o == min(off)]
     out[open_] = best[int(draw * len(best))]
     movable = np.flatnonzero((entry > _EPS) & (entry < 1 - _EPS))
-    for _ in range(flips if len(movable) else 0):
+    movable = movable[np.argsort(size[movable], kind="stable")]
+    while True:
         error = float((size * (out - entry)).sum())
-        change = size[movable] * (1 - 2 * out[movable])
-        k = int(np.argmin(np.abs(error + change)))
-        if abs(error + change[k]) >= abs(error):
-            break
-        out[movable[k]] = 1 - out[movable[k]]
-    return out
+        taken, left = movable[out[movable] > 0.5], movable[out[movable] < 0.5]
+        if not len(taken) or not len(left):
+            return out
+        # size of the one that leaves, less that of the one that comes, is to be the error
+        wanted = size[taken] - error
+        near = np.searchsorted(size[left], wanted)
+        near = np.stack([np.maximum(near - 1, 0), np.minimum(near, len(left) - 1)])
+        rest = np.abs(error - (size[taken] - size[left[near]]))
+        row, k = np.unravel_index(int(np.argmin(rest)), rest.shape)
+        if rest[row, k] >= abs(error) - _EPS:
+            return out
+        out[taken[k]], out[left[near[row, k]]] = 0.0, 1.0
 
 
 def _draws(frame: pd.DataFrame, seed: int) -> np.ndarray:
@@ -121,7 +129,7 @@ def _draws(frame: pd.DataFrame, seed: int) -> np.ndarray:
 
 def _round(last: bool, seed: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["size", "doc_id", "row"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
+        frame = frame.sort_values(["size", "no_id", "id", "row", "copy"], ascending=[False, True, True, True, True], kind="stable").reset_index(drop=True)
         draws = _draws(frame, seed)
         size, entry = frame["size"].to_numpy(), frame["p"].to_numpy()
         moved = flight(size, entry, draws)
@@ -134,20 +142,25 @@ def _round(last: bool, seed: int):
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK, seed: int = 0) -> DataFrame:
     """doc_id, row, size, source, source_size, target, taken (words) and times (copies of the document) for (doc_id, text, source).
 
-    `row` is the docs column of that name if it has one (to tell repeated rows apart), else null."""
-    row = F.col("row").cast("long") if "row" in docs.columns else F.lit(0).cast("long")
+    `row` is a hash of the text; it tells rows that share a doc_id apart."""
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    sized = common.stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), F.col("source").cast("string").alias("source"), words.cast("long").alias("size")), "sizes")
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("row"), F.col("source").cast("string").alias("source"), words.cast("long").alias("size")]
+    # equal rows are counted, then numbered: which of them is which doesn't matter
+    counted = common.stage(docs.select(*own).groupBy("doc_id", "row", "source", "size").agg(F.count("*").alias("n")), "sizes")
+    sizes = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("rows"))
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(4096).cast("long")))
+    sized = counted.withColumn("first", first).withColumn("copy", F.explode(F.sequence(F.col("first"), F.least(F.col("first") + 4095, F.col("n") - 1)))).drop("first", "n")
+    # ids stay whole numbers in the tasks: a null is a mark beside them
+    sized = sized.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), "row", "copy", "size", "source")
     plan = shares(sizes, weights, share, most)
     plan = plan.withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("rows") / block)).cast("long"))
     plan = common.stage(plan.withColumnRenamed("source", "plan_source"), "shares")
     ratio = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     whole = F.floor(ratio + _EPS)
     joined = sized.join(plan, sized["source"].eqNullSafe(plan["plan_source"])).drop("plan_source").withColumn("whole", whole).withColumn("p", F.greatest(F.lit(0.0), ratio - whole))
-    joined = joined.withColumn("block", F.pmod(F.xxhash64("doc_id", "size", "row"), F.col("blocks")))
-    keep = ["doc_id", "row", "size", "source", "source_size", "target", "whole", "p", "source_rank", "block", "blocks"]
-    types = "doc_id long, row long, size long, source string, source_size long, target double, whole long, p double, source_rank long, block long, blocks long"
+    joined = joined.withColumn("block", F.pmod(F.xxhash64("id", "no_id", "size", "row", "copy"), F.col("blocks")))
+    types = "id long, no_id boolean, row long, copy long, size long, source string, source_size long, target double, whole long, p double, source_rank long, block long, blocks long"
+    keep = [t.split(" ")[0] for t in types.split(", ")]
     most_blocks = plan.agg(F.max("blocks")).first()[0] or 1
     level, done = 0, []
     state = joined.select(*keep)
@@ -166,4 +179,4 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     for more in done[1:]:
         out = out.union(more)
     times = F.col("whole") + F.round("p").cast("long")
-    return out.select("doc_id", "row", "size", "source", "source_size", "target", (times * F.col("size")).alias("taken"), times.alias("times"))
+    return out.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "row", "size", "source", "source_size", "target", (times * F.col("size")).alias("taken"), times.alias("times"))
