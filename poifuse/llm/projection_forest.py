@@ -14,8 +14,8 @@ ten trees of eight levels miss one pair in a million; tests measure recall.
 Nulls and ties: vectors that are null, zero, or hold a null or non-finite
 component, and null labels, link with nothing and are kept; vectors of different
 length link with nothing. Rows that repeat a vec_id count as vectors of their own
-with the same id. A null vec_id has no component and gives no links an id, but
-counts as a link of its equals. An empty table gives no rows."""
+with the same id; a component is named by the smallest id in it. A row with a null
+vec_id links like others, but has no component_id. An empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -40,8 +40,12 @@ _BLOCK = 1_024
 
 def matrix(column: pa.Array) -> np.ndarray:
     """A column of equally long float lists as rows of unit vectors, in double precision."""
-    flat = np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(column), -1)
-    return flat / np.sqrt((flat * flat).sum(axis=1, keepdims=True))
+    return unit(np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(column), -1))
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True, initial=0)  # squares of very large or small numbers would not be finite
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
 def fit(sample: np.ndarray, depth: int, trees: int, spill: float, seed: int = 7) -> list[tuple[np.ndarray, list[np.ndarray]]]:
@@ -91,12 +95,12 @@ def _send(forest, parts: int):
             for dim in np.unique(size).tolist():
                 some = batch.filter(pa.array(size == dim)) if (size != dim).any() else batch
                 trees = forest.value.get(dim)
-                unit = matrix(some.column("embedding"))
+                units = matrix(some.column("embedding"))
                 ids, labels = some.column("rep").to_numpy(), some.column("label").to_numpy().astype(np.int64)
-                row = np.dtype([("group", "<u8"), ("rep", "<i8"), ("vector", "<f4", (dim,))])
-                raw = np.asarray(some.column("embedding").flatten().to_numpy(zero_copy_only=False), dtype=np.float32).reshape(len(some), dim)
+                row = np.dtype([("group", "<u8"), ("rep", "<i8"), ("vector", "<f8", (dim,))])
+                raw = np.asarray(some.column("embedding").flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(some), dim)
                 for k, tree in enumerate(trees):
-                    which, leaf = leaves(unit, tree)
+                    which, leaf = leaves(units, tree)
                     out = np.zeros(len(which), dtype=row)
                     out["rep"], out["vector"] = ids[which], raw[which]
                     out["group"] = wb.mix(leaf.astype(np.uint64) * np.uint64(64 * 1024) + np.uint64(k * 64)) ^ wb.mix(labels[which].astype(np.uint64) + (np.uint64(dim) << np.uint64(40)))
@@ -116,7 +120,7 @@ def _compare(cosine: float):
         for batch in batches:
             for blob in batch.column("blob").to_pylist():
                 dim = int.from_bytes(blob[:4], "little")
-                got.setdefault(dim, []).append(np.frombuffer(blob, np.dtype([("group", "<u8"), ("rep", "<i8"), ("vector", "<f4", (dim,))]), offset=4))
+                got.setdefault(dim, []).append(np.frombuffer(blob, np.dtype([("group", "<u8"), ("rep", "<i8"), ("vector", "<f8", (dim,))]), offset=4))
         for dim in list(got):
             rows = np.concatenate(got.pop(dim))
             order = np.argsort(rows["group"], kind="stable")
@@ -126,12 +130,10 @@ def _compare(cosine: float):
             for a, b in zip(at.tolist(), np.append(at[1:], len(rows)).tolist()):
                 for i in range(a, b, _BLOCK):
                     left = rows[order[i : min(i + _BLOCK, b)]]
-                    x = left["vector"].astype(np.float64)
-                    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+                    x = unit(left["vector"])
                     for j in range(i, b, _BLOCK):
                         right = rows[order[j : min(j + _BLOCK, b)]]
-                        y = right["vector"].astype(np.float64)
-                        y /= np.sqrt((y * y).sum(axis=1, keepdims=True))
+                        y = unit(right["vector"])
                         p, q = np.nonzero(x @ y.T >= cosine)
                         first, second = left["rep"][p], right["rep"][q]
                         up = first < second if i == j else first != second
@@ -155,13 +157,15 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES,
     """vec_id, n_links, component_id, kept for each row of (vec_id, embedding, label)."""
     spark = vectors.sparkSession
     parts = common.parts(spark)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").cast("long").alias("label"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("long").alias("label"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
     good = F.coalesce(good, F.lit(False))
     one = rows.withColumn("good", good).withColumn("h1", F.xxhash64("embedding")).withColumn("h2", F.hash("embedding"))
     valid = one.where("good")
-    classes = common.stage(valid.groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")).where("low is not null").withColumnRenamed("low", "rep"), "classes")
+    # a class has a key of its own: ids may be null or repeat
+    grouped = valid.groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+    classes = common.stage(grouped.withColumn("rep", F.xxhash64("label", "h1", "h2")), "classes")
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     depth = max(1, int(np.ceil(np.log2(max(2, largest / leaf)))))
     sample = classes.select("embedding").orderBy(F.xxhash64("rep")).limit(SAMPLE).toArrow().column(0).combine_chunks()
@@ -175,8 +179,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, trees: int = TREES,
     ends = links.select(F.col("a").alias("rep"), F.col("b").alias("other")).union(links.select("b", "a"))
     linked = ends.join(counts.withColumnRenamed("rep", "other"), "other").groupBy("rep").agg(F.sum("copies").alias("others"))
     trees_of = common.components(links).toDF("rep", "root")
-    state = classes.drop("embedding").join(linked, "rep", "left").join(trees_of, "rep", "left")
-    state = state.select("label", "h1", "h2", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+    state = classes.drop("embedding").join(linked, "rep", "left").join(trees_of, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    smallest = state.groupBy("root").agg(F.min("low").alias("component_id"))
+    state = state.join(smallest, "root").select("label", "h1", "h2", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     out = valid.select("vec_id", "label", "h1", "h2").join(state, ["label", "h1", "h2"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")).alias("component_id"))
     out = out.union(one.where(~F.col("good")).select("vec_id", F.lit(0).cast("long"), F.col("vec_id")))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
