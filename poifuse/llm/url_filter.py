@@ -123,10 +123,10 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 
-def keys_of(host: Column, path: Column, lengths: list[int]) -> Column:
-    """Every suffix of the host at a dot with every start of the path of a given length."""
+def keys_of(host: Column, path: Column, lengths: list[int], labels_most: int) -> Column:
+    """Every suffix of the host at a dot, of as many labels as a rule can have, with every start of the path of a given length."""
     labels = F.split(host, r"\.", -1)
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    hosts = F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - labels_most + 1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     paths = F.filter(F.array(*[F.when(F.length(path) >= n, path.substr(1, n)) for n in lengths]), lambda x: x.isNotNull()) if lengths else F.array().cast("array<string>")
     return F.flatten(F.transform(hosts, lambda h: F.transform(paths, lambda p: F.struct(h.alias("host"), F.concat(h, p).alias("rule")))))
 
@@ -135,12 +135,14 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Adds host, path, rule and verdict to urls; rules has host, path and verdict (allow or block)."""
     spark = urls.sparkSession
     kept = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
+    urls = urls.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(url).alias("url"))  # no name of theirs clashes
     rules = rules.select(F.coalesce("host", F.lit("")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
     rules = rules.groupBy("host", "path").agg((F.min(F.col("verdict") == "allow")).alias("allow"))
-    rules = common.stage(rules.select(F.xxhash64(F.concat("host", "path")).alias("key"), F.length("path").alias("n"), "allow"), "rules")
+    rules = common.stage(rules.select(F.xxhash64(F.concat("host", "path")).alias("key"), F.length("path").alias("n"), F.size(F.split("host", r"\.", -1)).alias("labels"), "allow"), "rules")
     lengths = sorted(r[0] for r in rules.select("n").distinct().collect())  # distinct lengths of rule paths
-    host, path = host_and_path(F.col(url))
-    keyed = urls.select(*kept, host.alias("host"), path.alias("path")).withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths))
+    most = rules.agg(F.max("labels")).first()[0] or 0
+    host, path = host_and_path(F.col("url"))
+    keyed = urls.select("row", host.alias("host"), path.alias("path")).withColumn("keys", keys_of(F.col("host"), F.col("path"), lengths, most))
     universe = keyed.select("host", "path", "keys").distinct().select(F.explode("keys.rule").alias("rule")).distinct().select(F.xxhash64("rule").alias("key"))
     listed = build(rules.select("key"), universe)
     allowed = build(rules.where("allow").select("key"), rules.select("key"))
@@ -149,7 +151,7 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     held = spark.sparkContext.broadcast((listed, allowed))
     order = F.array_sort("keys", lambda x, y: F.coalesce(F.nullif(F.length(y["rule"]) - F.length(x["rule"]), F.lit(0)), F.length(y["host"]) - F.length(x["host"])))
     sorted_ = keyed.withColumn("keys", order).withColumn("hashes", F.transform("keys", lambda x: F.xxhash64(x["rule"])))
-    sorted_ = sorted_.select(*kept, "host", "path", F.transform("keys", lambda x: x["rule"]).alias("rules"), "hashes")
+    sorted_ = sorted_.select("row", "host", "path", F.transform("keys", lambda x: x["rule"]).alias("rules"), "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +168,8 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(rule, type=pa.string()), pa.array(verdict, type=pa.string())], names=[*names, "rule", "verdict"])
 
     plain = sorted_.drop("rules", "hashes").withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit(None).cast("string"))
-    return sorted_.mapInArrow(run, plain.schema)
+    judged = sorted_.mapInArrow(run, plain.schema)
+    return judged.select(*[F.col("row")[c].alias(c) for c in kept], "host", "path", "rule", "verdict")
 
 
 ORACLE_SQL = """
