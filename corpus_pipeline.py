@@ -1,10 +1,10 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read again.
 
 Every stage works on all rows that its predecessor kept. Cases: null and empty
-texts fail the quality rules; repeated rows and rows that share a doc_id are one
-document from the second stage on (the one with the smallest text stays); rows
-with a null doc_id have no identity, they pass the second stage and are taken once
-by the mix. Columns besides doc_id, text, source and n_chars are carried along.
+texts fail the quality rules; rows with the same doc_id and text are one document from
+the second stage on; different texts that share a doc_id, and rows with a null doc_id,
+are documents of their own, judged like others (substring_dedup leaves rows with a null
+doc_id as they are). Columns besides doc_id, text, source and n_chars are carried along.
 An empty table gives an empty result."""
 
 from __future__ import annotations
@@ -30,15 +30,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _recounted(line_quality.clean(docs))
 
 
+def _row_key():
+    return F.xxhash64("doc_id", "text")
+
+
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicate documents the one with the smallest doc_id stays."""
-    groups = partenum.jaccard_groups(docs)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi")
-    # the join has brought rows of one doc_id together
-    one = kept.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
-    rows = one.select(*[F.col("doc_id") if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns])
-    return rows.union(docs.where("doc_id is null"))
+    """Of each group of near-duplicate documents the one with the smallest doc_id stays, of a group without ids the one with the smallest key."""
+    keyed = docs.select("doc_id", _row_key().alias("key"), "text")
+    groups = partenum.jaccard_groups(keyed.select(F.col("key").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "component_id")
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("key")
+    stay = keyed.select("doc_id", "key").distinct().join(groups.distinct(), "key").groupBy("component_id").agg(best).select("key")
+    rows = docs.select(_row_key().alias("key"), F.struct(*[F.col(f"`{c}`") for c in ["text", *[c for c in docs.columns if c != "text"]]]).alias("row"))
+    # the join has brought rows of one key together; of rows that differ in other columns only, the smallest stays
+    one = rows.join(stay, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
+    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +52,12 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice. Rows that share a doc_id are taken equally often."""
-    times = cube.mix(docs).where("doc_id is not null").groupBy("doc_id").agg(F.round(F.avg("times")).cast("int").alias("_times"))
-    taken = docs.join(times.where("_times > 0"), "doc_id").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy"))
-    return taken.select(*docs.columns).union(docs.where("doc_id is null"))
+    """Each document as often as the mix takes it: not at all, once or twice. Equal rows are taken equally often."""
+    times = cube.mix(docs).groupBy(F.xxhash64("doc_id", "row").alias("key")).agg(F.round(F.avg("times")).cast("int").alias("times"))
+    rows = docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    times = common.stage(times.where("times > 0"), "times")  # Spark sees how small it is: texts move only when it is too large to broadcast
+    taken = rows.join(times, "key").select("row", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
