@@ -61,7 +61,7 @@ D2 = "pow((lng - (w + e) / 2) * cos(lat * pi() / 180), 2) + pow(lat - (s + n) /
     "SELECT poi.id, best.slug AS owner FROM poi LEFT JOIN best ON best.id = poi.id AND rn = 1",
 )
 def region_ownership(spark, sf):
-    return spatial.assign_region(st.poi(spark, sf), _boxes(spark, sf), step=0.005).select("id", "owner")
+    return spatial.assign_region(st.poi(spark, sf), _boxes(spark, sf)).select("id", "owner")
 
 
 @query(

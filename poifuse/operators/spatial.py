@@ -132,24 +132,42 @@ def nearest_within(
     return close.unionByName(far)
 
 
-# Region ownership. Boxes are cut into coarse cells and each cell carries the
-# short list of boxes that touch it, so a point needs one equality lookup and
-# no aggregation. A few regions give a small table that Spark broadcasts by
-# its own size estimate; many regions become an ordinary shuffled join.
+# Region ownership. Every box stands in the cells of one level of a quadtree, the level
+# whose cells are up to four times its size, so it touches four cells at most, whatever
+# its size. A point looks once into each level that has boxes: an equality join, no
+# aggregation. A few regions give small tables that Spark broadcasts by its own size
+# estimate; many regions become ordinary shuffled joins, where adaptive execution splits
+# the points of a crowded cell over tasks (points are the outer or streamed side).
 
+WORLD, FINEST = 360.0, 30
+QUAD = ["quad_x", "quad_y"]
+
+
+def quad_cells(regions: DataFrame, box: Column) -> DataFrame:
+    """A row per box and cell that it touches, with quad_level, quad_x and quad_y.
+
+    Boxes without a side, or with sides in the wrong order, hold no point and are left out.
+    """
+    extent = F.greatest(box["e"] - box["w"], box["n"] - box["s"], F.lit(WORLD / 2**FINEST))
+    level = F.greatest(F.lit(0), F.floor(F.log2(F.lit(WORLD) / extent) / 2) * 2).cast("int")
+    size = F.lit(WORLD) / F.pow(F.lit(2.0), F.col("quad_level"))
 
-def region_cells(regions: DataFrame, step: float = 0.25) -> DataFrame:
     def span(low: str, high: str) -> Column:
-        return F.sequence(F.floor(F.col(low) / step), F.floor(F.col(high) / step))
+        return F.sequence(F.floor(box[low] / size), F.floor(box[high] / size))
 
-    box = F.struct("ord", "slug", "w", "s", "e", "n", F.coalesce("role", F.lit("city")).alias("role"))
-    return (
-        regions.withColumn("region_box", box)
-        .withColumn("tile_x", F.explode(span("w", "e")))
-        .withColumn("tile_y", F.explode(span("s", "n")))
-        .groupBy("tile_x", "tile_y")
-        .agg(F.sort_array(F.collect_list("region_box")).alias("boxes"))
-    )
+    proper = (box["w"] <= box["e"]) & (box["s"] <= box["n"]) & (extent < F.lit(float("inf")))
+    leveled = regions.filter(proper).withColumn("quad_level", level)
+    return leveled.withColumn("quad_x", F.explode(span("w", "e"))).withColumn("quad_y", F.explode(span("s", "n")))
+
+
+def _levels(cells: DataFrame) -> list[int]:
+    """Levels in use: at most 16 numbers, two or three for regions of like size."""
+    return sorted(r["quad_level"] for r in cells.select("quad_level").distinct().collect())
+
+
+def _at_level(points: DataFrame, level: int) -> DataFrame:
+    size = F.lit(WORLD / 2**level)
+    return points.withColumn("quad_x", F.floor(F.col("lng") / size)).withColumn("quad_y", F.floor(F.col("lat") / size))
 
 
 def _owner(boxes: Column, lng: Column, lat: Column) -> Column:
@@ -167,12 +185,19 @@ def _owner(boxes: Column, lng: Column, lat: Column) -> Column:
     return F.array_min(ranked)["slug"]
 
 
-def assign_region(points: DataFrame, regions: DataFrame, step: float = 0.25, name: str = "owner") -> DataFrame:
+def assign_region(points: DataFrame, regions: DataFrame, name: str = "owner") -> DataFrame:
     """Add the owning region of every point; null where no box contains it."""
-    tiles = region_cells(regions, step)
-    placed = points.withColumn("tile_x", F.floor(F.col("lng") / step)).withColumn("tile_y", F.floor(F.col("lat") / step))
-    joined = placed.join(tiles, ["tile_x", "tile_y"], "left")
-    return joined.withColumn(name, _owner(F.col("boxes"), F.col("lng"), F.col("lat"))).drop("tile_x", "tile_y", "boxes")
+    box = F.struct("ord", "slug", "w", "s", "e", "n", F.coalesce("role", F.lit("city")).alias("role"))
+    cells = quad_cells(regions.select(box.alias("region_box")), F.col("region_box"))
+    tiles = cells.groupBy("quad_level", *QUAD).agg(F.sort_array(F.collect_list("region_box")).alias("boxes"))
+    none = F.array().cast(tiles.schema["boxes"].dataType)
+    placed, lists = points, []
+    for level in _levels(cells):
+        lists.append(f"quad_boxes_{level}")
+        own = tiles.filter(F.col("quad_level") == level).select(*QUAD, F.col("boxes").alias(lists[-1]))
+        placed = _at_level(placed, level).join(own, QUAD, "left").drop(*QUAD)
+    boxes = F.concat(*[F.coalesce(c, none) for c in lists]) if lists else none
+    return placed.withColumn(name, _owner(boxes, F.col("lng"), F.col("lat"))).drop(*lists)
 
 
 def members_of_areas(points: DataFrame, regions: DataFrame) -> DataFrame:
@@ -180,21 +205,19 @@ def members_of_areas(points: DataFrame, regions: DataFrame) -> DataFrame:
 
     points: lng, lat, codes (area codes it lies in). regions: one struct column
     "region". Catch-all regions meet points on the area code, city regions on
-    coarse tiles of their box; both are equality joins.
+    quadtree cells of their box; both are equality joins.
     """
-    step = 0.25
     rest = regions.filter(F.col("region.role") == "rest").withColumn("code", F.col("region.iso3166_2"))
     coded = points.withColumn("code", F.explode(F.array_distinct("codes"))).join(rest, "code").drop("code")
     city = regions.filter(F.coalesce(F.col("region.role"), F.lit("city")) != "rest")
 
-    def span(low: str, high: str) -> Column:
-        return F.sequence(F.floor(F.col(f"region.{low}") / step), F.floor(F.col(f"region.{high}") / step))
-
-    tiled = city.withColumn("tx", F.explode(span("w", "e"))).withColumn("ty", F.explode(span("s", "n")))
-    placed = points.withColumn("tx", F.floor(F.col("lng") / step)).withColumn("ty", F.floor(F.col("lat") / step))
-    boxed = placed.join(tiled, ["tx", "ty"]).drop("tx", "ty")
+    cells = quad_cells(city, F.col("region"))
+    found = coded
+    for level in _levels(cells):
+        own = cells.filter(F.col("quad_level") == level).drop("quad_level")
+        found = found.unionByName(_at_level(points, level).join(own, QUAD).drop(*QUAD))
     inside = rules.in_region_area(F.col("lng"), F.col("lat"), F.col("codes"), F.col("region"))
-    return coded.unionByName(boxed).filter(inside)
+    return found.filter(inside)
 
 
 def nearest_anchor(points: DataFrame, anchors: list[dict], radius_km: float = 60.0) -> DataFrame:

@@ -226,3 +226,38 @@ def test_vocabulary_by_slug_then_by_label(spark):
     labels = spark.createDataFrame([(i, t) for i, t in enumerate(["Bier", "Wein", "Limo", "Tee", "", None, "Limo"])], "n int, tag string")
     got = {r["n"]: r["slug"] for r in quality.match_vocabulary(labels, vocab).collect()}
     assert got == {0: "bier", 1: "wein", 2: "mate", 3: None, 4: None, 5: None, 6: "mate"}
+
+
+def owner_by_loop(p, boxes):
+    inside = [b for b in boxes if None not in (p[1], p[2]) and b[2] <= p[1] <= b[4] and b[3] <= p[2] <= b[5]]
+    centre = lambda b: ((p[1] - (b[2] + b[4]) / 2) * math.cos(math.radians(p[2]))) ** 2 + (p[2] - (b[3] + b[5]) / 2) ** 2
+    return min(inside, key=lambda b: ((b[6] or "city") != "city", centre(b), b[0]))[1] if inside else None
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_region_of_points_among_boxes_of_any_size(spark, broadcast):
+    draw = random.Random(20)
+    boxes = []
+    for i in range(120):
+        side, ratio = 10 ** draw.uniform(-4, 1.5), draw.choice([1, 1, 0.01, 5])
+        w, s = (draw.uniform(-180, 170), draw.uniform(-85, 80)) if i % 2 else (draw.uniform(8, 9), draw.uniform(50, 51))
+        boxes.append((i, f"r{i}", w, s, w + side, s + side * ratio, draw.choice([None, "city", "rest"])))
+    boxes += [(200, "point", 8.5, 50.5, 8.5, 50.5, "city"), (201, "turned", 9.0, 50.0, 8.0, 51.0, "city"), (202, "half", None, 50.0, 9.0, 51.0, "city")]
+    boxes += [(203, "all", -180.0, -90.0, 180.0, 90.0, "rest")]
+    pts = [(i, draw.uniform(-180, 180), draw.uniform(-90, 90)) for i in range(300)]
+    pts += [(1000 + i, draw.uniform(7.9, 9.1), draw.uniform(49.9, 51.1)) for i in range(600)]
+    pts += [(2000 + 2 * i + j, (b[2], b[4])[j], (b[3], b[5])[j]) for i, b in enumerate(boxes[:120]) for j in (0, 1)]  # corners
+    pts += [(3000 + i, 8.5, 50.5) for i in range(400)] + [(4000, None, 50.0), (4001, 8.0, None), (4002, 500.0, 50.0)]
+    points_df = spark.createDataFrame(pts, "id int, lng double, lat double").repartition(8)
+    boxes_df = spark.createDataFrame(boxes, "ord int, slug string, w double, s double, e double, n double, role string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before if broadcast else "-1")
+    try:
+        got = {r["id"]: r["owner"] for r in spatial.assign_region(points_df, boxes_df).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    proper = [b for b in boxes if None not in b[2:6]]
+    assert got == {p[0]: owner_by_loop(p, proper) for p in pts}
+    assert spatial.assign_region(points_df, boxes_df.limit(0)).filter("owner IS NOT NULL").isEmpty()
+    cells = spatial.quad_cells(boxes_df.filter("ord < 200"), F.struct("w", "s", "e", "n"))
+    assert cells.groupBy("ord").count().agg(F.max("count")).first()[0] <= 4
