@@ -66,6 +66,10 @@ WANTED = (
     f"WHEN coalesce(shop, '') NOT IN ('kiosk', 'beverages') THEN false WHEN ({MARKET}) THEN false "
     f"WHEN {ES} AND ({NON_DRINK}) THEN false ELSE true END"
 )
+CANDIDATE = (
+    "coalesce(shop, '') IN ('kiosk', 'beverages', 'convenience', 'alcohol', 'wine', 'tobacco', 'newsagent', 'deli', 'food') "
+    "OR (coalesce(amenity, '') IN ('fast_food', 'cafe', 'pub', 'bar') AND name IS NOT NULL)"
+)
 LOCATED = "coalesce(lat, c_lat) IS NOT NULL AND coalesce(lng, c_lng) IS NOT NULL"
 
 
@@ -78,8 +82,7 @@ def wanted_elements(spark, sf):
     "FLT2 FLT3 FLT4 FLT5 FLT6 FLT9",
     f"WITH {EL} SELECT k, ({CORNER}) AS corner_shop, coalesce({chinese_sql('name')}, false) AS chinese_name, ({BAR}) AS chinese_bar, "
     f"({MARKET}) AS beverage_market, ({NON_DRINK}) AS non_drink, "
-    "(coalesce(shop, '') IN ('kiosk', 'beverages', 'convenience', 'alcohol', 'wine', 'tobacco', 'newsagent', 'deli', 'food') "
-    "OR (coalesce(amenity, '') IN ('fast_food', 'cafe', 'pub', 'bar') AND name IS NOT NULL)) AS candidate FROM el",
+    f"({CANDIDATE}) AS candidate FROM el",
 )
 def element_predicates(spark, sf):
     tags = F.col("tags")

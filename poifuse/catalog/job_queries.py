@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from poifuse import schema
 from poifuse.catalog import standins as st
-from poifuse.catalog.feature_queries import FT, SOURCES
+from poifuse.catalog.element_queries import CANDIDATE, LOCATED
+from poifuse.catalog.feature_queries import EL, FRESH, FT, SINCE, SOURCES
 from poifuse.catalog.registry import query
 from poifuse.catalog.spatial_queries import GREEDY_SQL, _sourced
-from poifuse.plans import seed
+from poifuse.plans import backfill, refresh, seed
 
 
 def _whole(rows):
@@ -101,3 +102,50 @@ def imported_seed(spark, sf):
     vocab = p.select(F.lower("p_type").alias("slug"), F.col("p_type").alias("de")).distinct().withColumn("ord", F.lit(0))
     out = seed.checked_import(records, vocab, "fr", st.AS_OF)
     return out.select("id", "name", "address.street", "address.postalcode", F.coalesce(F.array_join("tags", ","), F.lit("")).alias("tags"), st.sources_text(F.col("sources")).alias("sources"))
+
+
+INSIDE = "coalesce(lng BETWEEN 5.87 AND 15.04 AND lat BETWEEN 47.27 AND 55.06, false)"
+
+
+@query(
+    "AGG8 FLT9 FLT14",
+    f"WITH {FT}, {EL}, u AS (SELECT region, lng, lat, {FRESH} AS fresh, {INSIDE} AS inside FROM ft WHERE NOT s_osm), "
+    "t AS (SELECT DISTINCT region, floor(lng / 0.5) * 0.5 AS x, floor(lat / 0.5) * 0.5 AS y FROM u WHERE fresh AND inside), "
+    f"c AS (SELECT k, coalesce(lng, c_lng) AS lng, coalesce(lat, c_lat) AS lat FROM el WHERE {LOCATED} AND ({CANDIDATE})), "
+    "s AS (SELECT region, count(DISTINCT k) AS candidates FROM t JOIN c ON c.lng BETWEEN x - 0.01 AND x + 0.51 AND c.lat BETWEEN y - 0.01 AND y + 0.51 GROUP BY 1), "
+    "n AS (SELECT region, count(*) AS unlinked, count_if(NOT fresh) AS skipped_stale, count_if(fresh AND NOT inside) AS outside, count_if(fresh AND inside) AS asked FROM u GROUP BY 1) "
+    "SELECT CASE WHEN grouping(region) = 1 THEN '(all)' ELSE region END AS region, sum((asked > 0)::INT)::BIGINT AS files, "
+    + ", ".join(f"sum({c})::BIGINT AS {c}" for c in ("unlinked", "skipped_stale", "outside", "asked"))
+    + ", sum(coalesce(candidates, 0))::BIGINT AS candidates FROM n LEFT JOIN s USING (region) GROUP BY ROLLUP (region)",
+)
+def backfill_scope_counters(spark, sf):
+    """What a backfill run takes on, per region and overall."""
+    elements = refresh.located(st.elements(spark, sf)).select("type", "id", "lng", "lat", "tags")
+    return backfill.scope_counters(st.features(spark, sf), elements, SINCE)
+
+
+# Landed geocoder answers: two of three features have one, with some parts missing.
+HIT = {
+    "street": "CASE WHEN k % 4 <> 0 THEN 'Weg' END",
+    "housenumber": "CASE WHEN k % 5 < 3 THEN '7' END",
+    "postcode": "'60311'",
+    "city": "CASE WHEN k % 2 = 1 THEN 'Frankfurt' END",
+    "district": "CASE WHEN k % 7 = 0 THEN 'Mitte' END",
+}
+
+
+@query(
+    "AGG8 FLT15 JN12",
+    f"WITH {FT}, a AS (SELECT * FROM ft WHERE coalesce(street, '') = '' OR coalesce(number, '') = ''), "
+    f"h AS (SELECT id AS feature_id, {', '.join(f'{v} AS h_{c}' for c, v in HIT.items())} FROM ft WHERE k % 3 <> 0), "
+    "j AS (SELECT a.*, h.*, feature_id IS NOT NULL AS matched FROM a LEFT JOIN h ON h.feature_id = a.id AND (h_street IS NOT NULL OR h_housenumber IS NOT NULL)) "
+    "SELECT count(*) AS considered, count_if(matched)::BIGINT AS matched, count_if(NOT matched)::BIGINT AS no_match, "
+    + ", ".join(f"count_if(h_{offer} IS NOT NULL AND coalesce({part}, '') = '')::BIGINT AS filled_{part}" for part, offer in backfill.FILLED.items())
+    + ", false AS capped FROM j",
+)
+def geocode_outcomes(spark, sf):
+    """What the landed geocoder answers can fill."""
+    f = st.features(spark, sf)
+    parts = [F.expr(v).alias(c) for c, v in HIT.items()]
+    hits = f.filter("k % 3 <> 0").select(F.col("id").alias("feature_id"), F.lit(0).alias("ord"), "lng", "lat", *parts, F.lit("Germany").alias("country"))
+    return backfill.geocode_counters(f, hits)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from poifuse import schema
-from poifuse.functions import geo, text
+from poifuse.functions import geo, rules, text
 from poifuse.functions import provenance as prov
 from poifuse.operators import dedup, linking, merge, stats
 from poifuse.session import cut
@@ -48,6 +48,11 @@ def in_scope(features: DataFrame, since: str | None) -> DataFrame:
     return unlinked(features).filter(geo.in_germany(F.col("lng"), F.col("lat")) & is_fresh_since(since))
 
 
+def match_candidates(elements: DataFrame) -> DataFrame:
+    """Elements that a feature may be matched to: a broader selection than what a refresh imports."""
+    return elements.filter(rules.is_match_candidate(F.col("tags")))
+
+
 def visible_candidates(scope: DataFrame, candidates: DataFrame) -> DataFrame:
     """Candidates per region: those inside a padded tile that holds a row of its scope."""
     tiles = scope.select("region", F.floor(F.col("lng") / TILE).alias("tx"), F.floor(F.col("lat") / TILE).alias("ty")).distinct()
@@ -122,9 +127,40 @@ def _hits(asking: DataFrame, hits: DataFrame) -> DataFrame:
     return best.select(F.col("f_region").alias("region"), F.col("f_ord").alias("ord"), F.col("feature_id").alias("id"), F.struct(*fields).alias("hit"))
 
 
-def geocode_counters(features: DataFrame, hits: DataFrame) -> DataFrame:
-    """How many rows lack an address and how many of those a hit can help."""
-    asking = features.filter(needs_address())
+FILLED = {"street": "street", "number": "housenumber", "postalcode": "postcode", "city": "city", "district": "district"}
+
+
+def geocode_counters(features: DataFrame, hits: DataFrame, budget: int | None = None) -> DataFrame:
+    """How many rows lack an address, how many a hit can help, which parts it fills, and whether the budget left rows out."""
+    lacking = features.filter(needs_address())
+    asking = lacking if budget is None else lacking.orderBy("region", "id", "ord").limit(budget)
     joined = asking.join(_hits(asking, hits), ROW, "left")
     matched = F.col("hit").isNotNull()
-    return stats.count_flags(joined, {"considered": F.lit(True), "matched": matched, "no_match": ~matched})
+    flags = {"considered": F.lit(True), "matched": matched, "no_match": ~matched}
+    for part, offer in FILLED.items():
+        flags[f"filled_{part}"] = matched & text.has_text(F.col(f"hit.{offer}")) & ~F.coalesce(text.has_text(F.col(f"address.{part}")), F.lit(False))
+    counts = stats.count_flags(joined, flags)
+    left_out = lacking.agg(F.count(F.lit(1)).alias("lacking"))
+    rows = counts.withColumn("lacking", F.lit(0).cast("long")).unionByName(left_out.select(*[F.lit(0).cast("long").alias(c) for c in flags], "lacking"))
+    summed = rows.agg(*[F.sum(c).alias(c) for c in [*flags, "lacking"]])
+    return summed.select(*flags, (F.col("lacking") > F.col("considered")).alias("capped"))
+
+
+SCOPE_COUNTERS = ["files", "unlinked", "skipped_stale", "outside", "asked", "candidates"]
+
+
+def scope_counters(features: DataFrame, elements: DataFrame, since: str | None = None) -> DataFrame:
+    """What a backfill run takes on, per region and overall, before it matches anything.
+
+    unlinked rows are skipped_stale, outside the sanity box, or asked; candidates are
+    the elements in the tiles of a region's asked rows, listed once however many tiles
+    show them; files are regions with asked rows. elements: type, id, lng, lat, tags.
+    """
+    fresh, inside = is_fresh_since(since), F.coalesce(geo.in_germany(F.col("lng"), F.col("lat")), F.lit(False))
+    flags = {"unlinked": F.lit(True), "skipped_stale": ~fresh, "outside": fresh & ~inside, "asked": fresh & inside}
+    rows = stats.count_flags(unlinked(features), flags, ["region"])
+    listed = dedup.distinct_candidates(elements if "ord" in elements.columns else elements.withColumn("ord", F.lit(0)))
+    seen = visible_candidates(in_scope(features, since), match_candidates(listed).select("type", "id", "lng", "lat"))
+    seen = seen.groupBy("region").agg(F.count(F.lit(1)).alias("candidates"))
+    joined = rows.join(seen, "region", "left").fillna(0, ["candidates"]).withColumn("files", (F.col("asked") > 0).cast("int"))
+    return stats.rolled_up_sums(joined, "region", SCOPE_COUNTERS)

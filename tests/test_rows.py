@@ -124,3 +124,22 @@ def test_capped_worklist_says_so(spark):
     f = repeated(spark)
     kept, capped = enrich.capped(f, 3)
     assert kept.count() == 3 and capped and not enrich.capped(f, 4)[1]
+
+
+def test_geocode_budget_and_scope(spark):
+    f = repeated(spark)
+    hits = f.select(F.col("id").alias("feature_id"), F.lit(0).alias("ord"), "lng", "lat", F.lit("Weg").alias("street"), F.lit("").alias("housenumber"),
+                    F.lit("1").alias("postcode"), F.lit(None).cast("string").alias("city"), F.lit("D").alias("district"), F.lit("Germany").alias("country"))
+    free, short = (backfill.geocode_counters(f, hits, budget).collect()[0] for budget in (None, 3))
+    assert (free["considered"], free["capped"], free["filled_street"], free["filled_number"], free["filled_city"]) == (4, False, 4, 0, 0)
+    assert (short["considered"], short["matched"], short["capped"]) == (3, 3, True)
+    none = backfill.geocode_counters(f.limit(0), hits).collect()[0]
+    assert (none["considered"], none["capped"]) == (0, False)
+    shop, plain = {"shop": "kiosk"}, {"name": "Corner"}
+    rows = [("node", 1, 8.1, 50.1, shop), ("node", 1, 8.1, 50.1, shop), ("node", 2, 8.1, 50.1, plain), ("node", 3, 8.505, 50.1, shop), ("node", 4, 20.0, 50.1, shop)]
+    elements = spark.createDataFrame(rows, "type string, id bigint, lng double, lat double, tags map<string,string>")
+    counted = {r["region"]: r for r in backfill.scope_counters(f, elements).collect()}
+    assert counted["(all)"]["asked"] == f.count() and counted["(all)"]["skipped_stale"] == 0
+    assert all(r["candidates"] == 2 * r["files"] for r in counted.values())
+    late = backfill.scope_counters(f, elements, "2999-01-01").filter("region = '(all)'").collect()[0]
+    assert (late["asked"], late["files"], late["candidates"], late["skipped_stale"]) == (0, 0, 0, f.count())
