@@ -12,12 +12,18 @@ from pyspark.sql import functions as F
 
 from poifuse import schema
 from poifuse.functions import provenance as prov
+from poifuse.operators.skew import dealt
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part, dealt over tasks: few bytes a row in the file, but wide rows in what is made of them."""
+    return dealt(table(spark, sf_dir, "part"), "p_partkey")
+
+
 def choose(selector: str, values: list[str | None]) -> str:
     """CASE over a small number; None leaves the value null."""
     arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None)
@@ -147,11 +153,11 @@ def cte(name: str, columns: list[str], source: str = "part", where: str = "") ->
 
 
 def poi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").selectExpr(*POI)
+    return parts(spark, sf_dir).selectExpr(*POI)
 
 
 def flat_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").selectExpr(*ELEMENT)
+    return parts(spark, sf_dir).selectExpr(*ELEMENT)
 
 
 def _string_map(pairs: dict[str, Column]) -> Column:
@@ -180,7 +186,7 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature rows in the nested model (plus k, the part key)."""
-    f = table(spark, sf_dir, "part").selectExpr(*FEATURE)
+    f = parts(spark, sf_dir).selectExpr(*FEATURE)
     c = F.col
     number = F.when(c("k") % 3 == 0, "node/").otherwise("way/")
     sources = F.array_compact(
