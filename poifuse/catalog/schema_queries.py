@@ -70,7 +70,7 @@ def raw_schema_rules(spark, sf):
     """Raw features, one per part; each breaks the rules that its change breaks; the last kind isn't JSON."""
     texts = [json.dumps(changed(path, value)) for path, value, _ in CHANGES] + ["{not json"]
     kind = (F.col("p_partkey") % len(texts)).cast("int")
-    raw = st.table(spark, sf, "part").select(F.col("p_partkey").alias("k"), F.get(F.from_json(F.lit(json.dumps(texts)), "array<string>"), kind).alias("value"))
+    raw = st.parts(spark, sf).select(F.col("p_partkey").alias("k"), F.get(F.from_json(F.lit(json.dumps(texts)), "array<string>"), kind).alias("value"))
     return schema_rules.raw_violations(raw)
 
 

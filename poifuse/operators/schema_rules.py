@@ -33,109 +33,140 @@ SOURCE_KEYS, SOURCE_REQUIRED = ["type", "id", "version"], ["type", "id"]
 TAG = "^[a-z][a-z0-9_-]*$"
 
 
-def _at(doc: Column, path: str) -> Column:
-    return F.try_variant_get(doc, f"$.{path}" if path else "$", "variant")
+LISTS = ["geometry.coordinates", "properties.tags", "properties.sources"]
+STAMPS = "properties.sources_by_field"
 
 
-def _kind(value: Column) -> Column:
-    """OBJECT, ARRAY, STRING, BOOLEAN, NUMBER or NULL; null where there is nothing."""
-    name = F.schema_of_variant(value)
-    return (
-        F.when(name.startswith("OBJECT"), "OBJECT").when(name.startswith("ARRAY"), "ARRAY").when(name.isin("STRING", "BOOLEAN"), name)
-        .when(name == "VOID", "NULL").when(name.isNotNull(), "NUMBER")
-    )
+def _paths() -> list[str]:
+    """Every path that a rule looks at."""
+    children = [f"{path}.{key}".lstrip(".") for path, (_, required) in OBJECTS.items() for key in required]
+    return list(dict.fromkeys([*OBJECTS, *children, *LENGTHS, *PATTERNS, *TEXTS, *DATES, *ENUMS, "properties.osm_removed", *LISTS, STAMPS]))
 
 
-def _is(value: Column, kind: str) -> Column:
-    return F.coalesce(_kind(value) == kind, F.lit(False))
+def _name(path: str) -> str:
+    return path.replace(".", "_") or "root"
+
+
+def _at(path: str) -> Column:
+    return F.col(f"value_{_name(path)}")
+
+
+def _is(path: str, kind: str) -> Column:
+    return _of_kind(F.col(f"type_{_name(path)}"), kind)
+
+
+def _type(value: Column) -> Column:
+    """Start of a value's type name; null where there is nothing."""
+    return F.substring(F.schema_of_variant(value), 1, 7)
+
+
+def _of_kind(name: Column, kind: str) -> Column:
+    """A type name against OBJECT, ARRAY, STRING, BOOLEAN or NUMBER. The name is used once, as it may be an expression."""
+    if kind in ("OBJECT", "ARRAY"):
+        return F.coalesce(name.startswith(kind), F.lit(False))
+    if kind == "NUMBER":
+        return F.coalesce(~name.rlike("^(OBJECT|ARRAY|STRING$|BOOLEAN$|VOID$)"), F.lit(False))
+    return F.coalesce(name == kind, F.lit(False))
 
 
 def _broken(test: Column) -> Column:
     return F.coalesce(test, F.lit(False))
 
 
-def _text(value: Column) -> Column:
+def _text(path: str) -> Column:
     """The text of a string; null for anything else."""
-    return F.when(_is(value, "STRING"), F.try_variant_get(value, "$", "string"))
+    return F.when(_is(path, "STRING"), F.try_variant_get(_at(path), "$", "string"))
+
+
+def _item_is(value: Column, kind: str) -> Column:
+    return _of_kind(_type(value), kind)
+
 
+def _item_text(value: Column) -> Column:
+    return F.when(_item_is(value, "STRING"), F.try_variant_get(value, "$", "string"))
 
-def _number(value: Column) -> Column:
-    return F.when(_is(value, "NUMBER"), F.try_variant_get(value, "$", "double"))
 
+def _item_number(value: Column) -> Column:
+    return F.when(_item_is(value, "NUMBER"), F.try_variant_get(value, "$", "double"))
 
-def _items(value: Column) -> Column:
-    return F.when(_is(value, "ARRAY"), F.try_variant_get(value, "$", "array<variant>"))
 
+def _items(path: str) -> Column:
+    return F.col(f"items_{_name(path)}")
 
-def _undeclared(value: Column, known: list[str], path: str) -> Column:
-    keys = F.when(_is(value, "OBJECT"), F.json_object_keys(F.to_json(value)))
+
+def _undeclared(value: Column, is_object: Column, known: list[str], path: str) -> Column:
+    keys = F.when(is_object, F.json_object_keys(F.to_json(value)))
     found = F.array_except(keys, F.array(*[F.lit(k) for k in known]))
     return F.coalesce(F.transform(found, lambda k: F.concat(F.lit(f"{path} undeclared ".lstrip()), k)), F.array().cast("array<string>"))
 
 
+def _taken_apart(parsed: DataFrame) -> DataFrame:
+    """Values, type names and list items of all paths of doc as columns, so that each is taken once per row and not once per rule."""
+    values = parsed.select("row", F.col("doc").isNull().alias("not_json"), *[F.try_variant_get("doc", f"$.{p}" if p else "$", "variant").alias(f"value_{_name(p)}") for p in _paths()])
+    typed = values.select("*", *[_type(_at(p)).alias(f"type_{_name(p)}") for p in _paths()])
+    lists = [F.when(_is(p, "ARRAY"), F.try_variant_get(_at(p), "$", "array<variant>")).alias(f"items_{_name(p)}") for p in LISTS]
+    return typed.select("*", *lists)
+
+
 def is_date(text: Column) -> Column:
     return text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull()
 
 
-def broken_rules(doc: Column) -> Column:
-    """Names of the rules that a feature, as a VARIANT, breaks."""
-    checks: dict[str, Column] = {"json": doc.isNull()}
+def broken_rules() -> Column:
+    """Names of the rules that a feature breaks, from the columns of _taken_apart."""
+    checks: dict[str, Column] = {"json": F.col("not_json")}
     lists: list[Column] = []
 
     def wrong_type(path: str, kind: str) -> None:
-        value = _at(doc, path)
-        checks[f"{path} type".lstrip()] = value.isNotNull() & ~_is(value, kind)
+        checks[f"{path} type".lstrip()] = _at(path).isNotNull() & ~_is(path, kind)
 
     for path, (known, required) in OBJECTS.items():
         wrong_type(path, "OBJECT")
-        lists.append(_undeclared(_at(doc, path), known, path))
+        lists.append(_undeclared(_at(path), _is(path, "OBJECT"), known, path))
         for key in required:
-            checks[f"{path}.{key} required".lstrip(".")] = _is(_at(doc, path), "OBJECT") & _at(doc, f"{path}.{key}".lstrip(".")).isNull()
+            checks[f"{path}.{key} required".lstrip(".")] = _is(path, "OBJECT") & _at(f"{path}.{key}".lstrip(".")).isNull()
     for path in [*LENGTHS, *PATTERNS, *TEXTS, *DATES]:
         wrong_type(path, "STRING")
     for path, (least, most) in LENGTHS.items():
-        checks[f"{path} length"] = _broken(~F.length(_text(_at(doc, path))).between(least, most))
+        checks[f"{path} length"] = _broken(~F.length(_text(path)).between(least, most))
     for path, pattern in PATTERNS.items():
-        checks[f"{path} pattern"] = _broken(~_text(_at(doc, path)).rlike(pattern))
+        checks[f"{path} pattern"] = _broken(~_text(path).rlike(pattern))
     for path in DATES:
-        text = _text(_at(doc, path))
-        checks[f"{path} date"] = text.isNotNull() & ~_broken(is_date(text))
+        checks[f"{path} date"] = _text(path).isNotNull() & ~_broken(is_date(_text(path)))
     for path, values in ENUMS.items():
-        value = _at(doc, path)
-        checks[f"{path} value"] = value.isNotNull() & ~_broken(_text(value).isin(values))
+        checks[f"{path} value"] = _at(path).isNotNull() & ~_broken(_text(path).isin(values))
     wrong_type("properties.osm_removed", "BOOLEAN")
 
-    place = _items(_at(doc, "geometry.coordinates"))
+    place = _items("geometry.coordinates")
     wrong_type("geometry.coordinates", "ARRAY")
     checks["geometry.coordinates size"] = _broken(~F.size(place).between(2, 3))
-    checks["geometry.coordinates numbers"] = _broken(F.exists(place, lambda v: ~_is(v, "NUMBER")))
-    checks["geometry.coordinates longitude"] = _broken(~_number(F.get(place, 0)).between(-180, 180))
-    checks["geometry.coordinates latitude"] = _broken(~_number(F.get(place, 1)).between(-90, 90))
+    checks["geometry.coordinates numbers"] = _broken(F.exists(place, lambda v: ~_item_is(v, "NUMBER")))
+    checks["geometry.coordinates longitude"] = _broken(~_item_number(F.get(place, 0)).between(-180, 180))
+    checks["geometry.coordinates latitude"] = _broken(~_item_number(F.get(place, 1)).between(-90, 90))
 
-    tags = _items(_at(doc, "properties.tags"))
+    tags = _items("properties.tags")
     wrong_type("properties.tags", "ARRAY")
-    checks["properties.tags items"] = _broken(F.exists(tags, lambda v: ~_is(v, "STRING")))
-    checks["properties.tags pattern"] = _broken(F.exists(tags, lambda v: ~_text(v).rlike(TAG)))
+    checks["properties.tags items"] = _broken(F.exists(tags, lambda v: ~_item_is(v, "STRING")))
+    checks["properties.tags pattern"] = _broken(F.exists(tags, lambda v: ~_item_text(v).rlike(TAG)))
     texts = F.transform(tags, lambda v: F.to_json(v))
-    checks["properties.tags unique"] = _broken(F.size(F.array_distinct(texts)) < F.size(texts))
+    checks["properties.tags unique"] = _broken(F.size(F.array_distinct(texts)) < F.size(tags))
 
-    sources = _items(_at(doc, "properties.sources"))
+    sources = _items("properties.sources")
     part = lambda v, key: F.try_variant_get(v, f"$.{key}", "variant")
     wrong_type("properties.sources", "ARRAY")
-    checks["properties.sources items"] = _broken(F.exists(sources, lambda v: ~_is(v, "OBJECT")))
+    checks["properties.sources items"] = _broken(F.exists(sources, lambda v: ~_item_is(v, "OBJECT")))
     for key in SOURCE_REQUIRED:
-        checks[f"properties.sources.{key} required"] = _broken(F.exists(sources, lambda v: _is(v, "OBJECT") & part(v, key).isNull()))
-    checks["properties.sources.type value"] = _broken(F.exists(sources, lambda v: part(v, "type").isNotNull() & ~_broken(_text(part(v, "type")).isin(schema.SOURCE_TYPES))))
-    checks["properties.sources.id type"] = _broken(F.exists(sources, lambda v: part(v, "id").isNotNull() & ~_is(part(v, "id"), "STRING")))
-    whole = lambda v: _broken((_number(v) >= 0) & (_number(v) == F.floor(_number(v))))
+        checks[f"properties.sources.{key} required"] = _broken(F.exists(sources, lambda v: _item_is(v, "OBJECT") & part(v, key).isNull()))
+    checks["properties.sources.type value"] = _broken(F.exists(sources, lambda v: part(v, "type").isNotNull() & ~_broken(_item_text(part(v, "type")).isin(schema.SOURCE_TYPES))))
+    checks["properties.sources.id type"] = _broken(F.exists(sources, lambda v: part(v, "id").isNotNull() & ~_item_is(part(v, "id"), "STRING")))
+    whole = lambda v: _broken((_item_number(v) >= 0) & (_item_number(v) == F.floor(_item_number(v))))
     checks["properties.sources.version value"] = _broken(F.exists(sources, lambda v: part(v, "version").isNotNull() & ~whole(part(v, "version"))))
-    more = F.transform(sources, lambda v: _undeclared(v, SOURCE_KEYS, "properties.sources"))
+    more = F.transform(sources, lambda v: _undeclared(v, _item_is(v, "OBJECT"), SOURCE_KEYS, "properties.sources"))
     lists.append(F.coalesce(F.array_distinct(F.flatten(more)), F.array().cast("array<string>")))
 
-    stamps = _at(doc, "properties.sources_by_field")
-    wrong_type("properties.sources_by_field", "OBJECT")
-    values = F.map_values(F.when(_is(stamps, "OBJECT"), F.try_variant_get(stamps, "$", "map<string,variant>")))
-    checks["properties.sources_by_field value"] = _broken(F.exists(values, lambda v: ~_broken(_text(v).isin(list(schema.SOURCE_RANK)))))
+    wrong_type(STAMPS, "OBJECT")
+    values = F.map_values(F.when(_is(STAMPS, "OBJECT"), F.try_variant_get(_at(STAMPS), "$", "map<string,variant>")))
+    checks[f"{STAMPS} value"] = _broken(F.exists(values, lambda v: ~_broken(_item_text(v).isin(list(schema.SOURCE_RANK)))))
     found = F.array_compact(F.array(*[F.when(test, F.lit(rule)) for rule, test in checks.items()]))
     return F.concat(found, *lists)
 
@@ -145,7 +176,9 @@ def raw_violations(raw: DataFrame, value: str = "value") -> DataFrame:
     names = [c for c in raw.columns if c != value]
     # the feature is parsed once per row, not once per rule
     parsed = raw.select(F.struct(*names).alias("row"), F.explode(F.array(F.try_parse_json(value))).alias("doc"))
-    return parsed.select("row", F.explode(broken_rules(F.col("doc"))).alias("rule")).select("row.*", "rule")
+    judged = _taken_apart(parsed).select("row", broken_rules().alias("rules"))
+    # explode would filter rows by the size of rules first, and work all of them out once more, below the columns they are taken from
+    return judged.select("row", F.explode_outer("rules").alias("rule")).filter("rule IS NOT NULL").select("row.*", "rule")
 
 
 class SchemaError(ValueError):

@@ -34,3 +34,19 @@ def test_rows_of_a_compact_table_are_dealt_over_tasks_by_number(spark, monkeypat
 def test_wide_rows_from_a_small_file_are_not_broadcast(spark, many_parts):
     plan = queries()["backfilled_features"](spark, many_parts)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_tag_maps_joined_to_features_by_element_are_not_broadcast(spark, many_parts):
+    """The join of a backfill (backfilled_table): features with the tags of their chosen elements."""
+    detail = st.elements(spark, many_parts).select("k", F.col("tags").alias("c_tags"), "version")
+    plan = st.features(spark, many_parts).join(detail, "k", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+
+
+def test_schema_rules_are_worked_out_once_per_row(spark):
+    raw = spark.createDataFrame([(1, "{}")], "k int, value string")
+    from poifuse.operators import schema_rules
+
+    plan = schema_rules.raw_violations(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" not in "".join(line for line in plan.splitlines() if "Filter" in line)
+    assert plan.count("try_variant_get(doc") <= len(schema_rules._paths())
