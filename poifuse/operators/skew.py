@@ -44,14 +44,14 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
 TASK_ROWS = 50_000
 
 
-def dealt(df: DataFrame, key: str) -> DataFrame:
+def dealt(df: DataFrame, key: str, rows: int | None = None) -> DataFrame:
     """Rows dealt over tasks by a key, so that a task has as many at every size of the table.
 
     A file of a few megabytes is read by one task or two, however many rows it holds and
     however much work or memory each of them takes afterwards. Tables dealt by the same
     key also join on it without another shuffle.
     """
-    tasks = -(-df.count() // TASK_ROWS)
+    tasks = -(-df.count() // (rows or TASK_ROWS))
     return df.repartition(tasks, key) if tasks > 1 else df
 
 

@@ -50,3 +50,21 @@ def test_schema_rules_are_worked_out_once_per_row(spark):
     plan = schema_rules.raw_violations(raw)._jdf.queryExecution().optimizedPlan().toString()
     assert "size(" not in "".join(line for line in plan.splitlines() if "Filter" in line)
     assert plan.count("try_variant_get(doc") <= len(schema_rules._paths())
+
+
+def test_runs_of_words_carry_no_whole_text(spark):
+    from poifuse.catalog.element_queries import _words
+
+    plan = _words(spark, SMALL)._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Generate":
+        plan = plan.children().apply(0)
+    assert [a for a in plan.outputSet().mkString(",").split(",") if a.startswith(("parts", "text"))] == []
+
+
+def test_bigrams_outside_the_basic_plane_and_repeats(spark):
+    from poifuse.functions import text
+
+    rows = spark.createDataFrame([("😀a😀a", 3, 3), ("aaaa", 3, 3), ("é", 0, 0), ("", 0, 0), (None, 0, 0)], "t string, n int, d int")
+    got = rows.select("n", F.size(F.array_distinct(text.bigram_multiset(F.col("t")))).alias("m"), text.strip_accents(F.col("t")).alias("s")).collect()
+    assert all(r["n"] == r["m"] for r in got)
+    assert [r["s"] for r in got] == ["😀a😀a", "aaaa", "e", "", None]
