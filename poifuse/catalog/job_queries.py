@@ -85,7 +85,7 @@ def confirmed_sources(spark, sf):
 )
 def imported_seed(spark, sf):
     """The import job: seed records as features, checked against the schema; records without coordinates are skipped."""
-    p = st.table(spark, sf, "part")
+    p = st.parts(spark, sf)
     k, none = F.col("p_partkey"), F.lit(None)
     address = F.struct(
         F.when(F.col("p_size") % 3 != 0, F.concat(F.lit(" Street "), F.col("p_size").cast("string"))).alias("street"), none.cast("string").alias("number"), F.lit(" ").alias("city"),

@@ -222,7 +222,7 @@ PAIRING = st.POI + [
 
 
 def _pairing(spark, sf, side=None):
-    rows = st.table(spark, sf, "part").selectExpr(*PAIRING)
+    rows = st.parts(spark, sf).selectExpr(*PAIRING)
     rows = rows if side is None else rows.filter(F.col("side") == side)
     none = F.lit(None).cast("string")
     return rows.select(
