@@ -52,7 +52,9 @@ def dealt(df: DataFrame, key: str, rows: int | None = None) -> DataFrame:
     key also join on it without another shuffle.
     """
     tasks = -(-df.count() // (rows or TASK_ROWS))
-    return df.repartition(tasks, key) if tasks > 1 else df
+    # Spark moves later filters, with all that they work out, before the shuffle, where a task or two would do the work.
+    # It moves none past a filter that it can't repeat; this one is true of every row.
+    return df.repartition(tasks, key).filter(F.monotonically_increasing_id() >= 0) if tasks > 1 else df
 
 
 SAMPLE_PER_RANGE = 20

@@ -61,6 +61,49 @@ def test_runs_of_words_carry_no_whole_text(spark):
     assert [a for a in plan.outputSet().mkString(",").split(",") if a.startswith(("parts", "text"))] == []
 
 
+def test_odd_texts_give_the_runs_of_the_split(spark, tmp_path):
+    from poifuse.catalog.element_queries import _words
+
+    texts = ["", " ", "a", "a b c", "a b c ", "a b c d", "  a\nb  c\n", "a b c d e f g\n", "é 😀 x y", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    want = set()
+    for k, parts in ((k, t.split(" ")) for k, t in enumerate(texts) if t is not None):
+        want |= {(k, i, " ".join(parts[i : i + 3]), " ".join(parts[i + 1 : i + 5])) for i in range(0, len(parts), 3)}
+    rows = [tuple(r) for r in _words(spark, str(tmp_path)).select("doc_id", "pos", "name", "other").collect()]
+    assert len(rows) == len(want) and set(rows) == want
+
+
+def test_what_forms_of_a_name_share_is_worked_out_once(spark):
+    from poifuse.functions import text
+
+    names = ["Café Späti", "KIOSK am Shop", "a_kiosk_b", "kiosk", "", "shops 24/7!", "Bodega Ñandú", "王记 laden", "x\u001ckiosk\ty", "K\u212a İx", None]
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    forms = {"generic": text.normalise_name, "folded": text.fold_name, "chain": text.chain_name, "spanish": text.spanish_name, "slug": text.tag_slug}
+    made = text.name_forms(rows, "name", {f: f for f in forms})
+    alone = rows.select("name", *[make(F.col("name")).alias(f) for f, make in forms.items()])
+    assert made.collect() == alone.collect()
+    first = {r["name"]: r["generic"] for r in made.collect()}
+    assert first["KIOSK am Shop"] == "am" and first["a_kiosk_b"] == "a b" and first["kiosk"] == "" and first["Café Späti"] == "café" and first["王记 laden"] == "王记"
+
+
+def test_filters_do_not_move_before_the_dealing(spark, monkeypatch):
+    """anchor_split_rows and others: what a filter needs would be worked out by the one task that reads the file."""
+    monkeypatch.setattr(skew, "TASK_ROWS", 100)
+    wanted = skew.dealt(st.table(spark, SMALL, "part"), "p_partkey").filter(F.length("p_name") + F.col("p_size") > 3)
+    plan = wanted._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("RepartitionByExpression")
+    assert "length(p_name" in above and "length(p_name" not in below
+
+
+def test_the_nearest_anchor_is_worked_out_once_per_row(spark):
+    from poifuse.operators import spatial
+
+    points = spark.range(5).select(F.col("id"), (F.col("id") * 1.0).alias("lng"), F.lit(50.0).alias("lat"))
+    placed = spatial.nearest_anchor(points, [{"lat": 50.0, "lng": 0.0, "slug": "a"}]).filter("dropped IS NULL")
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ASIN(") + plan.count("asin(") == 1
+
+
 def test_bigrams_outside_the_basic_plane_and_repeats(spark):
     from poifuse.functions import text
 
