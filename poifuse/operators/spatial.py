@@ -238,8 +238,9 @@ def nearest_anchor(points: DataFrame, anchors: list[dict], radius_km: float = 60
         ),
     )
     best = F.when(usable, F.array_min(ranked))
-    out = points.withColumn("best", best)
-    return out.select(
+    # made by a generator, so that columns and filters use the nearest anchor without working it out again
+    found = points.select(*points.columns, F.inline_outer(F.array(F.struct(best.alias("best")))))
+    return found.select(
         *points.columns,
         F.when(F.col("best.km") <= radius_km, F.col("best.slug")).alias("anchor"),
         F.col("best.km").alias("km"),
