@@ -16,6 +16,7 @@ from poifuse.functions import payment as pay
 from poifuse.functions import provenance as prov
 from poifuse.functions import rules
 from poifuse.operators import dedup, merge, stats
+from poifuse.operators.skew import dealt
 from poifuse.plans import backfill, enrich, refresh, seed
 from poifuse.sources import readers
 
@@ -160,6 +161,9 @@ def seed_hours_text(spark, sf):
     return _schedules(spark, sf).select("l_orderkey", hrs.seed_hours(F.col("times")).alias("hours"))
 
 
+TASK_LINES = 250_000
+
+
 @query(
     "WIN4",
     f"WITH {LAST_SLOT}, {islands_sql('s', 'slot')} SELECT l_orderkey, slot, a AS first_day, b AS last_day FROM runs",
@@ -167,7 +171,9 @@ def seed_hours_text(spark, sf):
 def day_run_rows(spark, sf):
     q = F.col("l_quantity").cast("int")
     slot = F.format_string("%02d:00-%02d:30", q % 4 + 6, q % 3 + 18)
-    days = st.table(spark, sf, "lineitem").groupBy("l_orderkey", (F.col("l_linenumber") % 7).alias("day"))
+    # dealt by order: the last slot of a day and the runs of days are found where the lines are, in tasks of a bounded number of lines
+    lines = dealt(st.table(spark, sf, "lineitem").select("l_orderkey", *LINE_ORDER.split(", ")), "l_orderkey", TASK_LINES)
+    days = lines.groupBy("l_orderkey", (F.col("l_linenumber") % 7).alias("day"))
     return dedup.day_run_table(days.agg(F.max_by(slot, F.struct(*LINE_ORDER.split(", "))).alias("slot")), ["l_orderkey"])
 
 

@@ -104,6 +104,16 @@ def test_the_nearest_anchor_is_worked_out_once_per_row(spark):
     assert plan.count("ASIN(") + plan.count("asin(") == 1
 
 
+def test_days_and_runs_of_an_order_are_found_where_its_lines_are(spark, monkeypatch):
+    from poifuse.catalog import feature_queries
+
+    monkeypatch.setattr(feature_queries, "TASK_LINES", 1000)
+    out = queries()["day_run_rows"](spark, SMALL)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan
+    assert out.count() > 0
+
+
 def test_bigrams_outside_the_basic_plane_and_repeats(spark):
     from poifuse.functions import text
 
