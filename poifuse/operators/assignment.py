@@ -190,14 +190,14 @@ def assign(pairs: DataFrame, members: DataFrame, comps: DataFrame, rows: int) ->
 def walk_in_order(placed: DataFrame, columns: list[str], ident: str, order: str, key: str, rows: int) -> DataFrame:
     """Edges (row, key) of the rows that an order-greedy walk keeps; placed has the root of each row's component.
 
-    A row is kept if none of its keys belongs to a row that was kept before it."""
+    A row is kept if none of its keys belongs to a row that was kept before it. A null is no key."""
 
     def run(table: pa.Table) -> pa.Table:
         names = list(zip(*[table.column(c).to_pylist() for c in ("region", ident)]))
         keys: dict[tuple, list] = {}
         place: dict[tuple, tuple] = {}
         for name, at, value in zip(names, table.column(order).to_pylist(), table.column(key).to_pylist()):
-            keys.setdefault(name, []).append((name[0], value))
+            keys.setdefault(name, []).extend([] if value is None else [(name[0], value)])
             place[name] = min(place.get(name, (at, name[1])), (at, name[1]))
         used, kept = set(), set()
         for name in sorted(keys, key=place.__getitem__):

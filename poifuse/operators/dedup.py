@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from poifuse import schema
 from poifuse.functions import geo, provenance, text
 from poifuse.operators import spatial
-from poifuse.operators.assignment import CROSS, TWIN, assign, components, walk_in_order
+from poifuse.operators.assignment import CROSS, TASK_ROWS, TWIN, assign, components, walk_in_order
 from poifuse.operators.skew import HOT_ROWS, numbered, salted_join
-from poifuse.session import cut
+from poifuse.session import cut, staged
 
 NEAR_M, WIDE_M, TOUCHING_M = 30.0, 60.0, 8.0
 STRONG, TIER_A, TIER_B = 0.65, 0.55, 0.3
@@ -336,27 +336,47 @@ def assign_in_rounds(features: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
     return settled.unionByName(assign_one_to_one(pairs.select(PAIR).unionByName(twins.select(PAIR))))
 
 
-def _first_round(open_rows: DataFrame, ident: str, order: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that are first for all their keys, and the rows that share no key with them."""
-    first = open_rows.groupBy("region", key).agg(F.min(order).alias("first_ord"))
-    ranked = salted_join(open_rows, first, ["region", key])
-    winners = ranked.groupBy("region", ident).agg(F.bool_and(F.col(order) == F.col("first_ord")).alias("wins")).filter("wins").select("region", ident)
-    won = cut(open_rows.join(winners, ["region", ident], "left_semi"))
-    losers = salted_join(open_rows, won.select("region", key).distinct(), ["region", key]).select("region", ident).distinct()
-    return won, cut(open_rows.join(losers, ["region", ident], "left_anti"))
+def _round(open_rows: DataFrame, ident: str, order: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Edges of the rows that are first for all their keys, and of the rows that share no key with them.
+
+    Keys stand before the region in joins and windows, because Spark sorts by them and regions are few."""
+    def same(left: DataFrame, right: DataFrame, column: str) -> Column:
+        return (left[column] == right[f"{column}_"]) & left["region"].eqNullSafe(right["region_"])
+
+    region = F.col("region").alias("region_")
+    first = open_rows.groupBy(F.col(key).alias(f"{key}_"), region).agg(F.min(F.struct(order, ident))[ident].alias("holder"))
+    held = open_rows.join(first, same(open_rows, first, key), "left").select(*open_rows.columns, "holder")
+    wins = F.every(F.coalesce(F.col(ident) == F.col("holder"), F.lit(True))).over(Window.partitionBy(ident, "region"))
+    judged = staged(held.withColumn("wins", wins))
+    winners = judged.filter("wins").select(F.col(ident).alias("holder_"), region)
+    rest = judged.filter(~F.col("wins"))
+    behind = rest.filter(F.col(ident) != F.col("holder"))
+    lost = behind.join(winners, same(behind, winners, "holder"), "left_semi").select(F.col(ident).alias(f"{ident}_"), region)
+    left = rest.join(lost, same(rest, lost, ident), "left_anti")
+    return judged.filter("wins").select(open_rows.columns), staged(left.select(open_rows.columns))
 
 
 def first_row_per_id(rows: DataFrame, ident: str = "id", order: str = "ord", key: str = "osm_id", large_rows: int = LARGE_ROWS) -> DataFrame:
     """Edges (row, key) of the rows that survive "drop a row if any of its keys was already emitted".
 
-    One round settles the rows that are first for all their keys, which is all of
-    them where rows have one key each. What is left open is split into connected
-    components of rows and keys, and each is walked in row order in one pass.
-    Components with more than large_rows edges go through further rounds instead.
+    Rows of one place in the order go by ident; a null key is no key. A round settles the
+    rows that are first for all their keys and those that share a key with them, which is
+    all rows where each has one key. Rounds go on while each leaves half of the edges at
+    most, so that all of them together cost about twice the first, until one task can walk
+    the rest. Where rounds settle less (chains against the order), the rest is
+    split into connected components of rows and keys, and each is walked in row order in
+    one pass. Components with more than large_rows edges go through further rounds instead.
     """
-    kept, open_rows = _first_round(cut(rows), ident, order, key)
-    if open_rows.isEmpty():
+    kept, open_rows = _round(staged(rows), ident, order, key)
+    before, n = 0, open_rows.count()
+    while n > min(TASK_ROWS, large_rows) and (not before or 2 * n <= before):
+        won, open_rows = _round(open_rows, ident, order, key)
+        kept = kept.unionByName(won)
+        before, n = n, open_rows.count()
+    if not n:
         return kept
+    if n <= min(TASK_ROWS, large_rows):
+        return kept.unionByName(walk_in_order(open_rows.withColumn("root", F.lit(0)), rows.columns, ident, order, key, n))
     node = F.xxhash64("region", F.lit("key"), F.col(key).cast("string")).alias("b")
     edges = open_rows.select(F.xxhash64("region", F.lit("row"), F.col(ident).cast("string")).alias("a"), node)
     roots = components(edges, ["b"])
@@ -367,9 +387,9 @@ def first_row_per_id(rows: DataFrame, ident: str = "id", order: str = "ord", key
     if largest > large_rows:
         large = cut(sizes.filter(F.col("n") > large_rows).select("root"))
         small = placed.join(large, "root", "left_anti")
-        rest = cut(placed.join(large, "root", "left_semi").select(rows.columns))
+        rest = staged(placed.join(large, "root", "left_semi").select(rows.columns))
         while not rest.isEmpty():
-            won, rest = _first_round(rest, ident, order, key)
+            won, rest = _round(rest, ident, order, key)
             kept = kept.unionByName(won)
     return kept.unionByName(walk_in_order(small, rows.columns, ident, order, key, total))
 

@@ -221,6 +221,40 @@ def test_rows_with_several_ids_against_a_loop(spark, large_rows):
     assert got == want
 
 
+def kept_by_loop(rows):
+    used, want = set(), set()
+    for g, i, _, keys in sorted(rows, key=lambda r: (r[2], r[1])):
+        mine = {(g, k) for k in keys if k is not None}
+        if not used & mine:
+            used |= mine
+            want.add((g, i))
+    return want
+
+
+@pytest.mark.parametrize("task_rows", [50_000, 20, 0])
+def test_ties_null_keys_and_null_regions_in_rounds_and_walks(spark, monkeypatch, task_rows):
+    draw = random.Random(task_rows)
+    monkeypatch.setattr(dedup, "TASK_ROWS", task_rows, raising=False)
+    rows = [(draw.choice(["r", "s", None]), i, draw.randrange(40), [draw.choice([None, *range(40)]) for _ in range(draw.randint(1, 3))]) for i in range(200)]
+    rows += [("t", 300 + i, 100 - i, [1000 + i, 1001 + i]) for i in range(60)]  # a chain against the order
+    edges = spark.createDataFrame([(g, i, o, k) for g, i, o, keys in rows for k in set(keys)], "region string, id int, ord int, osm_id int")
+    out = dedup.first_row_per_id(edges)
+    got = [(r["region"], r["id"]) for r in out.collect()]
+    want = kept_by_loop(rows)
+    assert set(got) == want
+    assert len(got) == sum(len(set(keys)) for g, i, _, keys in rows if (g, i) in want)
+
+
+def test_rows_in_no_particular_order_need_no_components(spark, monkeypatch):
+    """rows_with_several_ids: rounds that settle most of what is open cost less than the components of all of it."""
+    draw = random.Random(3)
+    rows = [("r", i, draw.randrange(10**6), sorted({draw.randrange(1500) for _ in range(draw.randint(1, 4))})) for i in range(1200)]
+    edges = spark.createDataFrame([(g, i, o, k) for g, i, o, keys in rows for k in keys], "region string, id int, ord int, osm_id int")
+    monkeypatch.setattr(dedup, "TASK_ROWS", 100, raising=False)
+    monkeypatch.setattr(dedup, "components", lambda *_: pytest.fail("components of rows that rounds settle"))
+    assert {(r["region"], r["id"]) for r in dedup.first_row_per_id(edges).collect()} == kept_by_loop(rows)
+
+
 def test_vocabulary_by_slug_then_by_label(spark):
     vocab = spark.createDataFrame([("bier", "Wein", 0), ("wein", "Bier", 1), ("cola", "Limo", 3), ("mate", "Limo", 2)], "slug string, de string, ord int")
     labels = spark.createDataFrame([(i, t) for i, t in enumerate(["Bier", "Wein", "Limo", "Tee", "", None, "Limo"])], "n int, tag string")
