@@ -67,7 +67,13 @@ def _ranged(df: DataFrame, columns: list[str]) -> DataFrame:
     sample = df.select(place.alias("place")).orderBy(F.xxhash64("place")).limit(SAMPLE_PER_RANGE * parts)
     listed = sample.agg(F.sort_array(F.collect_list("place")).alias("places"))
     bounds = cut(listed.select(F.filter("places", lambda _, i: i % SAMPLE_PER_RANGE == SAMPLE_PER_RANGE - 1).alias("bounds"))).scalar()
-    return df.withColumn("bounds", bounds).withColumn("part", F.size(F.filter("bounds", lambda b: b <= place))).drop("bounds")
+    return df.withColumn("bounds", bounds).withColumn("part", _bounds_passed(F.col("bounds"), place, parts)).drop("bounds")
+
+
+def _bounds_passed(bounds: Column, place: Column, most: int) -> Column:
+    """How many of the sorted bounds, of which there are at most so many, do not exceed a place: by halving steps, since comparing them all costs more the more ranges there are."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
+    return F.reduce(steps, F.lit(0), lambda n, step: F.when(F.get(bounds, n + step - 1) <= place, n + step).otherwise(n))
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], name: str = "rank") -> DataFrame:

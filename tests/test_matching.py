@@ -138,6 +138,19 @@ def test_numbered_equals_window_rank(spark):
     assert {r["o"]: r["rank"] for r in ranks} == {o: o // 3 + 1 for o in range(0, 5000, 3)}
 
 
+@pytest.mark.parametrize("most", [1, 2, 7, 8, 200])
+def test_a_row_is_compared_with_few_bounds_of_ranges(spark, most):
+    """collection_round_trip, stable_positions: every row used to be compared with every bound."""
+    bounds = F.array(*[F.struct(F.lit(i // 3 * 3).alias("a"), F.lit("k").alias("b")) for i in range(most)])
+    place = F.struct(F.col("id").cast("int").alias("a"), F.when(F.col("id") % 2 == 0, "k").when(F.col("id") % 5 > 0, "j").alias("b"))
+    rows = spark.range(-3, most + 3).select(place.alias("place"), bounds.alias("bounds"))
+    halved = skew._bounds_passed(F.col("bounds"), F.col("place"), most)
+    got = rows.select(halved.alias("n"), F.size(F.filter("bounds", lambda b: b <= F.col("place"))).alias("m")).collect()
+    assert all(r["n"] == r["m"] for r in got) and {0, most} <= {r["n"] for r in got}
+    plan = skew.numbered(spark.range(500).selectExpr("id % 3 AS key", "id"), ["key"], ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan.replace("isnotnull", "")
+
+
 def test_salted_join_keeps_all_rows(spark):
     left = spark.range(1000).select((F.when(F.col("id") < 900, 0).otherwise(F.col("id"))).alias("k"), F.col("id").alias("v"))
     right = spark.createDataFrame([(0, "hot"), (950, "cold")], "k bigint, w string")
