@@ -4,9 +4,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from poifuse.llm import common, packing, page_template, partenum, token_files
+from poifuse.llm import common, licence_classifier, packing, page_template, partenum, token_files
 from poifuse.llm.queries import _tokenizer
 from poifuse.llm.tokens import encoder
 
@@ -93,3 +94,35 @@ def test_token_files_and_pieces_with_added_tokens(spark):
     want = [(i, int(starts[i]), len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)]
     assert sorted(map(tuple, token_files.token_digest(spark, path).collect())) == want
     assert sorted((r["doc_id"], r["length"]) for r in packing.pack_documents(docs, _tokenizer()).collect()) == [(i, len(x)) for i, x in enumerate(ids)]
+
+
+def test_licences_are_fitted_and_calibrated_on_every_line(spark):
+    draw = np.random.default_rng(2)
+    words = [w for f, t in licence_classifier.TEMPLATES for w in [licence_classifier._plain_words(t)] if f in ("mit", "bsd", "gpl-3.0", "mpl-2.0")]
+
+    def window():
+        w = [x for x in words[draw.integers(len(words))] if not x.startswith(("licen", "copyright"))]
+        start = draw.integers(len(w))
+        return " ".join(w[start : start + draw.integers(2, 9)])
+
+    lines = [(f"{window()} {k} {window()}", True) for k in range(9_000)] + [(f"plain line {k} of words", False) for k in range(6_000)]
+    halves = spark.createDataFrame(lines, "text string, noticed boolean").where(F.col("noticed") == (F.pmod(F.hash("text"), F.lit(2)) == 1))
+    docs = spark.createDataFrame(halves.select("text").toPandas()).withColumn("doc_id", F.lit(1))
+    weights, biases, limit = licence_classifier.train(spark, docs)
+    held = docs.select(F.col("text").alias("id"), F.col("text").alias("line")).where(F.pmod(F.hash("line"), F.lit(2)) == 1)
+    scores = np.sort([r["probability"] for r in licence_classifier.score(held, weights, biases).collect()])[::-1]
+    assert abs(limit - max(0.5, scores[held.count() // 100])) < 1e-8 and limit > 0.5
+    # one more line in the half that is fitted changes the fit
+    more = spark.createDataFrame([(f"{k} free of charge to any person", 2) for k in range(40)], "text string, doc_id int").where(F.pmod(F.hash("text"), F.lit(2)) == 0).limit(1)
+    again, _, _ = licence_classifier.train(spark, docs.union(more))
+    assert abs(np.array(again["free of"]) - np.array(weights["free of"])).max() > 1e-6
+
+
+def test_highest_value_above_a_weight(spark):
+    draw = np.random.default_rng(3)
+    p = np.concatenate([draw.random(500), draw.random(300) * 1e-9 + 0.7, np.full(200, 0.25), [0.0, 1.0, 1.0]])
+    rows = spark.createDataFrame([(float(x), 0.5) for x in p], "p double, weight double")
+    order = np.sort(p)[::-1]
+    for k in (0, 1, 2, 150, 333, 700, len(p) - 1):
+        assert licence_classifier.highest_above(rows, 0.5 * k) == order[k]
+    assert licence_classifier.highest_above(rows, 0.5 * len(p)) == 0.0 == licence_classifier.highest_above(rows.limit(0), 0.0)
