@@ -121,3 +121,45 @@ def test_bigrams_outside_the_basic_plane_and_repeats(spark):
     got = rows.select("n", F.size(F.array_distinct(text.bigram_multiset(F.col("t")))).alias("m"), text.strip_accents(F.col("t")).alias("s")).collect()
     assert all(r["n"] == r["m"] for r in got)
     assert [r["s"] for r in got] == ["😀a😀a", "aaaa", "e", "", None]
+
+
+def test_forms_of_a_whole_text_give_those_of_its_runs(spark, tmp_path):
+    """name_similarity: texts are normalised once, not each run of words."""
+    import random
+
+    from poifuse.catalog.element_queries import _words
+    from poifuse.functions import text
+
+    draw = random.Random(6)
+    letters = ["a", "B", "z", "0", "é", "Ü", "ß", "ẞ", "Σ", "İ", "Ḱ", "́", "王", "😀", "ﬁ", "Ǆ", "-", ".", "_", "\n", "\t", "\x1f", " ", "'", " ", " ", " ", "kiosk", "Shop", "späti"]
+    texts = ["", " ", "\x1f", " - - ", "Kiosk-Shop am  Späti, a_kiosk x\x1fladen", "ΟΔΟΣ ΟΔΟΣ Σ Σ. ΑΣ", None] + ["".join(draw.choices(letters, k=draw.randrange(60))) for _ in range(400)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    runs = _words(spark, str(tmp_path), forms=("generic", "folded"))
+    for c in ("name", "other"):
+        for form, made, alone in (("generic", text.generic_of_run, text.normalise_name), ("folded", text.folded_of_run, text.fold_name)):
+            wrong = runs.select(c, made(F.col(f"{c}_{form}")).alias("got"), alone(F.col(c)).alias("want")).where("not got <=> want")
+            assert wrong.collect() == []
+
+
+def test_pairs_judged_in_batches_are_those_of_the_columns(spark, monkeypatch):
+    import random
+
+    from poifuse.functions import text
+    from poifuse.operators import similarity
+
+    draw = random.Random(7)
+    names = ["", "a", "aa", "aaaa", "kiosk am see", "😀a😀a", "王记", None, "\U0010ffff\U0010ffff", "  a  "] + ["".join(draw.choices("ab é😀", k=draw.randrange(1, 12))) for _ in range(30)]
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate((a, b) for a in names for b in names)], "i int, a string, b string")
+    want = rows.select("i", text.dice_multiset(F.col("a"), F.col("b")).alias("m"), text.dice_set(F.col("a"), F.col("b")).alias("s")).orderBy("i").collect()
+    pairs = rows.select("i", "a", "b", F.col("a").alias("a2"), F.col("b").alias("b2"))
+    monkeypatch.setattr(similarity, "MOST_PAIRS", 7)
+    for table in (pairs, pairs.repartition(5)):
+        got = similarity.with_dice(table, multiset=("a", "b"), padded=("a2", "b2")).orderBy("i").collect()
+        assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_similarity_of_runs_evaluates_nothing_element_by_element(spark):
+    plan = queries()["name_similarity"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction(" not in plan and "MapInArrow" in plan
+    after = plan[: plan.index("Generate ")]
+    assert "lower(" not in after and "\\p{" not in after
